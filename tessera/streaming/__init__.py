@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming source, sink, watermark or stateful operator,
+so nothing is registered here. Every operator in this package is a plain
+``DataFrame -> DataFrame`` function, so the stateless ones (column functions,
+filters, role joins against static dimensions) also apply unchanged to a
+``readStream`` frame.
+"""
