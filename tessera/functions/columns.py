@@ -144,3 +144,14 @@ def regex_flag(text: str | Column, pattern: str) -> Column:
 def log_odds(y: str | Column) -> Column:
     """P-27: odds y/(1-y); null at y = 1."""
     return _c(y) / F.nullif(F.lit(1.0) - _c(y), F.lit(0.0))
+
+
+def file_row_id() -> Column:
+    """P-03: surrogate row id from the parquet file and the row's index in it.
+
+    Unique per physical row (identical copies included), stable when the plan
+    is re-evaluated or a task is retried, and computed in the scan with no
+    shuffle. Must be taken on a frame read directly from files.
+    """
+    return F.concat(F.hex(F.xxhash64(F.col("_metadata.file_path"))), F.lit(":"),
+                    F.col("_metadata.row_index").cast("string"))

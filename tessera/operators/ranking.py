@@ -19,9 +19,19 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 64
 
 
-def _bucket_of(key: Column, bounds: Column) -> Column:
-    """Number of bucket bounds strictly below ``key`` (order preserving)."""
-    return F.size(F.filter(bounds, lambda b: b < key))
+_RANGE_TYPES = ("byte", "short", "int", "long", "float", "double", "decimal", "date", "timestamp")
+
+
+def _bucket_of(key: Column, bounds: Column, n: int) -> Column:
+    """Number of bucket bounds strictly below ``key`` (order preserving).
+
+    A sum of comparisons rather than a higher-order function, because the
+    bounds are a scalar subquery (computed once per query, inlined).
+    """
+    total = F.lit(0)
+    for i in range(n):
+        total = total + F.coalesce((F.get(bounds, i) < key).cast("int"), F.lit(0))
+    return total
 
 
 def counts_with_prefix(df: DataFrame, key: str, n_buckets: int = DEFAULT_BUCKETS,
@@ -33,11 +43,16 @@ def counts_with_prefix(df: DataFrame, key: str, n_buckets: int = DEFAULT_BUCKETS
     """
     w = weight if weight is not None else F.lit(1)
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(w).alias("n"))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = counts.select(
-        F.percentile_approx(F.col(key), F.array(*[F.lit(p) for p in probs]), 10_000)
-        .alias("b")).scalar()
-    counts = counts.withColumn("_bucket", _bucket_of(F.col(key), bounds))
+    dtype = counts.schema[key].dataType.typeName()
+    if n_buckets > 1 and dtype.startswith(_RANGE_TYPES):
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        bounds = counts.select(
+            F.percentile_approx(F.col(key), F.array(*[F.lit(p) for p in probs]), 10_000)
+            .alias("b")).scalar()
+        counts = counts.withColumn("_bucket", _bucket_of(F.col(key), bounds, len(probs)))
+    else:
+        # Keys without a numeric order (labels, names): one bucket of distinct keys.
+        counts = counts.withColumn("_bucket", F.lit(0))
     per_bucket = counts.groupBy("_bucket").agg(F.sum("n").alias("_bn"))
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # A window over at most n_buckets rows: the only unpartitioned one, and tiny.
