@@ -71,21 +71,6 @@ def nearest_per_group(df: DataFrame, group: Sequence[str] | str, dist: str,
     return picked.select(*group, "_row.*")
 
 
-def range_max_join(left: DataFrame, right: DataFrame, by: Sequence[str],
-                   left_id: str, left_ts: str, right_ts: str,
-                   lead_seconds: int = 0) -> DataFrame:
-    """J-03: per left row, the latest right time <= left time - lead.
-
-    The reference's formulation: equi-join on ``by`` + inequality, then a
-    group max. Unmatched left rows disappear here (restored by ``asof_join``).
-    Quadratic in rows per key, kept only as the small-data cross-check.
-    """
-    l = left.select(left_id, *by, (micros(left_ts) - lead_seconds * 1_000_000).alias("_cut"))
-    r = right.select(*by, micros(right_ts).alias("_rts"))
-    j = l.join(r, list(by), "inner").filter(F.col("_rts") <= F.col("_cut"))
-    return j.groupBy(left_id).agg(F.max("_rts").alias("latest_right_us"))
-
-
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
               left_ts: str, right_ts: str, right_cols: Sequence[str],
               lead_seconds: int = 0, prefix: str = "", right_tiebreak: str | None = None,

@@ -1,6 +1,10 @@
 """Import every query module so the registry is complete."""
 
-from tessera.plans import core_queries, source_column_queries  # noqa: F401
+from tessera.plans import (  # noqa: F401
+    core_queries,
+    join_profile_queries,
+    source_column_queries,
+)
 from tessera.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
