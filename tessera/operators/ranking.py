@@ -34,34 +34,54 @@ def _bucket_of(key: Column, bounds: Column, n: int) -> Column:
     return total
 
 
-def counts_with_prefix(df: DataFrame, key: str, n_buckets: int = DEFAULT_BUCKETS,
-                       weight: Column | None = None) -> DataFrame:
-    """One row per distinct non-null ``key``: (key, n, before, total).
-
-    ``n`` rows carry the key, ``before`` rows carry a smaller key and ``total``
-    is the number of non-null rows. With ``weight`` the counts are weighted sums.
+def prefix_sums(df: DataFrame, key: str, weights: dict[str, Column],
+                n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """One row per distinct non-null ``key`` with, for every named weight w:
+    ``w`` (sum at the key), ``w_before`` (sum over smaller keys) and
+    ``w_total`` (sum over all keys). ``df`` may already be one row per key.
     """
-    w = weight if weight is not None else F.lit(1)
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(w).alias("n"))
-    dtype = counts.schema[key].dataType.typeName()
+    names = list(weights)
+    per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.sum(c).alias(n) for n, c in weights.items()])
+    dtype = per_key.schema[key].dataType.typeName()
     if n_buckets > 1 and dtype.startswith(_RANGE_TYPES):
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = counts.select(
+        bounds = per_key.select(
             F.percentile_approx(F.col(key), F.array(*[F.lit(p) for p in probs]), 10_000)
             .alias("b")).scalar()
-        counts = counts.withColumn("_bucket", _bucket_of(F.col(key), bounds, len(probs)))
+        per_key = per_key.withColumn("_bucket", _bucket_of(F.col(key), bounds, len(probs)))
     else:
         # Keys without a numeric order (labels, names): one bucket of distinct keys.
-        counts = counts.withColumn("_bucket", F.lit(0))
-    per_bucket = counts.groupBy("_bucket").agg(F.sum("n").alias("_bn"))
+        per_key = per_key.withColumn("_bucket", F.lit(0))
+    per_bucket = per_key.groupBy("_bucket").agg(*[F.sum(n).alias(f"_b_{n}") for n in names])
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # A window over at most n_buckets rows: the only unpartitioned one, and tiny.
-    offsets = per_bucket.select("_bucket", F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"),
-                                F.sum("_bn").over(Window.partitionBy()).alias("total"))
+    wall = Window.partitionBy()
+    # Windows over at most n_buckets rows: the only unpartitioned ones, and tiny.
+    offsets = per_bucket.select(
+        "_bucket",
+        *[F.coalesce(F.sum(f"_b_{n}").over(wb), F.lit(0)).alias(f"_off_{n}") for n in names],
+        *[F.sum(f"_b_{n}").over(wall).alias(f"{n}_total") for n in names])
     wi = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    within = counts.withColumn("_in", F.coalesce(F.sum("n").over(wi), F.lit(0)))
-    return within.join(F.broadcast(offsets), "_bucket") \
-                 .select(key, "n", (F.col("_in") + F.col("_off")).alias("before"), "total")
+    within = per_key.select(key, "_bucket", *names,
+                            *[F.coalesce(F.sum(n).over(wi), F.lit(0)).alias(f"_in_{n}")
+                              for n in names])
+    return within.join(F.broadcast(offsets), "_bucket").select(
+        key, *names,
+        *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).alias(f"{n}_before") for n in names],
+        *[f"{n}_total" for n in names])
+
+
+def counts_with_prefix(df: DataFrame, key: str, n_buckets: int = DEFAULT_BUCKETS,
+                       weight: Column | None = None) -> DataFrame:
+    """One row per distinct non-null ``key``: (key, n, before, total).
+
+    ``n`` rows carry the key, ``before`` rows carry a smaller key and ``total``
+    is the number of non-null rows. With ``weight`` the counts are weighted sums.
+    """
+    w = weight if weight is not None else F.lit(1)
+    p = prefix_sums(df, key, {"_w": w}, n_buckets)
+    return p.select(key, F.col("_w").alias("n"), F.col("_w_before").alias("before"),
+                    F.col("_w_total").alias("total"))
 
 
 def percent_rank_global(df: DataFrame, key: str, out: str = "pct_rank",
@@ -112,12 +132,14 @@ def first_come_deciles(df: DataFrame, value: str, key: str, q: int = 10,
     r = 1 + rows with a smaller value + earlier rows (by ``key``) of the same
     value; bucket = max(0, ceil(q (r-1) / (n-1)) - 1), 0 when n = 1.
     """
-    ranks = counts_with_prefix(df, value, n_buckets)
-    wv = Window.partitionBy(value).orderBy(key)
-    x = df.where(F.col(value).isNotNull()).withColumn("_r_in", F.row_number().over(wv))
-    x = x.join(ranks.select(value, "before", "total"), value)
-    r = F.col("before") + F.col("_r_in")
-    n = F.col("total")
+    base = df.where(F.col(value).isNotNull()).withColumn("_v", F.col(value))
+    ranks = counts_with_prefix(base.select("_v"), "_v", n_buckets)
+    wv = Window.partitionBy("_v").orderBy(key)
+    x = base.withColumn("_r_in", F.row_number().over(wv))
+    x = x.join(ranks.select("_v", F.col("before").alias("_before"),
+                            F.col("total").alias("_total")), "_v")
+    r = F.col("_before") + F.col("_r_in")
+    n = F.col("_total")
     dec = F.when(n <= 1, F.lit(0)).otherwise(
         F.greatest(F.lit(0), F.ceil(F.lit(q) * (r - 1) / (n - 1)) - 1)).cast("int")
     return x.withColumn(out, dec).select(*df.columns, out)

@@ -3,6 +3,7 @@
 from tessera.plans import (  # noqa: F401
     core_queries,
     join_profile_queries,
+    order_split_queries,
     source_column_queries,
 )
 from tessera.plans.registry import ORACLE_SQL, QUERIES
