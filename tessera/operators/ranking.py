@@ -22,16 +22,13 @@ DEFAULT_BUCKETS = 64
 _RANGE_TYPES = ("byte", "short", "int", "long", "float", "double", "decimal", "date", "timestamp")
 
 
-def _bucket_of(key: Column, bounds: Column, n: int) -> Column:
+def _bucket_of(key: Column, bounds: Column) -> Column:
     """Number of bucket bounds strictly below ``key`` (order preserving).
 
-    A sum of comparisons rather than a higher-order function, because the
-    bounds are a scalar subquery (computed once per query, inlined).
+    ``bounds`` must be a column (the scalar subquery is projected into one
+    first: subqueries are not allowed inside higher-order functions).
     """
-    total = F.lit(0)
-    for i in range(n):
-        total = total + F.coalesce((F.get(bounds, i) < key).cast("int"), F.lit(0))
-    return total
+    return F.size(F.filter(bounds, lambda b: b < key))
 
 
 def prefix_sums(df: DataFrame, key: str, weights: dict[str, Column],
@@ -49,7 +46,9 @@ def prefix_sums(df: DataFrame, key: str, weights: dict[str, Column],
         bounds = per_key.select(
             F.percentile_approx(F.col(key), F.array(*[F.lit(p) for p in probs]), 10_000)
             .alias("b")).scalar()
-        per_key = per_key.withColumn("_bucket", _bucket_of(F.col(key), bounds, len(probs)))
+        per_key = per_key.withColumn("_bounds", bounds) \
+                         .withColumn("_bucket", _bucket_of(F.col(key), F.col("_bounds"))) \
+                         .drop("_bounds")
     else:
         # Keys without a numeric order (labels, names): one bucket of distinct keys.
         per_key = per_key.withColumn("_bucket", F.lit(0))

@@ -5,6 +5,7 @@ from tessera.plans import (  # noqa: F401
     join_profile_queries,
     order_split_queries,
     source_column_queries,
+    text_queries,
 )
 from tessera.plans.registry import ORACLE_SQL, QUERIES
 
