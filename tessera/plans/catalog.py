@@ -2,6 +2,7 @@
 
 from tessera.plans import (  # noqa: F401
     core_queries,
+    graph_queries,
     join_profile_queries,
     order_split_queries,
     source_column_queries,

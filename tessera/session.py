@@ -86,6 +86,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: materialise to the shared checkpoint dir."""
+    """Reliable checkpoint: materialise to the shared checkpoint dir.
+
+    The frame is persisted for the duration of the checkpoint so that writing
+    the checkpoint files does not recompute it a second time.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
