@@ -4,6 +4,7 @@ from tessera.plans import (  # noqa: F401
     core_queries,
     graph_queries,
     join_profile_queries,
+    ml_queries,
     model_queries,
     order_split_queries,
     source_column_queries,
