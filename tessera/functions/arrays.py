@@ -37,15 +37,28 @@ def scale(arr: str | Column, factor: float) -> Column:
     return F.transform(_c(arr), lambda x: x.cast("double") * factor)
 
 
-def standardize(arr: str | Column) -> Column:
-    """P-24: per-row (x - mean) / population sd; sd 0 divides by 1."""
-    a = as_double(arr)
+def row_moments(arr: str | Column) -> Column:
+    """Struct (mean, sd) of an array's values (population sd)."""
+    a = _c(arr)
     n = F.size(a)
-    mean = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / n
-    var = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x * x) / n - mean * mean
-    sd = F.sqrt(F.greatest(var, F.lit(0.0)))
-    denom = F.when((sd == 0) | sd.isNull(), F.lit(1.0)).otherwise(sd)
-    return F.transform(a, lambda x: (x - mean) / denom)
+    s = F.aggregate(a, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
+                    lambda acc, x: F.struct((acc["s"] + x.cast("double")).alias("s"),
+                                            (acc["q"] + x.cast("double") * x.cast("double")).alias("q")))
+    return F.struct((s["s"] / n).alias("mean"),
+                    F.sqrt(F.greatest(s["q"] / n - F.pow(s["s"] / n, 2), F.lit(0.0))).alias("sd"))
+
+
+def standardize(df, arr: str, out: str = "standardized"):
+    """P-24: per-row (x - mean) / population sd; sd 0 divides by 1.
+
+    Two projections: the row's moments are computed once, then the array is
+    transformed (a moment expression inside the lambda would be re-evaluated
+    for every element)."""
+    x = df.withColumn("_mom", row_moments(arr))
+    denom = F.when((F.col("_mom.sd") == 0) | F.col("_mom.sd").isNull(), F.lit(1.0)) \
+             .otherwise(F.col("_mom.sd"))
+    return x.withColumn(out, F.transform(F.col(arr), lambda v: (v.cast("double") - F.col("_mom.mean"))
+                                         / denom)).drop("_mom")
 
 
 def add_gaussian_noise(arr: str | Column, sd: float, seed: int) -> Column:
@@ -61,7 +74,7 @@ def box_filter(arr: str | Column, height: int, width: int) -> Column:
     Each cell becomes the sum of itself and its 8 neighbours times 1/9, with
     zero beyond the edge (so border cells shrink, as in the reference).
     """
-    a = as_double(arr)
+    a = _c(arr)
 
     def cell(i):
         r = F.floor(i / width)
@@ -70,7 +83,8 @@ def box_filter(arr: str | Column, height: int, width: int) -> Column:
         for dr in (-1, 0, 1):
             for dc in (-1, 0, 1):
                 inside = ((r + dr) >= 0) & ((r + dr) < height) & ((c + dc) >= 0) & ((c + dc) < width)
-                total = total + F.when(inside, F.get(a, i + dr * width + dc)).otherwise(F.lit(0.0))
+                total = total + F.when(inside, F.get(a, i + dr * width + dc).cast("double")) \
+                                 .otherwise(F.lit(0.0))
         return total / 9.0
 
     return F.transform(F.sequence(F.lit(0), F.lit(height * width - 1)), cell)

@@ -14,6 +14,7 @@ from tessera.operators.joins import asof_join
 from tessera.operators.profile import dedup_by_key, flag_sums_by_keys
 from tessera.operators.temporal import previous_leg_flag, trailing_count
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
 LEAD_SECONDS = 2 * 3600
@@ -51,7 +52,10 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per event type: rows, delayed rows, previous-leg flags, trailing delay
     counts and as-of matches of purchases to an earlier view."""
     t = Tables(spark, sf_dir)
-    ev = clean_events(t)
+    # The deduplicated events feed three differently-partitioned consumers
+    # (unit-date lags, place-time counts, key-day as-of); materialise them once
+    # on shared storage instead of re-running the dedup shuffle per consumer.
+    ev = cut_lineage(clean_events(t))
     feats = delay_features(ev)
     matched = enriched_purchases(ev).select("event_id", F.col("view_id").isNotNull().alias("_hit"))
     x = feats.join(matched, "event_id", "left")

@@ -395,9 +395,9 @@ SELECT vec_id, round(zz[1], 6) AS z_first, round(list_sum(list_transform(zz, lam
 FROM z""")
 def p24_row_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = Tables(spark, sf_dir).embeddings
-    z = A.standardize("embedding")
-    return emb.select("vec_id", F.round(z[0], 6).alias("z_first"),
-                      F.round(A.array_sum(F.transform(z, lambda v: v * v)), 4).alias("z_sumsq"))
+    z = A.standardize(emb, "embedding", "z")
+    return z.select("vec_id", F.round(F.col("z")[0], 6).alias("z_first"),
+                    F.round(A.array_sum(F.transform("z", lambda v: v * v)), 4).alias("z_sumsq"))
 
 
 @register("p25_noise")
@@ -409,9 +409,9 @@ def p25_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("p26_box_filter", sql=A.BOX_FILTER_SQL)
 def p26_box_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = Tables(spark, sf_dir).embeddings
-    f = A.box_filter("embedding", 8, 8)
-    return emb.select("vec_id", F.round(A.array_sum(f), 6).alias("f_sum"),
-                      F.round(f[9], 6).alias("f_9"), F.round(f[0], 6).alias("f_0"))
+    f = emb.select("vec_id", A.box_filter("embedding", 8, 8).alias("f"))
+    return f.select("vec_id", F.round(A.array_sum("f"), 6).alias("f_sum"),
+                    F.round(F.col("f")[9], 6).alias("f_9"), F.round(F.col("f")[0], 6).alias("f_0"))
 
 
 @register("p27_log_odds", sql="""
