@@ -46,8 +46,9 @@ def clean_a(text: str | Column, stop_words: Sequence[str] = STOP_WORDS_A, cut: i
     join with single spaces."""
     s = F.regexp_replace(F.lower(_c(text)), r"[^a-z]", " ")
     words = F.filter(F.split(F.trim(s), r"\s+"), lambda w: w != "")
-    stops = F.array(*[F.lit(w) for w in dict.fromkeys(stop_words)])
-    kept = F.filter(words, lambda w: ~F.array_contains(stops, w))
+    stops = list(dict.fromkeys(stop_words))
+    # isin over many literals becomes a hash-set lookup (InSet) in Catalyst.
+    kept = F.filter(words, lambda w: ~w.isin(stops))
     return F.array_join(F.transform(kept, lambda w: F.substring(w, 1, cut)), " ")
 
 

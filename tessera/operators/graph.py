@@ -4,8 +4,8 @@ A directed weighted graph is an edge table ``(src, dst, weight)`` plus the node
 table derived from it. Degree centrality is two aggregates; PageRank is an
 iterative DataFrame job: edges are partitioned by ``src`` once and checkpointed
 (the checkpoint keeps that partitioning, so later joins on ``src`` shuffle only
-the small rank table), each round is one join + one aggregate, and lineage is
-cut with reliable checkpoints into the shared checkpoint directory.
+the small rank table), each round is one join + one aggregate (one job), and
+lineage is cut with reliable checkpoints into the shared checkpoint directory.
 """
 
 from __future__ import annotations
@@ -46,53 +46,64 @@ def degree_centrality(edges: DataFrame, nodes: DataFrame | None = None) -> DataF
 
 
 def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: float = 1e-6,
-             fixed_rounds: int | None = None, partitions: int | None = None) -> DataFrame:
+             fixed_rounds: int | None = None, partitions: int | None = None,
+             checkpoint_every: int = 5) -> DataFrame:
     """G-03: weighted PageRank with uniform teleport and uniform dangling mass.
 
     Each round: r'(v) = alpha * sum_{u->v} r(u) w(u,v) / W(u)
                         + (alpha * sum_{dangling d} r(d) + 1 - alpha) / n.
-    Stops when the L1 change is below ``n * tol`` (one scalar per round reaches
-    the driver) or after ``max_iter`` rounds; ``fixed_rounds`` runs exactly that
-    many rounds without the convergence test.
-
-    The rank table (one row per node, far smaller than the edges) is
-    checkpointed every round: the next round's dangling-mass scalar and join
-    then read it instead of re-deriving earlier rounds, and a lost executor
-    costs at most one round.
+    Stops when the L1 change is below ``n * tol`` or after ``max_iter`` rounds;
+    ``fixed_rounds`` runs exactly that many rounds without the test.
+
+    One job per round: the new rank table (one row per node, far smaller than
+    the edges) is persisted and materialised by the aggregate that yields the
+    next round's dangling mass (and L1 change); the previous round is then
+    released. Every ``checkpoint_every`` rounds the ranks are checkpointed to
+    the shared checkpoint directory, so a lost executor recomputes at most
+    that many rounds.
     """
     spark = edges.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = edges.where(F.col("weight") > 0)
     out_w = e.groupBy("src").agg(F.sum("weight").alias("_w"))
     norm = e.join(out_w, "src").select("src", "dst", (F.col("weight") / F.col("_w")).alias("p"))
-    norm = cut_lineage(norm.repartition(parts, "src"))
+    norm = cut_lineage(norm.repartition(parts, "src"), keep_partitioning=True)
     nodes = nodes_of(edges)
     has_out = out_w.select(F.col("src").alias("node"), F.lit(False).alias("_dangling_flag"))
     nodes = cut_lineage(nodes.join(has_out, "node", "left")
                         .select("node", F.col("_dangling_flag").isNull().alias("dangling"))
-                        .repartition(parts, "node"))
-    n = nodes.count()
+                        .repartition(parts, "node"), keep_partitioning=True)
+    stats = nodes.agg(F.count(F.lit(1)).alias("n"),
+                      F.count_if("dangling").alias("nd")).first()
+    n = stats["n"]
     if n == 0:
         return nodes.select("node", F.lit(0.0).alias("rank"))
     ranks = nodes.select("node", "dangling", F.lit(1.0 / n).alias("rank"))
+    dangling_mass = stats["nd"] / n
     rounds = fixed_rounds if fixed_rounds is not None else max_iter
     for i in range(1, rounds + 1):
-        dangling_mass = ranks.where("dangling").select(F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
         contrib = norm.join(ranks.select(F.col("node").alias("src"), "rank"), "src") \
                       .groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") * F.col("p"))
                                                               .alias("_in"))
-        base = (F.lit(alpha) * dangling_mass + F.lit(1.0 - alpha)) / F.lit(float(n))
+        base = (alpha * dangling_mass + 1.0 - alpha) / n
         new = nodes.join(contrib, "node", "left").select(
-            "node", "dangling", (F.lit(alpha) * F.coalesce("_in", F.lit(0.0)) + base).alias("rank"))
-        new = cut_lineage(new)
+            "node", "dangling", (F.lit(alpha) * F.coalesce("_in", F.lit(0.0)) + F.lit(base)).alias("rank"))
+        if i % checkpoint_every == 0:
+            new = cut_lineage(new, keep_partitioning=True)
+        else:
+            new = new.persist()
         if fixed_rounds is None:
-            err = new.join(ranks.select("node", F.col("rank").alias("_old")), "node") \
-                     .select(F.sum(F.abs(F.col("rank") - F.col("_old")))).first()[0]
-            ranks = new
-            if err is not None and err < n * tol:
-                break
+            r = new.join(ranks.select("node", F.col("rank").alias("_old")), "node").agg(
+                F.sum(F.when(F.col("dangling"), F.col("rank")).otherwise(0.0)).alias("dm"),
+                F.sum(F.abs(F.col("rank") - F.col("_old"))).alias("err")).first()
         else:
-            ranks = new
+            r = new.agg(F.sum(F.when(F.col("dangling"), F.col("rank")).otherwise(0.0)).alias("dm"),
+                        F.lit(None).alias("err")).first()
+        ranks.unpersist()
+        ranks = new
+        dangling_mass = r["dm"] or 0.0
+        if r["err"] is not None and r["err"] < n * tol:
+            break
     return ranks.select("node", "rank")
 
 

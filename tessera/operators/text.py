@@ -44,19 +44,26 @@ def remove_stop_words(tf: DataFrame, stop: DataFrame) -> DataFrame:
     return tf.join(bounded_broadcast(stop.select("term").distinct()), "term", "left_anti")
 
 
-def frequent_terms_as_stop_words(tf: DataFrame, max_df_share: float) -> DataFrame:
-    """Stop list by rule: terms found in more than ``max_df_share`` of documents."""
-    n_docs = tf.select(F.count_distinct("doc_id")).scalar()
+def frequent_terms_as_stop_words(tf: DataFrame, max_df_share: float,
+                                 n_docs: Column | None = None) -> DataFrame:
+    """Stop list by rule: terms found in more than ``max_df_share`` of documents
+    (``n_docs``: corpus size; default: documents present in ``tf``)."""
+    if n_docs is None:
+        n_docs = tf.select(F.count_distinct("doc_id")).scalar()
     return document_frequency(tf).where(F.col("df") > n_docs * max_df_share).select("term")
 
 
-def tfidf(tf: DataFrame, doc_id: str = "doc_id", normalize: bool = True) -> DataFrame:
+def tfidf(tf: DataFrame, doc_id: str = "doc_id", normalize: bool = True,
+          n_docs: Column | None = None) -> DataFrame:
     """T-11: smooth TF-IDF, ``tf * (ln((1 + n) / (1 + df)) + 1)``, rows L2-normalised.
 
-    n is a scalar subquery; df is joined on term; the row norm is an aggregate
-    joined back on doc_id (both equi-joins, no per-document collection).
+    n is the corpus size (pass the document table's row count, which includes
+    documents without any term; default: documents present in ``tf``); df is
+    joined on term; the row norm is an aggregate joined back on doc_id (both
+    equi-joins, no per-document collection).
     """
-    n_docs = tf.select(F.count_distinct(doc_id)).scalar()
+    if n_docs is None:
+        n_docs = tf.select(F.count_distinct(doc_id)).scalar()
     dfs = document_frequency(tf, doc_id)
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
     w = tf.join(dfs, "term").select(doc_id, "term", "tf", (F.col("tf") * idf).alias("w"))

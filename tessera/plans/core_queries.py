@@ -18,9 +18,12 @@ from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
 LEAD_SECONDS = 2 * 3600
-# Time buckets that bound each sort when one key holds a large share of rows.
-ASOF_BUCKET_SECONDS = 86_400
-TRAILING_BUCKET_SECONDS = 3_600
+# Time buckets that bound each sort when one key holds a large share of rows:
+# a unit/place/key is split into buckets of this width, and the edges are
+# repaired with carry tables over bucket rows only.
+ASOF_BUCKET_SECONDS = 3_600
+TRAILING_BUCKET_SECONDS = 900
+LEG_BUCKET_SECONDS = 900
 
 LINEITEM_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
                   "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -43,7 +46,8 @@ def enriched_purchases(events: DataFrame) -> DataFrame:
 
 
 def delay_features(events: DataFrame) -> DataFrame:
-    x = previous_leg_flag(events, unit="user_id", ts="ts", delay="value", tiebreak="event_id")
+    x = previous_leg_flag(events, unit="user_id", ts="ts", delay="value", tiebreak="event_id",
+                          bucket_seconds=LEG_BUCKET_SECONDS)
     return trailing_count(x, place="event_type", ts="ts", delay="value",
                           bucket_seconds=TRAILING_BUCKET_SECONDS)
 
@@ -119,8 +123,8 @@ def j04_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("w02_prev_leg", sql=_W02_SQL)
 def w02_prev_leg(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = clean_events(Tables(spark, sf_dir))
-    return previous_leg_flag(ev, unit="user_id", ts="ts", delay="value", tiebreak="event_id") \
-        .select("event_id", "prev_delayed")
+    return previous_leg_flag(ev, unit="user_id", ts="ts", delay="value", tiebreak="event_id",
+                             bucket_seconds=LEG_BUCKET_SECONDS).select("event_id", "prev_delayed")
 
 
 @register("w03_trailing", sql=_W03_SQL)

@@ -9,7 +9,7 @@ from tessera.functions.columns import micros
 from tessera.operators import joins as J
 from tessera.operators import profile as P
 from tessera.operators.ranking import exact_quantiles
-from tessera.plans.core_queries import _EVENTS_SQL, _J04_SQL, clean_events, enriched_purchases
+from tessera.plans.core_queries import ASOF_BUCKET_SECONDS, _EVENTS_SQL, _J04_SQL, clean_events, enriched_purchases
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
 
@@ -92,7 +92,7 @@ def j03_range_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     right = ev.where(F.col("event_type") == "view").select(
         "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id"))
     j = J.asof_join(left, right, "user_id", "ts", "view_ts", ["view_ts"], lead_seconds=7200,
-                    right_tiebreak="view_id", bucket_seconds=86_400)
+                    right_tiebreak="view_id", bucket_seconds=ASOF_BUCKET_SECONDS)
     return j.where(F.col("view_ts").isNotNull()) \
             .select("event_id", micros("view_ts").alias("latest_right_us"))
 

@@ -19,6 +19,7 @@ from tessera.operators.ranking import counts_with_prefix
 from tessera.operators.split import hash_bucket, hash_bucket_sql
 from tessera.plans.registry import register
 from tessera.plans.text_queries import _TF_SQL
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
 # Calibration bucket edges of the reference's posterior report.
@@ -175,8 +176,11 @@ def l12_cluster_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- multinomial NB on text
 
-def _mnb(t: Tables, alpha: float, train_pred, dev_pred) -> DataFrame:
-    tf = T.term_counts(t.documents.select("doc_id", "text"))
+def _mnb(t: Tables, alpha: float, train_pred, dev_pred, tf: DataFrame | None = None) -> DataFrame:
+    # The term table feeds training counts, vocabulary, class totals and
+    # scoring: materialise it once rather than re-tokenising per consumer.
+    if tf is None:
+        tf = cut_lineage(T.term_counts(t.documents.select("doc_id", "text")))
     labels = t.documents.select("doc_id", F.col("lang").alias("label"))
     train = tf.where(train_pred)
     dev = tf.where(dev_pred)
@@ -245,11 +249,12 @@ SELECT CAST(alpha AS DOUBLE) AS alpha, round(mean_score, 9) AS mean_score,
 def m09_alpha_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean 2-fold accuracy of multinomial NB per smoothing value, best flagged."""
     t = Tables(spark, sf_dir)
+    tf = cut_lineage(T.term_counts(t.documents.select("doc_id", "text")))
     rows = None
     for a in _ALPHAS:
         for f in (0, 1):
             fold = hash_bucket("doc_id", 2, 3)
-            p = _mnb(t, a, fold != f, fold == f)
+            p = _mnb(t, a, fold != f, fold == f, tf)
             acc = p.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc")) \
                    .select(F.lit(a).alias("alpha"), F.lit(f).alias("fold"), "acc")
             rows = acc if rows is None else rows.unionByName(acc)

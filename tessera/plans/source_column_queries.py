@@ -9,7 +9,7 @@ from tessera.functions import arrays as A
 from tessera.functions import columns as C
 from tessera.operators.joins import asof_join, bounded_broadcast
 from tessera.operators.ranking import counts_with_prefix
-from tessera.plans.core_queries import clean_events, enriched_purchases
+from tessera.plans.core_queries import ASOF_BUCKET_SECONDS, clean_events, enriched_purchases
 from tessera.plans.registry import register
 from tessera.session import scratch_path
 from tessera.sources import files as S
@@ -458,7 +458,7 @@ def p30_elapsed_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     right = ev.where(F.col("event_type") == "view") \
               .select(F.col("event_id").alias("view_id"), "user_id", F.col("ts").alias("view_ts"))
     j = asof_join(left, right, "user_id", "ts", "view_ts", ["view_ts"], lead_seconds=7200,
-                  right_tiebreak="view_id", bucket_seconds=86_400)
+                  right_tiebreak="view_id", bucket_seconds=ASOF_BUCKET_SECONDS)
     return j.select("event_id", F.round(C.minutes_between("ts", "view_ts"), 4).alias("minutes"))
 
 

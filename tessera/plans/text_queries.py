@@ -150,18 +150,19 @@ def j10_vocab_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("t11_tfidf", sql=f"""
-WITH tf AS {_TF_SQL}, n AS (SELECT count(DISTINCT doc_id) AS n FROM tf),
+WITH tf AS {_TF_SQL}, n AS (SELECT count(*) AS n FROM documents),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 w AS (SELECT doc_id, term, tf * (ln((1.0 + n) / (1.0 + df)) + 1) AS w FROM tf JOIN df USING (term), n),
 nm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
 SELECT doc_id, term, round(w / nullif(norm, 0), 9) AS w FROM w JOIN nm USING (doc_id)""")
 def t11_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = T.tfidf(_tf(Tables(spark, sf_dir)))
+    t = Tables(spark, sf_dir)
+    w = T.tfidf(_tf(t), n_docs=t.documents.select(F.count(F.lit(1))).scalar())
     return w.select("doc_id", "term", F.round("w", 9).alias("w"))
 
 
 @register("t12_stop_words", sql=f"""
-WITH tf AS {_TF_SQL}, n AS (SELECT count(DISTINCT doc_id) AS n FROM tf),
+WITH tf AS {_TF_SQL}, n AS (SELECT count(*) AS n FROM documents),
 stop AS (SELECT term FROM tf GROUP BY term HAVING count(*) > (SELECT n FROM n) * 0.5)
 SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n_kept FROM tf WHERE term NOT IN (SELECT term FROM stop)
 GROUP BY doc_id""")
@@ -169,8 +170,10 @@ def t12_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stop list by rule (document frequency above half the corpus), removed
     with an anti join; the reference's fixed list is a parameter of the same
     operator (``remove_stop_words``)."""
-    tf = _tf(Tables(spark, sf_dir))
-    kept = T.remove_stop_words(tf, T.frequent_terms_as_stop_words(tf, 0.5))
+    t = Tables(spark, sf_dir)
+    tf = _tf(t)
+    n_docs = t.documents.select(F.count(F.lit(1))).scalar()
+    kept = T.remove_stop_words(tf, T.frequent_terms_as_stop_words(tf, 0.5, n_docs))
     return kept.groupBy("doc_id").agg(F.sum("tf").alias("n_kept"))
 
 

@@ -85,13 +85,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: materialise to the shared checkpoint dir.
-
-    The frame is persisted for the duration of the checkpoint so that writing
-    the checkpoint files does not recompute it a second time.
+def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
+    """Materialise ``df`` on the shared checkpoint storage and continue from it.
+
+    Default: write a parquet table under the checkpoint root and read it back
+    (one job; survives executor loss; the read is column-pruned and filtered
+    like any table). ``keep_partitioning=True`` uses a reliable
+    ``checkpoint()`` instead, which remembers the frame's hash partitioning so
+    later joins on the same key do not shuffle it again; the frame is
+    persisted meanwhile so the checkpoint write does not recompute it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not keep_partitioning:
+        path = scratch_path(spark, "cut")
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.parquet(path)
     df.persist()
     try:
         return df.checkpoint(eager=True)

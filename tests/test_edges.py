@@ -318,8 +318,9 @@ def test_degree_centrality(spark):
 def test_tfidf_edges(spark):
     docs = spark.createDataFrame([(1, "aa bb aa"), (2, "aa cc"), (3, "")], "doc_id int, text string")
     tf = T.term_counts(docs)
-    w = {(r["doc_id"], r["term"]): r["w"] for r in T.tfidf(tf).collect()}
-    n = 2  # the empty document holds no term
+    w = {(r["doc_id"], r["term"]): r["w"] for r in
+         T.tfidf(tf, n_docs=docs.select(F.count(F.lit(1))).scalar()).collect()}
+    n = 3  # the empty document still counts in the corpus size
     idf = {"aa": math.log((1 + n) / (1 + 2)) + 1, "bb": math.log((1 + n) / (1 + 1)) + 1,
            "cc": math.log((1 + n) / (1 + 1)) + 1}
     raw1 = {"aa": 2 * idf["aa"], "bb": idf["bb"]}
