@@ -463,3 +463,22 @@ def p30_elapsed_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ = enriched_purchases  # re-exported for callers building on the flagship
+
+
+@register("p12_role_prefix", sql="""
+SELECT o.o_orderkey, c.c_name AS CUST_c_name, c.c_mktsegment AS CUST_c_mktsegment,
+       n.n_name AS CUST_n_name
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+def p12_role_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Qualified star on the fact plus role-prefixed dimension columns."""
+    from tessera.operators.joins import prefixed
+
+    t = Tables(spark, sf_dir)
+    o = t.orders.select("o_orderkey", "o_custkey")
+    c = t.customer
+    n = t.nation
+    x = o.join(c, o["o_custkey"] == c["c_custkey"]) \
+         .join(bounded_broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")
+    return x.select(o["o_orderkey"], *prefixed(c, ["c_name", "c_mktsegment"], "CUST_"),
+                    *prefixed(n, ["n_name"], "CUST_"))
