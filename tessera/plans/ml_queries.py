@@ -29,7 +29,7 @@ from tessera.plans.core_queries import clean_events, delay_features
 from tessera.plans.model_queries import image_split
 from tessera.plans.order_split_queries import daily_totals
 from tessera.plans.registry import register
-from tessera.session import scratch_path
+from tessera.session import cut_lineage, scratch_path
 from tessera.sources import files as S
 from tessera.sources.tables import Tables
 
@@ -39,13 +39,17 @@ CUT = dt.datetime(2024, 1, 21)
 
 
 def delay_table(t: Tables) -> DataFrame:
+    """Feature table for the delay models, written once to the shared
+    checkpoint root: model fitting reads it many times (indexers, every
+    optimiser pass, every fold), and the windowed features behind it take
+    several shuffles to build."""
     f = delay_features(clean_events(t))
-    return f.select("event_id", "ts", "event_type",
+    return cut_lineage(f.select("event_id", "ts", "event_type",
                     F.hour("ts").cast("double").alias("hour"),
                     (F.dayofweek("ts") - 1).cast("double").alias("weekday"),
                     F.col("prev_delayed").cast("double").alias("prev_delayed"),
                     F.coalesce("n_prev_delays", F.lit(0)).cast("double").alias("n_prev_delays"),
-                    (F.col("value") >= 15).cast("int").alias("label"))
+                    (F.col("value") >= 15).cast("int").alias("label")))
 
 
 def _calendar(t: Tables):
@@ -153,7 +157,7 @@ def l15_mixture_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("l16_grid_search_cv")
 def l16_grid_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k-fold search (fold column from the key hash) with CrossValidator."""
-    d = U.kfold(delay_table(Tables(spark, sf_dir)), "event_id", 2).cache()
+    d = U.kfold(delay_table(Tables(spark, sf_dir)), "event_id", 2)
     lr = ML.logistic()
     pipe = ML.feature_pipeline(lr, CAT, NUM)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01]) \
@@ -168,14 +172,14 @@ def l16_grid_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _time_folds(t: Tables, k: int = 3) -> DataFrame:
-    return U.expanding_folds(delay_table(t), "ts", k)
+    return cut_lineage(U.expanding_folds(delay_table(t), "ts", k))
 
 
 @register("l16_time_grid")
 def l16_time_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual product over a GBT grid and expanding time folds; mean F1 per
     setting, best flagged (M-09)."""
-    folds = _time_folds(Tables(spark, sf_dir)).cache()
+    folds = _time_folds(Tables(spark, sf_dir))
 
     def pipe_for(depth, step):
         return ML.feature_pipeline(ML.gbt(depth=depth, iters=5, step=step, bins=32), CAT, NUM)

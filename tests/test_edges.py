@@ -358,3 +358,21 @@ def test_calibration_edges(spark):
     assert got == {0: (1, 1, 1.0), 1: (1, 0, 0.0), 2: (1, 1, 1.0)}
     got2 = {r["bucket"]: r["total"] for r in M.calibration(df, [0.2, 0.5, 0.9, 1.0]).collect()}
     assert got2[0] == 0
+
+
+def test_knn_blocks_equal_single_block(spark):
+    from tessera.operators import neighbors as NB
+
+    rng = np.random.default_rng(1)
+    pts = rng.normal(size=(60, 4))
+    df = spark.createDataFrame([(i, [float(x) for x in p], int(i % 3)) for i, p in enumerate(pts)],
+                               "id long, v array<double>, y int")
+    q, r = df.where("id < 25"), df.where("id >= 25")
+    one = sorted(NB.knn_vote(NB.knn_candidates(q, r, 3, "id", "id", "v", "y"), [1, 3]).collect())
+    many = sorted(NB.knn_vote(NB.knn_candidates(q, r, 3, "id", "id", "v", "y", max_query_rows=6),
+                              [1, 3]).collect())
+    assert one == many and len(one) == 50
+    d = ((pts[:25, None, :] - pts[None, 25:, :]) ** 2).sum(-1)
+    nearest = d.argmin(axis=1) + 25
+    got = {r["qid"]: r["prediction"] for r in one if r["k"] == 1}
+    assert got == {i: int(nearest[i] % 3) for i in range(25)}
