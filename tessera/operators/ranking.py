@@ -124,20 +124,50 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     return ranks.agg(*aggs)
 
 
+def first_come_rank(df: DataFrame, value: str, key: str, out: str = "rank",
+                    n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """1-based rank by (value, key) with ties in ``value`` broken by ``key``
+    (``rank(method='first')`` when ``key`` is the arrival order), plus the row
+    count ``_total``. Null values are dropped.
+
+    rank = rows with a smaller value + rows of the same value with a smaller
+    key + 1. The second term is split by key ranges (bounds at approximate key
+    quantiles): a window partitioned by (value, key range) numbers the rows, and
+    a small prefix over the (value, key range) counts adds the earlier ranges,
+    so even one value holding most rows is sorted in pieces.
+    """
+    base = df.where(F.col(value).isNotNull()).withColumn("_v", F.col(value))
+    ranks = counts_with_prefix(base.select("_v"), "_v", n_buckets)
+    kdt = base.schema[key].dataType.typeName()
+    if n_buckets > 1 and kdt.startswith(_RANGE_TYPES):
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        kb = base.select(F.percentile_approx(F.col(key), F.array(*[F.lit(p) for p in probs]), 10_000)
+                         .alias("b")).scalar()
+        base = base.withColumn("_kbounds", kb) \
+                   .withColumn("_kb", _bucket_of(F.col(key), F.col("_kbounds"))).drop("_kbounds")
+    else:
+        base = base.withColumn("_kb", F.lit(0))
+    within = base.withColumn("_r_in", F.row_number().over(
+        Window.partitionBy("_v", "_kb").orderBy(key)))
+    sub = base.groupBy("_v", "_kb").agg(F.count(F.lit(1)).alias("_c"))
+    sub = sub.withColumn("_sub_before", F.coalesce(F.sum("_c").over(
+        Window.partitionBy("_v").orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    x = within.join(sub.select("_v", "_kb", "_sub_before"), ["_v", "_kb"]) \
+              .join(ranks.select("_v", F.col("before").alias("_before"),
+                                 F.col("total").alias("_total")), "_v")
+    r = F.col("_before") + F.col("_sub_before") + F.col("_r_in")
+    return x.withColumn(out, r).select(*df.columns, out, "_total")
+
+
 def first_come_deciles(df: DataFrame, value: str, key: str, q: int = 10,
                        out: str = "decile", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """W-07: ``qcut(rank(method='first'), q)`` as integers.
 
-    r = 1 + rows with a smaller value + earlier rows (by ``key``) of the same
-    value; bucket = max(0, ceil(q (r-1) / (n-1)) - 1), 0 when n = 1.
+    With r = ``first_come_rank`` and n rows: bucket = max(0, ceil(q (r-1) / (n-1)) - 1),
+    0 when n = 1.
     """
-    base = df.where(F.col(value).isNotNull()).withColumn("_v", F.col(value))
-    ranks = counts_with_prefix(base.select("_v"), "_v", n_buckets)
-    wv = Window.partitionBy("_v").orderBy(key)
-    x = base.withColumn("_r_in", F.row_number().over(wv))
-    x = x.join(ranks.select("_v", F.col("before").alias("_before"),
-                            F.col("total").alias("_total")), "_v")
-    r = F.col("_before") + F.col("_r_in")
+    x = first_come_rank(df, value, key, "_r", n_buckets)
+    r = F.col("_r")
     n = F.col("_total")
     dec = F.when(n <= 1, F.lit(0)).otherwise(
         F.greatest(F.lit(0), F.ceil(F.lit(q) * (r - 1) / (n - 1)) - 1)).cast("int")

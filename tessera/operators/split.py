@@ -68,7 +68,9 @@ def class_weights(df: DataFrame, label: str, weights: dict | str = "balanced",
         n = counts.select(F.sum("_nc")).scalar()
         k = counts.select(F.count(F.lit(1))).scalar()
         table = counts.select(label, (n / (k * F.col("_nc"))).alias(out))
-        return df.join(F.broadcast(table), label, "left")
+        from tessera.operators.joins import bounded_broadcast
+
+        return df.join(bounded_broadcast(table), label, "left")
     mapping = F.create_map(*[x for kv in weights.items() for x in (F.lit(kv[0]), F.lit(float(kv[1])))])
     return df.withColumn(out, mapping[F.col(label)])
 

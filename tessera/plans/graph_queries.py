@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
 from tessera.operators.encode import zscore
+from tessera.operators.joins import bounded_broadcast
 from tessera.plans.join_profile_queries import _ROUTE_SQL, _route_fact
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
@@ -138,7 +139,7 @@ SELECT f.l_orderkey, f.l_linenumber, round(a.degree_centrality, 9) AS CUST_degre
 FROM {_ROUTE_SQL} f LEFT JOIN m a ON f.c_nationkey = a.node LEFT JOIN m b ON f.s_nationkey = b.node""")
 def j09_graph_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    m = F.broadcast(nation_metrics(t))
+    m = bounded_broadcast(nation_metrics(t))
     x = G.attach_node_metrics(_route_fact(t), m, {"c_nationkey": "CUST_", "s_nationkey": "SUPP_"})
     return x.select("l_orderkey", "l_linenumber",
                     F.round("CUST_degree_centrality", 9).alias("CUST_degree_centrality"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessera.operators import curves as CV
 from tessera.operators import encode as N
 from tessera.operators import split as U
+from tessera.operators.joins import bounded_broadcast
 from tessera.operators.ranking import counts_with_prefix, first_come_deciles, percent_rank_global
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
@@ -308,5 +309,5 @@ SELECT event_id, label FROM events JOIN idx USING (event_type) WHERE label != 2"
 def n04_drop_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events.select("event_id", "event_type")
     idx = N.frequency_index(ev, "event_type", out="label").select("event_type", "label")
-    return N.drop_label(ev.join(F.broadcast(idx), "event_type"), "label", 2) \
+    return N.drop_label(ev.join(bounded_broadcast(idx), "event_type"), "label", 2) \
             .select("event_id", "label")

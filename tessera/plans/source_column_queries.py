@@ -246,7 +246,7 @@ FROM events LEFT JOIN z USING (event_type)""")
 def p10_to_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events
     zones = spark.createDataFrame(_ZONES, "event_type string, tz string")
-    x = ev.join(F.broadcast(zones), "event_type", "left")
+    x = ev.join(bounded_broadcast(zones), "event_type", "left")
     return x.select("event_id", C.to_utc(F.col("ts").cast("timestamp"), "tz")
                     .cast("timestamp_ntz").alias("utc_ts"))
 

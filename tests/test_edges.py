@@ -376,3 +376,11 @@ def test_knn_blocks_equal_single_block(spark):
     nearest = d.argmin(axis=1) + 25
     got = {r["qid"]: r["prediction"] for r in one if r["k"] == 1}
     assert got == {i: int(nearest[i] % 3) for i in range(25)}
+
+
+def test_first_come_rank_hot_value(spark):
+    rows = [(i, 1.0 if i % 10 else float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    got = dict(R.first_come_rank(df, "v", "id", n_buckets=8).select("id", "rank").collect())
+    order = sorted(rows, key=lambda r: (r[1], r[0]))
+    assert got == {r[0]: i + 1 for i, r in enumerate(order)}
