@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 
 def _long_form(df: DataFrame, vector: str, label: str) -> DataFrame:
     return df.select(F.col(label).alias("label"),
@@ -150,8 +152,10 @@ def fit_multinomial_nb(train_tf: DataFrame, doc_labels: DataFrame, alpha: float
     default log(alpha / (N_c + alpha |V|)).
     """
     x = train_tf.join(doc_labels.select(doc_id, F.col(label).alias("label")), doc_id)
-    nct = x.groupBy("label", "term").agg(F.sum("tf").alias("n_ct"))
-    v = train_tf.select(F.count_distinct("term")).scalar()
+    # The class-term counts feed the vocabulary size, the class totals, the
+    # class model and the sparse gain table: materialise them once.
+    nct = cut_lineage(x.groupBy("label", "term").agg(F.sum("tf").alias("n_ct")))
+    v = nct.select(F.count_distinct("term")).scalar()
     n_docs = doc_labels.join(train_tf.select(doc_id).distinct(), doc_id) \
                        .groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("d_c"))
     total_docs = n_docs.select(F.sum("d_c")).scalar()

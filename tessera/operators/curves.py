@@ -24,8 +24,15 @@ def score_counts(pred: DataFrame, score: str, label: str) -> DataFrame:
                     F.col("neg_total").alias("N"))
 
 
-def roc_points(pred: DataFrame, score: str, label: str) -> DataFrame:
-    """W-08: for each threshold s (predict positive when score >= s): TPR, FPR."""
+def roc_points(pred: DataFrame, score: str, label: str,
+               resolution: float | None = None) -> DataFrame:
+    """W-08: for each threshold s (predict positive when score >= s): TPR, FPR.
+
+    ``resolution`` floors scores to a grid first (e.g. 1e-4), which bounds the
+    number of curve points when scores are continuous and rows are many; the
+    points that remain are exact for the floored scores."""
+    if resolution:
+        pred = pred.withColumn(score, F.floor(F.col(score) / resolution) * resolution)
     c = score_counts(pred, score, label)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")

@@ -135,7 +135,9 @@ def w03_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("event_id", "n_prev_delays")
 
 
-_A01_KEYS = ["hour", "weekday", "day", "event_type", "user_id"]
+# The reference's eight keys: hour, weekday, day, month, quarter, year,
+# carrier (event_type) and origin (user_id).
+_A01_KEYS = ["hour", "weekday", "day", "month", "quarter", "year", "event_type", "user_id"]
 
 
 @register("a01_flag_sums", sql=f"""
@@ -143,12 +145,14 @@ SELECT CASE {' '.join(f"WHEN GROUPING({k}) = 0 THEN '{k}'" for k in _A01_KEYS)}
        CASE {' '.join(f"WHEN GROUPING({k}) = 0 THEN CAST({k} AS VARCHAR)" for k in _A01_KEYS)}
        END AS key_value,
        count(*) AS n_rows, CAST(sum(flag) AS BIGINT) AS n_flag
-FROM (SELECT hour(ts) AS hour, dayofweek(ts) AS weekday, day(ts) AS day, event_type, user_id,
+FROM (SELECT hour(ts) AS hour, dayofweek(ts) AS weekday, day(ts) AS day, month(ts) AS month,
+             quarter(ts) AS quarter, year(ts) AS year, event_type, user_id,
              CASE WHEN value >= 15 THEN 1 ELSE 0 END AS flag FROM events)
 GROUP BY GROUPING SETS ({', '.join(f'({k})' for k in _A01_KEYS)})""")
 def a01_flag_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events
     keys = {"hour": F.hour("ts"), "weekday": F.dayofweek("ts") - 1, "day": F.dayofmonth("ts"),
+            "month": F.month("ts"), "quarter": F.quarter("ts"), "year": F.year("ts"),
             "event_type": F.col("event_type"), "user_id": F.col("user_id")}
     return flag_sums_by_keys(ev, keys, F.col("value") >= 15)
 
