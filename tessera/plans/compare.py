@@ -63,6 +63,33 @@ def _rows(columns, records):
     return sorted(out, key=repr)
 
 
+_SPARK_TO_DUCK = {
+    "tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT",
+    "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper().replace(" ", "")
+    if spark_type.startswith("array<"):
+        return _duck_type(spark_type[6:-1]) + "[]"
+    return _SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
+def type_mismatches(sdf, res) -> dict:
+    """Columns whose Spark type maps to a different DuckDB type."""
+    duck = {d[0]: str(d[1]).upper().replace(" ", "") for d in res.description}
+    out = {}
+    for f in sdf.schema.fields:
+        want = _duck_type(f.dataType.simpleString()).replace(" ", "")
+        got = duck.get(f.name)
+        if got is not None and got != want:
+            out[f.name] = (f.dataType.simpleString(), got)
+    return out
+
+
 def compare(spark, query, sql: str, sf_dir: str, con=None) -> dict:
     """Run both sides; return a dict with ``ok`` and the first differences."""
     con = con or duckdb_connection(sf_dir)
@@ -70,6 +97,7 @@ def compare(spark, query, sql: str, sf_dir: str, con=None) -> dict:
     s_cols = sdf.columns
     s_rows = _rows(s_cols, [tuple(r) for r in sdf.collect()])
     res = con.execute(sql)
+    report_types = type_mismatches(sdf, res)
     d_cols = [d[0] for d in res.description]
     d_rows = _rows(d_cols, res.fetchall())
     report = {"columns_spark": sorted(s_cols), "columns_sql": sorted(d_cols),
@@ -82,5 +110,6 @@ def compare(spark, query, sql: str, sf_dir: str, con=None) -> dict:
         only_d = [r for r in d_rows if r not in set(s_rows)][:3]
         report["only_spark"] = only_s
         report["only_sql"] = only_d
+    report["types"] = report_types
     report["ok"] = report["cols_ok"] and report["rows_ok"] and report["values_ok"]
     return report

@@ -292,7 +292,7 @@ def a14_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
        round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept,
        round(regr_r2(l_extendedprice, l_quantity), 9) AS r2,
-       regr_count(l_extendedprice, l_quantity) AS n FROM lineitem""")
+       CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n FROM lineitem""")
 def a16_least_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = P.least_squares(Tables(spark, sf_dir).lineitem, "l_extendedprice", "l_quantity")
     return r.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"),

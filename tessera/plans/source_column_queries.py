@@ -227,7 +227,9 @@ FROM events""")
 def p08_hhmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events
     x = ev.select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("d"), _hhmm().alias("hhmm"))
-    return x.select("event_id", "hhmm", C.hhmm_to_timestamp("d", "hhmm").alias("local_ts"))
+    # Local wall-clock time: a timestamp without zone, as in the source data.
+    return x.select("event_id", "hhmm",
+                    C.hhmm_to_timestamp("d", "hhmm").cast("timestamp_ntz").alias("local_ts"))
 
 
 @register("p09_lead", sql="SELECT event_id, ts - INTERVAL 2 HOUR AS cut FROM events")

@@ -43,7 +43,8 @@ def main():
             continue
         status = "OK  " if rep["ok"] else "DIFF"
         bad += not rep["ok"]
-        print(f"{status} {name}: {rep['rows_spark']}/{rep['rows_sql']} rows {time.time() - t:.1f}s")
+        print(f"{status} {name}: {rep['rows_spark']}/{rep['rows_sql']} rows {time.time() - t:.1f}s"
+              + (f"  TYPES {rep['types']}" if rep.get("types") else ""))
         if not rep["ok"]:
             print("   ", json.dumps({k: v for k, v in rep.items() if k != "ok"}, default=str)[:1500])
     print(f"{bad} failing")
