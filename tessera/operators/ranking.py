@@ -92,9 +92,11 @@ def percent_rank_global(df: DataFrame, key: str, out: str = "pct_rank",
     every non-null rank by their count.
     """
     ranks = counts_with_prefix(df, key, n_buckets)
-    n_null = df.where(F.col(key).isNull()).select(F.count(F.lit(1))).scalar()
-    n_all = ranks.select(F.max("total")).scalar()
-    total = F.coalesce(n_all, F.lit(0)) + n_null
+    # Both counts from one aggregate over the input (merged scalar subqueries),
+    # not from the rank table, which would be planned a second time.
+    counts = df.agg(F.count_if(F.col(key).isNull()).alias("nn"), F.count(F.lit(1)).alias("n"))
+    n_null = counts.select("nn").scalar()
+    total = counts.select("n").scalar()
     pr = F.when(total <= 1, F.lit(0.0)).otherwise(
         (F.col("before") + n_null) / (total - 1).cast("double"))
     table = ranks.select(key, pr.alias(out))

@@ -87,7 +87,7 @@ def positional_split(df: DataFrame, order_key: str, first_n: int | None = None,
     """U-06: 'first' for the first ``first_n`` rows by ``order_key`` (default: half),
     'rest' otherwise; positions come from distributed prefix counts."""
     pos = counts_with_prefix(df.select(order_key), order_key)
-    total = pos.select(F.max("total")).scalar()
+    total = df.where(F.col(order_key).isNotNull()).select(F.count(F.lit(1))).scalar()
     cut = F.lit(first_n) if first_n is not None else F.floor(total / 2)
     x = df.join(pos.select(order_key, "before"), order_key)
     return x.withColumn(out, F.when(F.col("before") < cut, "first").otherwise("rest")).drop("before")
