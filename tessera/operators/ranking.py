@@ -41,17 +41,22 @@ def prefix_sums(df: DataFrame, key: str, weights: dict[str, Column],
     per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(
         *[F.sum(c).alias(n) for n, c in weights.items()])
     dtype = per_key.schema[key].dataType.typeName()
-    if n_buckets > 1 and dtype.startswith(_RANGE_TYPES):
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = per_key.select(
-            F.percentile_approx(F.col(key), F.array(*[F.lit(p) for p in probs]), 10_000)
-            .alias("b")).scalar()
-        per_key = per_key.withColumn("_bounds", bounds) \
-                         .withColumn("_bucket", _bucket_of(F.col(key), F.col("_bounds"))) \
-                         .drop("_bounds")
-    else:
-        # Keys without a numeric order (labels, names): one bucket of distinct keys.
-        per_key = per_key.withColumn("_bucket", F.lit(0))
+    if not (n_buckets > 1 and dtype.startswith(_RANGE_TYPES)):
+        # Keys without a numeric order (labels, names): the distinct keys are
+        # few, so one window over them gives the prefix and the total directly.
+        wi = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        wall = Window.partitionBy()
+        return per_key.select(
+            key, *names,
+            *[F.coalesce(F.sum(n).over(wi), F.lit(0)).alias(f"{n}_before") for n in names],
+            *[F.sum(n).over(wall).alias(f"{n}_total") for n in names])
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = per_key.select(
+        F.percentile_approx(F.col(key), F.array(*[F.lit(p) for p in probs]), 10_000)
+        .alias("b")).scalar()
+    per_key = per_key.withColumn("_bounds", bounds) \
+                     .withColumn("_bucket", _bucket_of(F.col(key), F.col("_bounds"))) \
+                     .drop("_bounds")
     per_bucket = per_key.groupBy("_bucket").agg(*[F.sum(n).alias(f"_b_{n}") for n in names])
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy()
