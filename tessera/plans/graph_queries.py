@@ -1,9 +1,8 @@
 """Registered queries for graph features (G), J-09 and N-02.
 
-Route graph: customer nation -> supplier nation over lineitem rows with
-``l_quantity = 1`` (the unrestricted graph is complete). PageRank fixture with
-dangling nodes: customer -> supplier, weighted by line count (suppliers have
-no out-edges).
+Route graph: customer nation -> supplier nation over all lineitem rows,
+weighted by line count. PageRank fixture with dangling nodes: customer ->
+supplier, weighted by line count (suppliers have no out-edges).
 """
 
 from __future__ import annotations
@@ -23,12 +22,11 @@ ALPHA = 0.85
 
 
 def nation_edges(t: Tables) -> DataFrame:
-    fact = _route_fact(t).where(F.col("l_quantity") == 1)
-    return G.weighted_edges(fact, "c_nationkey", "s_nationkey")
+    return G.weighted_edges(_route_fact(t), "c_nationkey", "s_nationkey")
 
 
 _NATION_EDGES_SQL = f"""(SELECT c_nationkey AS src, s_nationkey AS dst, CAST(count(*) AS DOUBLE) AS weight
-                         FROM {_ROUTE_SQL} WHERE l_quantity = 1 GROUP BY 1, 2)"""
+                         FROM {_ROUTE_SQL} GROUP BY 1, 2)"""
 
 
 def customer_supplier_edges(t: Tables) -> DataFrame:
