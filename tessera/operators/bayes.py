@@ -147,17 +147,18 @@ def fit_multinomial_nb(train_tf: DataFrame, doc_labels: DataFrame, alpha: float
                        doc_id: str = "doc_id", label: str = "label") -> tuple[DataFrame, DataFrame]:
     """L-08 on a (doc_id, term, tf) table: returns (class model, sparse term table).
 
-    log P(t | c) = log((N_ct + alpha) / (N_c + alpha |V|)) over the training
-    vocabulary V. Only non-zero N_ct are stored; the rest share the class
-    default log(alpha / (N_c + alpha |V|)).
+    ``doc_labels`` holds one row per training document (documents without any
+    term included: they count in the class priors). log P(t | c) =
+    log((N_ct + alpha) / (N_c + alpha |V|)) over the training vocabulary V (the
+    terms of the sparse table). Only non-zero N_ct are stored; the rest share
+    the class default log(alpha / (N_c + alpha |V|)).
     """
     x = train_tf.join(doc_labels.select(doc_id, F.col(label).alias("label")), doc_id)
     # The class-term counts feed the vocabulary size, the class totals, the
     # class model and the sparse gain table: materialise them once.
     nct = cut_lineage(x.groupBy("label", "term").agg(F.sum("tf").alias("n_ct")))
     v = nct.select(F.count_distinct("term")).scalar()
-    n_docs = doc_labels.join(train_tf.select(doc_id).distinct(), doc_id) \
-                       .groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("d_c"))
+    n_docs = doc_labels.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("d_c"))
     total_docs = n_docs.select(F.sum("d_c")).scalar()
     nc = nct.groupBy("label").agg(F.sum("n_ct").alias("n_c"))
     classes = nc.join(n_docs, "label").select(

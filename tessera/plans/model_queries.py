@@ -177,16 +177,15 @@ def l12_cluster_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- multinomial NB on text
 
 def _mnb(t: Tables, alpha: float, train_pred, dev_pred, tf: DataFrame | None = None) -> DataFrame:
-    # The term table feeds training counts, vocabulary, class totals and
-    # scoring: materialise it once rather than re-tokenising per consumer.
+    """Fit on the training documents, score the dev documents. The split
+    predicates are on doc_id, so they reach below the tokeniser: each document
+    is tokenised once, by whichever side it belongs to."""
     if tf is None:
-        tf = cut_lineage(T.term_counts(t.documents.select("doc_id", "text")))
+        tf = T.term_counts(t.documents.select("doc_id", "text"))
     labels = t.documents.select("doc_id", F.col("lang").alias("label"))
-    train = tf.where(train_pred)
-    dev = tf.where(dev_pred)
-    model, sparse = B.fit_multinomial_nb(train, labels, alpha)
-    vocab = train.select("term").distinct()
-    p = B.predict_multinomial_nb(dev, model, sparse, vocab)
+    model, sparse = B.fit_multinomial_nb(tf.where(train_pred), labels.where(train_pred), alpha)
+    vocab = sparse.select("term")
+    p = B.predict_multinomial_nb(tf.where(dev_pred), model, sparse, vocab)
     return p.join(labels, "doc_id")
 
 
@@ -196,7 +195,7 @@ tr AS (SELECT * FROM tf WHERE {train_cond}), dv AS (SELECT * FROM tf WHERE {dev_
 v AS (SELECT DISTINCT term FROM tr),
 nct AS (SELECT label, term, sum(tf) AS n_ct FROM tr JOIN lab USING (doc_id) GROUP BY 1, 2),
 nc AS (SELECT label, sum(n_ct) AS n_c FROM nct GROUP BY 1),
-dc AS (SELECT label, count(*) AS d_c FROM (SELECT DISTINCT doc_id FROM tr) JOIN lab USING (doc_id) GROUP BY 1),
+dc AS (SELECT label, count(*) AS d_c FROM lab WHERE {train_cond} GROUP BY 1),
 cls AS (SELECT label, ln(d_c / (SELECT sum(d_c) FROM dc)) AS prior,
                ln({alpha} / (n_c + {alpha} * (SELECT count(*) FROM v))) AS def FROM nc JOIN dc USING (label)),
 x AS (SELECT * FROM dv WHERE term IN (SELECT term FROM v)),
