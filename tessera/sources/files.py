@@ -31,16 +31,24 @@ def timeslice_bounds(timeframe: str, start_year: int) -> tuple[dt.datetime, dt.d
 
 
 def load_timeslice(spark: SparkSession, path: str, ts_col: str, timeframe: str,
-                   start_year: int, cols: Sequence[str] | None = None) -> DataFrame:
+                   start_year: int, cols: Sequence[str] | None = None,
+                   year_partition: str | None = None) -> DataFrame:
     """S-01: read ``path`` restricted to the timeframe; the typed bounds reach the
-    parquet scan as pushed filters (and prune partitions when the data is
-    partitioned by a date column)."""
+    parquet scan as pushed filters. When the data is laid out one directory per
+    year (``year_partition``, e.g. ``year=2017/``), a predicate on that
+    partition column also prunes whole directories before any file is opened."""
     lo, hi = timeslice_bounds(timeframe, start_year)
     df = spark.read.parquet(path)
     if cols:
-        df = df.select(*cols)
+        keep = list(cols) + ([year_partition] if year_partition and year_partition not in cols else [])
+        df = df.select(*keep)
     ts = F.col(ts_col)
-    return df.where((ts >= F.lit(lo)) & (ts < F.lit(hi)))
+    cond = (ts >= F.lit(lo)) & (ts < F.lit(hi))
+    if year_partition:
+        last = hi.year - 1 if (hi.month, hi.day) == (1, 1) else hi.year
+        cond = cond & F.col(year_partition).between(lo.year, last)
+    out = df.where(cond)
+    return out.drop(year_partition) if year_partition and cols and year_partition not in cols else out
 
 
 def read_headerless_csv(spark: SparkSession, path: str, names: Sequence[str],

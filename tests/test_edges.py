@@ -384,3 +384,21 @@ def test_first_come_rank_hot_value(spark):
     got = dict(R.first_come_rank(df, "v", "id", n_buckets=8).select("id", "rank").collect())
     order = sorted(rows, key=lambda r: (r[1], r[0]))
     assert got == {r[0]: i + 1 for i, r in enumerate(order)}
+
+
+def test_timeslice_prunes_year_directories(spark, tmp_path):
+    from tessera.sources import files as S
+
+    from tests.conftest import SMALL
+
+    o = spark.read.parquet(f"{SMALL}/orders.parquet").withColumn("year", F.year("o_orderdate"))
+    path = str(tmp_path / "orders_by_year")
+    o.write.partitionBy("year").parquet(path)
+    df = S.load_timeslice(spark, path, "o_orderdate", "1997", 1995, cols=["o_orderkey", "o_orderdate"],
+                          year_partition="year")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    want = o.where(F.year("o_orderdate") == 1997).count()
+    assert df.count() == want and df.columns == ["o_orderkey", "o_orderdate"]
+    six = S.load_timeslice(spark, path, "o_orderdate", "6m", 1995, year_partition="year")
+    assert six.count() == o.where("o_orderdate < timestamp'1995-07-01'").count()
