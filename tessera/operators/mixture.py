@@ -34,6 +34,20 @@ def n_parameters(cov: str, dims: int, comps: int, classes: int = 2) -> int:
     return ((dims + per_comp + 1) * comps - 1) * classes
 
 
+def search_grid(max_params: int = 50, dims=range(2, 26), comps=range(2, 26),
+                classes: int = 2) -> list[tuple[str, int, int, int]]:
+    """(covariance, dims, components, parameters) for every setting under the
+    parameter cap, counted before anything is fitted."""
+    out = []
+    for cov in COV_TYPES:
+        for d in dims:
+            for k in comps:
+                n = n_parameters(cov, d, k, classes)
+                if n <= max_params:
+                    out.append((cov, d, k, n))
+    return out
+
+
 @dataclass
 class Mixture:
     weights: np.ndarray   # (k,)
@@ -104,10 +118,11 @@ def _partial_stats(params, dims: int):
             g = pdf["_g"].to_numpy()
             chunks = []
             for gv, mix in params:
-                xm = x[g == gv]
+                md = mix.means.shape[1]
+                xm = x[g == gv][:, :md]
                 k = len(mix.weights)
                 if len(xm) == 0:
-                    chunks.append(np.zeros(1 + k + k * dims + k * dims * dims))
+                    chunks.append(np.zeros(1 + k + k * md + k * md * md))
                     continue
                 ld = _log_dens(xm, mix)
                 top = ld.max(axis=1, keepdims=True)
@@ -145,7 +160,9 @@ def fit_em_many(df: DataFrame, vector: str, key: str, specs: dict, dims: int,
                 group: str | None = None, max_iter: int = 30, tol: float = 1e-3,
                 seed: int = 12345) -> dict:
     """Fit several mixtures at once: ``specs`` maps a name to (group value,
-    components, covariance type); each model sees only the rows of its group.
+    components, covariance type[, model dims]); each model sees only the rows
+    of its group and the first ``model dims`` (default ``dims``) coordinates of
+    ``vector``, so models of different dimensionality share the same passes.
 
     Every EM round of every model is ONE pass over the rows: a mapInPandas
     E-step computes, per partition, the responsibility-weighted sufficient
@@ -161,7 +178,8 @@ def fit_em_many(df: DataFrame, vector: str, key: str, specs: dict, dims: int,
         # Initialisation for every group in two small jobs: the first k_max rows
         # of each group in a seeded hash order, and per-group counts/variances.
         gcol = F.col(group) if group else F.lit(0)
-        k_max = max(k for _, k, _ in specs.values())
+        specs = {n: (tuple(v) + (dims,))[:4] for n, v in specs.items()}
+        k_max = max(v[1] for v in specs.values())
         order = Window.partitionBy(gcol).orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
         picks: dict = {}
         for row in x.select(gcol.alias("_g"), *[xs[a].alias(f"_x{a}") for a in range(dims)],
@@ -172,18 +190,19 @@ def fit_em_many(df: DataFrame, vector: str, key: str, specs: dict, dims: int,
             F.count(F.lit(1)).alias("_n"), *[F.var_pop(xs[a]).alias(f"_v{a}") for a in range(dims)]
         ).collect()}
         state = {}
-        for name, (g, k, cov) in specs.items():
-            if cov not in COV_TYPES:
-                raise ValueError(cov)
+        for name, (g, k, cov, md) in specs.items():
+            if cov not in COV_TYPES or not 1 <= md <= dims:
+                raise ValueError((cov, md))
             gk = g if group else 0
             st_row = stats.get(gk)
             if st_row is None or len(picks.get(gk, [])) < k:
                 raise ValueError(f"group {g!r} has fewer than {k} rows")
             base_cov = np.diag([max(float(st_row[f"_v{a}"] or 0.0), 1e-3) + REG_COVAR
-                                for a in range(dims)])
-            mix = Mixture(np.full(k, 1.0 / k), np.array(picks[gk][:k]), np.stack([base_cov] * k))
+                                for a in range(md)])
+            mix = Mixture(np.full(k, 1.0 / k), np.array(picks[gk][:k])[:, :md],
+                          np.stack([base_cov] * k))
             state[name] = {"mix": mix, "hist": [], "done": False, "n": st_row["_n"],
-                           "g": g, "k": k, "cov": cov}
+                           "g": g, "k": k, "cov": cov, "d": md}
         names = list(state)
         rows = x.select((F.col(group) if group else F.lit(0)).alias("_g"),
                         *[xs[a].alias(f"_x{a}") for a in range(dims)])
@@ -197,12 +216,12 @@ def fit_em_many(df: DataFrame, vector: str, key: str, specs: dict, dims: int,
             offset = 0
             for name, (_, mix) in zip(active, params):
                 st = state[name]
-                k = st["k"]
-                size = 1 + k + k * dims + k * dims * dims
+                k, md = st["k"], st["d"]
+                size = 1 + k + k * md + k * md * md
                 chunk = total[offset:offset + size] if total is not None else np.zeros(size)
                 offset += size
                 st["hist"].append(chunk[0] / max(st["n"], 1))
-                st["mix"] = _m_step_arrays(chunk, k, dims, st["cov"])
+                st["mix"] = _m_step_arrays(chunk, k, md, st["cov"])
                 if len(st["hist"]) > 1 and abs(st["hist"][-1] - st["hist"][-2]) < tol:
                     st["done"] = True
         return {name: (st["mix"], st["hist"]) for name, st in state.items()}
@@ -221,16 +240,25 @@ def fit_em(df: DataFrame, vector: str, key: str, k: int, cov: str = "full", dims
     return out["m"]
 
 
-def classify_by_density(test: DataFrame, models: dict, vector: str, out: str = "prediction") -> DataFrame:
-    """L-14: the class whose mixture gives the larger log density (ties: the
-    smaller class label)."""
+def density_prediction(models: dict, vector: str) -> Column:
+    """The class whose mixture gives the larger log density (ties: the smaller
+    class label), as a column expression."""
     labels = sorted(models)
-    scores = [score_samples(test, models[c], vector) for c in labels]
-    best = F.greatest(*scores)
+    first = next(iter(models.values()))
+    d = first.means.shape[1]
+    xs = [F.get(F.col(vector), a).cast("double") for a in range(d)]
+    scores = [log_sum_exp(models[c].log_density_terms(xs)) for c in labels]
+    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
     pick = F.lit(None)
     for c, s in reversed(list(zip(labels, scores))):
         pick = F.when(s == best, F.lit(c)).otherwise(pick)
-    return test.withColumn(out, pick)
+    return pick
+
+
+def classify_by_density(test: DataFrame, models: dict, vector: str, out: str = "prediction") -> DataFrame:
+    """L-14: the class whose mixture gives the larger log density (ties: the
+    smaller class label)."""
+    return test.withColumn(out, density_prediction(models, vector))
 
 
 def mllib_full_mixture(df: DataFrame, vector: str, k: int, seed: int = 12345) -> Mixture:
@@ -242,3 +270,38 @@ def mllib_full_mixture(df: DataFrame, vector: str, k: int, seed: int = 12345) ->
     g = model.gaussians
     return Mixture(np.array(model.weights), np.array([m.mean.toArray() for m in g]),
                    np.array([m.cov.toArray() for m in g]))
+
+
+def accuracy_many(test: DataFrame, vector: str, label: str, settings: list[dict]) -> list[float]:
+    """Accuracy of many density classifiers (each a {class: Mixture} dict) on
+    the same rows in one pass: each partition scores every setting with numpy
+    and emits one row of correct counts; the driver adds them up."""
+    dims = max(next(iter(m.values())).means.shape[1] for m in settings)
+    xs = [F.get(F.col(vector), a).cast("double").alias(f"_x{a}") for a in range(dims)]
+
+    def run(batches):
+        acc = None
+        for pdf in batches:
+            x = pdf[[f"_x{a}" for a in range(dims)]].to_numpy(dtype=float)
+            y = pdf["_y"].to_numpy()
+            hits = []
+            for models in settings:
+                labels = sorted(models)
+                md = models[labels[0]].means.shape[1]
+                scores = []
+                for c in labels:
+                    ld = _log_dens(x[:, :md], models[c])
+                    top = ld.max(axis=1, keepdims=True)
+                    scores.append(top[:, 0] + np.log(np.exp(ld - top).sum(axis=1)))
+                pred = np.asarray(labels)[np.argmax(np.vstack(scores), axis=0)]
+                hits.append(float((pred == y).sum()))
+            vec = np.array([float(len(y))] + hits)
+            acc = vec if acc is None else acc + vec
+        if acc is not None:
+            yield pd.DataFrame({"stats": [acc.tolist()]})
+
+    rows = test.select(F.col(label).alias("_y"), *xs).mapInPandas(run, "stats array<double>").collect()
+    if not rows:
+        return [0.0] * len(settings)
+    total = np.sum([np.asarray(r["stats"]) for r in rows], axis=0)
+    return [h / total[0] if total[0] else 0.0 for h in total[1:]]

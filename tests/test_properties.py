@@ -88,3 +88,16 @@ def test_bernoulli_samples_follow_probabilities(spark):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_rows_only_queries_run(spark, name):
     assert QUERIES[name](spark, SMALL).count() >= 0
+
+
+def test_accuracy_many_matches_column_classifier(spark):
+    rng = np.random.default_rng(2)
+    pts = np.vstack([rng.normal(0, 1, (80, 2)), rng.normal(3, 1, (80, 2))])
+    df = spark.createDataFrame([(i, [float(a), float(b)], int(i >= 80)) for i, (a, b) in enumerate(pts)],
+                               "id long, v array<double>, y int")
+    models = {c: GM.fit_em(df.where(F.col("y") == c), "v", "id", 2, "diag", dims=2, max_iter=5)[0]
+              for c in (0, 1)}
+    via_numpy = GM.accuracy_many(df, "v", "y", [models])[0]
+    via_columns = GM.classify_by_density(df, models, "v").agg(
+        F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
+    assert via_numpy == pytest.approx(via_columns)
