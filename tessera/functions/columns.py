@@ -103,8 +103,9 @@ def row_argmax_name(cols: Sequence[str], names: Sequence[str] | None = None) ->
     names = list(names or cols)
     vals = F.array(*[_c(c).cast("double") for c in cols])
     best = F.array_max(vals)
-    return F.element_at(F.array(*[F.lit(n) for n in names]),
-                        F.array_position(vals, best).cast("int"))
+    return F.when(best.isNotNull(),
+                  F.element_at(F.array(*[F.lit(n) for n in names]),
+                               F.array_position(vals, best).cast("int")))
 
 
 def epoch_parts(epoch_seconds: str | Column, prefix: str = "") -> list[Column]:

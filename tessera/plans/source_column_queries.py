@@ -293,14 +293,20 @@ def p14_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("p15_recode", sql=f"""
-SELECT day, CASE WHEN view >= click THEN 'view' ELSE 'click' END || ',' ||
-            CASE WHEN purchase >= signup THEN 'purchase' ELSE 'signup' END AS label4
+SELECT day, CASE WHEN view IS NULL AND click IS NULL THEN NULL
+                 WHEN click IS NULL OR view >= click THEN 'viewLead' ELSE 'clickLead' END || ',' ||
+            CASE WHEN signup IS NULL AND purchase IS NULL THEN NULL
+                 WHEN purchase IS NULL OR signup >= purchase THEN 'signupLead' ELSE 'purchaseLead' END
+       AS label4
 FROM {_DAILY_WIDE_SQL}""")
 def p15_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winner of each column pair (first on ties, missing values skipped),
+    recoded to a '...Lead' label, the two joined into a 4-class label (null
+    when a pair has no value)."""
     wide = _daily_wide(Tables(spark, sf_dir))
-    a = F.when(F.col("view") >= F.col("click"), "view").otherwise("click")
-    b = F.when(F.col("purchase") >= F.col("signup"), "purchase").otherwise("signup")
-    return wide.select("day", F.concat_ws(",", a, b).alias("label4"))
+    a = C.row_argmax_name(["view", "click"], ["viewLead", "clickLead"])
+    b = C.row_argmax_name(["signup", "purchase"], ["signupLead", "purchaseLead"])
+    return wide.select("day", F.concat(a, F.lit(","), b).alias("label4"))
 
 
 @register("p16_label_code", sql="""

@@ -402,3 +402,11 @@ def test_timeslice_prunes_year_directories(spark, tmp_path):
     assert df.count() == want and df.columns == ["o_orderkey", "o_orderdate"]
     six = S.load_timeslice(spark, path, "o_orderdate", "6m", 1995, year_partition="year")
     assert six.count() == o.where("o_orderdate < timestamp'1995-07-01'").count()
+
+
+def test_row_mean_and_argmax_skip_nulls(spark):
+    df = spark.createDataFrame([(1.0, None, 3.0), (None, None, None), (2.0, 2.0, 1.0)],
+                               "a double, b double, c double")
+    rows = df.select(C.row_mean(["a", "b", "c"]).alias("m"),
+                     C.row_argmax_name(["a", "b", "c"]).alias("w")).collect()
+    assert [(r["m"], r["w"]) for r in rows] == [(2.0, "c"), (None, None), (5.0 / 3.0, "a")]
