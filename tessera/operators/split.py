@@ -18,6 +18,21 @@ _P = 2147483647  # 2^31 - 1
 _A = 48271       # MINSTD multiplier; products stay below 2^47
 
 
+def hash_value(key: str | Column, seed: int = 0) -> Column:
+    """Two Lehmer steps of (key + seed) mod 2^31-1: a bijection on [0, 2^31-1),
+    so distinct keys below that bound never collide."""
+    k = F.col(key) if isinstance(key, str) else key
+    x = F.pmod(k.cast("long") + F.lit(seed), F.lit(_P))
+    x = F.pmod(x * _A, F.lit(_P))
+    return F.pmod(x * _A, F.lit(_P))
+
+
+def hash_value_sql(key: str, seed: int = 0) -> str:
+    x = f"(({key} + {seed}) % {_P})"
+    x = f"(({x} * {_A}) % {_P})"
+    return f"(({x} * {_A}) % {_P})"
+
+
 def hash_bucket(key: str | Column, modulus: int, seed: int = 0) -> Column:
     """Deterministic bucket in [0, modulus) of an integer key (two Lehmer steps).
 
@@ -82,6 +97,15 @@ def hash_split(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int =
     return df.withColumn(out, F.when(b < int(round(train_fraction * 100)), "train").otherwise("dev"))
 
 
+def exact_split(df: DataFrame, key: str, dev_fraction: float = 0.2, seed: int = 0,
+                out: str = "split") -> DataFrame:
+    """U-05 with exact sizes: exactly ceil(dev_fraction * n) rows are 'dev',
+    chosen by a keyed hash order (a bijection on the key, so no ties); the
+    position comes from distributed prefix counts."""
+    return repeated_holdout(df, key, 1, dev_fraction, seed).drop("rep") \
+        .withColumnRenamed("split", out)
+
+
 def positional_split(df: DataFrame, order_key: str, first_n: int | None = None,
                      out: str = "part") -> DataFrame:
     """U-06: 'first' for the first ``first_n`` rows by ``order_key`` (default: half),
@@ -147,13 +171,24 @@ def sliding_test_folds(df: DataFrame, order_col: str, n_splits: int, test_size:
 
 def repeated_holdout(df: DataFrame, key: str, repeats: int, dev_fraction: float,
                      seed: int = 0) -> DataFrame:
-    """U-10: ``repeats`` independent hash holdouts in one pass: each row is
-    expanded to one row per repetition (a generator, not a join) and lands in
-    'dev' when its (key, repetition) hash falls below the fraction."""
+    """U-10: ``repeats`` independent random hold-outs, each with exactly
+    ceil(dev_fraction * n) dev rows, in one pass.
+
+    Every row is expanded to one row per repetition (a generator, not a join);
+    within repetition r rows are ordered by a keyed hash that is a bijection on
+    the key, and the first ceil(fraction * n) are 'dev'. The position within a
+    repetition comes from distributed prefix counts over (r, hash), so no
+    repetition is sorted on a single task.
+    """
+    n = df.select(F.count(F.lit(1))).scalar()
     x = df.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    b = hash_bucket(F.col(key).cast("long") * 1000 + F.col("rep"), 10_000, seed)
-    return x.withColumn("split", F.when(b < int(round(dev_fraction * 10_000)), "dev")
-                        .otherwise("train"))
+    x = x.withColumn("_h", F.col("rep").cast("long") * _P
+                     + hash_value(F.col(key).cast("long") + F.col("rep") * 7919, seed))
+    pos = counts_with_prefix(x.select("_h"), "_h").select("_h", "before")
+    x = x.join(pos, "_h")
+    rank_in_rep = F.col("before") - F.col("rep") * n
+    return x.withColumn("split", F.when(rank_in_rep < F.ceil(F.lit(dev_fraction) * n), "dev")
+                        .otherwise("train")).drop("_h", "before")
 
 
 def kfold(df: DataFrame, key: str, k: int, seed: int = 0, out: str = "fold") -> DataFrame:

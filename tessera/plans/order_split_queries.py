@@ -209,6 +209,15 @@ def u05_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.hash_split(d, "doc_id", 0.8)
 
 
+@register("u05_exact_split", sql=f"""
+WITH x AS (SELECT doc_id, {U.hash_value_sql('doc_id', 0)} AS h FROM documents),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY h) - 1 AS rk, count(*) OVER () AS n FROM x)
+SELECT doc_id, CASE WHEN rk < ceil(0.2 * n) THEN 'dev' ELSE 'train' END AS split FROM r""")
+def u05_exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Tables(spark, sf_dir).documents.select("doc_id")
+    return U.exact_split(d, "doc_id", 0.2)
+
+
 @register("u06_positional_split", sql="""
 SELECT vec_id, CASE WHEN row_number() OVER (ORDER BY vec_id) - 1 < floor(count(*) OVER () / 2)
        THEN 'first' ELSE 'rest' END AS part FROM embeddings""")
@@ -251,9 +260,12 @@ def u09_ts_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("u10_repeated_holdout", sql=f"""
-WITH x AS (SELECT doc_id, rep FROM documents, range(0, 25) t(rep))
-SELECT CAST(rep AS INTEGER) AS rep, CASE WHEN {U.hash_bucket_sql('doc_id * 1000 + rep', 10000, 5)} < 1000
-       THEN 'dev' ELSE 'train' END AS split, count(*) AS n FROM x GROUP BY 1, 2""")
+WITH x AS (SELECT doc_id, rep, {U.hash_value_sql('doc_id + rep * 7919', 5)} AS h
+           FROM documents, range(0, 25) t(rep)),
+r AS (SELECT rep, row_number() OVER (PARTITION BY rep ORDER BY h) - 1 AS rk,
+             count(*) OVER (PARTITION BY rep) AS n FROM x)
+SELECT CAST(rep AS INTEGER) AS rep, CASE WHEN rk < ceil(0.1 * n) THEN 'dev' ELSE 'train' END AS split,
+       count(*) AS n FROM r GROUP BY 1, 2""")
 def u10_repeated_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Tables(spark, sf_dir).documents.select("doc_id")
     r = U.repeated_holdout(d, "doc_id", 25, 0.1, seed=5)
@@ -261,6 +273,19 @@ def u10_repeated_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
+@register("u10_holdout_members", sql=f"""
+WITH x AS (SELECT doc_id, rep, {U.hash_value_sql('doc_id + rep * 7919', 5)} AS h
+           FROM documents, range(0, 25) t(rep)),
+r AS (SELECT doc_id, rep, row_number() OVER (PARTITION BY rep ORDER BY h) - 1 AS rk,
+             count(*) OVER (PARTITION BY rep) AS n FROM x)
+SELECT doc_id, CAST(rep AS INTEGER) AS rep FROM r WHERE rk < ceil(0.1 * n)""")
+def u10_holdout_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dev members of every repetition (which rows, not just how many)."""
+    d = Tables(spark, sf_dir).documents.select("doc_id")
+    r = U.repeated_holdout(d, "doc_id", 25, 0.1, seed=5)
+    return r.where(F.col("split") == "dev").select("doc_id", F.col("rep").cast("int").alias("rep"))
+
+
 @register("u11_kfold", sql=f"""
 SELECT doc_id, CAST({U.hash_bucket_sql('doc_id', 5, 1)} AS INTEGER) AS fold FROM labels""")
 def u11_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
