@@ -63,16 +63,32 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
     that many rounds.
     """
     spark = edges.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One partition per core of the cluster unless told otherwise; the
+    # per-round shuffles use the same count while the rounds run (the caller's
+    # setting is restored afterwards; every round's job runs inside here).
+    parts = partitions or spark.sparkContext.defaultParallelism
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        return _pagerank_rounds(edges, alpha, max_iter, tol, fixed_rounds, parts, checkpoint_every)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+
+
+def _pagerank_rounds(edges: DataFrame, alpha: float, max_iter: int, tol: float,
+                     fixed_rounds: int | None, parts: int, checkpoint_every: int) -> DataFrame:
+    def by(df: DataFrame, col: str) -> DataFrame:
+        return df.repartition(parts, col)
+
     e = edges.where(F.col("weight") > 0)
     out_w = e.groupBy("src").agg(F.sum("weight").alias("_w"))
     norm = e.join(out_w, "src").select("src", "dst", (F.col("weight") / F.col("_w")).alias("p"))
-    norm = cut_lineage(norm.repartition(parts, "src"), keep_partitioning=True)
+    norm = cut_lineage(by(norm, "src"), keep_partitioning=True)
     nodes = nodes_of(edges)
     has_out = out_w.select(F.col("src").alias("node"), F.lit(False).alias("_dangling_flag"))
-    nodes = cut_lineage(nodes.join(has_out, "node", "left")
-                        .select("node", F.col("_dangling_flag").isNull().alias("dangling"))
-                        .repartition(parts, "node"), keep_partitioning=True)
+    nodes = cut_lineage(by(nodes.join(has_out, "node", "left")
+                        .select("node", F.col("_dangling_flag").isNull().alias("dangling")),
+                        "node"), keep_partitioning=True)
     stats = nodes.agg(F.count(F.lit(1)).alias("n"),
                       F.count_if("dangling").alias("nd")).first()
     n = stats["n"]
