@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Delete reliable checkpoint files once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -85,12 +87,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
+def cut_lineage(df: DataFrame, keep_partitioning: bool = False,
+                path: str | None = None) -> DataFrame:
     """Materialise ``df`` on the shared checkpoint storage and continue from it.
 
     Default: write a parquet table under the checkpoint root and read it back
     (one job; survives executor loss; the read is column-pruned and filtered
-    like any table). ``keep_partitioning=True`` uses a reliable
+    like any table). ``path`` names the table explicitly and overwrites it,
+    for iterative jobs that alternate between two paths so their scratch
+    space stays bounded. ``keep_partitioning=True`` uses a reliable
     ``checkpoint()`` instead, which remembers the frame's hash partitioning so
     later joins on the same key do not shuffle it again; the frame is
     persisted meanwhile so the checkpoint write does not recompute it.
@@ -98,8 +103,11 @@ def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if not keep_partitioning:
-        path = scratch_path(spark, "cut")
-        df.write.mode("errorifexists").parquet(path)
+        if path is None:
+            path = scratch_path(spark, "cut")
+            df.write.mode("errorifexists").parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     df.persist()
     try:
