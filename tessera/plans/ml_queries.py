@@ -33,6 +33,10 @@ from tessera.session import cut_lineage, scratch_path
 from tessera.sources import files as S
 from tessera.sources.tables import Tables
 
+# No vocabulary cap (MLlib's default keeps only the 2^18 most frequent terms);
+# the vocabulary is part of the fitted model, as in any vector pipeline.
+UNCAPPED_VOCAB = 2**31 - 1
+
 CAT = ["event_type"]
 NUM = ["hour", "weekday", "prev_delayed", "n_prev_delays"]
 CUT = dt.datetime(2024, 1, 21)
@@ -271,7 +275,8 @@ def t13_vocab_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.feature import StringIndexer
 
     idx = StringIndexer(inputCol="lang", outputCol="label").fit(train)
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=2).fit(train)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=2,
+                         vocabSize=UNCAPPED_VOCAB).fit(train)
     tr = idx.transform(cv.transform(train)).cache()
     dv = idx.transform(cv.transform(dev))
     n = tr.count()
@@ -318,7 +323,8 @@ def t14_lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.clustering import LDA
 
     d = Tables(spark, sf_dir).documents.select("doc_id", X.tokens("text").alias("toks"))
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=2).fit(d)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=2,
+                         vocabSize=UNCAPPED_VOCAB).fit(d)
     model = LDA(k=5, maxIter=10, seed=1).fit(cv.transform(d))
     # The vocabulary already lives on the driver inside the fitted model.
     vocab = spark.createDataFrame(list(enumerate(cv.vocabulary)), "term_index int, term string")
