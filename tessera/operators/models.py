@@ -29,11 +29,12 @@ def logistic(max_iter: int = 30, reg: float = 0.01, elastic: float = 0.5, **kw)
                               standardization=False, **kw)
 
 
-def logistic_c(c: float, n_rows: int, penalty: str = "l2", max_iter: int = 100) -> LogisticRegression:
+def logistic_c(c: float, n_rows: int, penalty: str = "l2", max_iter: int = 100,
+               tol: float = 1e-6) -> LogisticRegression:
     """L-02: inverse strength C mapped to ``regParam = 1 / (C n)``; l1 or l2."""
     return LogisticRegression(maxIter=max_iter, regParam=1.0 / (c * max(n_rows, 1)),
                               elasticNetParam=1.0 if penalty == "l1" else 0.0,
-                              family="multinomial")
+                              family="multinomial", tol=tol)
 
 
 def random_forest(trees: int = 15, depth: int = 15, bins: int = 15, subsample: float = 0.6,

@@ -37,6 +37,9 @@ from tessera.sources.tables import Tables
 # the vocabulary is part of the fitted model, as in any vector pipeline.
 UNCAPPED_VOCAB = 2**31 - 1
 
+# The L1 strengths swept by the vocabulary reduction (inverse strength C).
+L1_STRENGTHS = [0.001, 0.01, 0.5, 1.0, 2.0, 5.0, 10.0, 50.0, 100.0]
+
 CAT = ["event_type"]
 NUM = ["hour", "weekday", "prev_delayed", "n_prev_delays"]
 CUT = dt.datetime(2024, 1, 21)
@@ -275,27 +278,33 @@ def t13_vocab_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.feature import StringIndexer
 
     idx = StringIndexer(inputCol="lang", outputCol="label").fit(train)
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=2,
+    cv = CountVectorizer(inputCol="toks", outputCol="features",
                          vocabSize=UNCAPPED_VOCAB).fit(train)
     tr = idx.transform(cv.transform(train)).cache()
     dv = idx.transform(cv.transform(dev))
     n = tr.count()
     vocab = cv.vocabulary
-    rows = []
-    for c in (0.1, 1.0, 10.0):
-        l1 = ML.logistic_c(c, n, "l1", max_iter=50).fit(tr)
+    tr2, dv2 = tr.drop("features"), dv.drop("features")
+
+    def one_strength(c: float):
+        l1 = ML.logistic_c(c, n, "l1", max_iter=50, tol=1e-4).fit(tr)
         keep = sorted({j for row in l1.coefficientMatrix.toArray() for j, w in enumerate(row) if w != 0})
         if not keep:
-            rows.append((c, 0, 0.0))
-            continue
+            return (c, 0, 0.0)
         kept_terms = [vocab[j] for j in keep]
         cvm = CountVectorizerModel.from_vocabulary(kept_terms, inputCol="toks", outputCol="features")
-        tr2, dv2 = tr.drop("features"), dv.drop("features")
-        l2 = ML.logistic_c(0.5, n, "l2", max_iter=50).fit(cvm.transform(tr2))
+        l2 = ML.logistic_c(0.5, n, "l2", max_iter=50, tol=1e-4).fit(cvm.transform(tr2))
         pred = l2.transform(cvm.transform(dv2))
         f1 = M.weighted_f1(M.per_class_report(pred.withColumn("label", F.col("label").cast("int"))
                                               .withColumn("prediction", F.col("prediction").cast("int"))))
-        rows.append((c, len(kept_terms), float(f1.first()[0] or 0.0)))
+        return (c, len(kept_terms), float(f1.first()[0] or 0.0))
+
+    # The strengths are independent fits: submit them as concurrent Spark jobs
+    # (as CrossValidator's parallelism does) instead of one after another.
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        rows = list(pool.map(one_strength, L1_STRENGTHS))
     tr.unpersist()
     return spark.createDataFrame(rows, "c double, vocab_size int, weighted_f1 double")
 
