@@ -410,3 +410,25 @@ def test_row_mean_and_argmax_skip_nulls(spark):
     rows = df.select(C.row_mean(["a", "b", "c"]).alias("m"),
                      C.row_argmax_name(["a", "b", "c"]).alias("w")).collect()
     assert [(r["m"], r["w"]) for r in rows] == [(2.0, "c"), (None, None), (5.0 / 3.0, "a")]
+
+
+def test_sparse_text_reader_edges(spark, tmp_path):
+    from tessera.sources import files as S
+
+    path = tmp_path / "sparse.txt"
+    path.write_text("1 3:1 5:1\n\n0\n  2 x:1 7:1  \n")
+    names = spark.createDataFrame([(3, "f3"), (7, "f7")], "idx int, name string")
+    rows = sorted(((r["label"], r["idx"], r["name"]) for r in
+                   S.read_sparse_text(spark, str(path), names).collect()), key=repr)
+    # blank line skipped, a label-only line has no features, a bad index is null
+    assert rows == sorted([("1", 3, "f3"), ("1", 5, None), ("2", None, None), ("2", 7, "f7")], key=repr)
+
+
+def test_headerless_csv_short_row(spark, tmp_path):
+    from tessera.sources import files as S
+
+    path = tmp_path / "dim.csv"
+    path.write_text("1,ALPHA,3\n2,BETA\nx,GAMMA,5\n")
+    rows = [tuple(r) for r in S.read_headerless_csv(spark, str(path), ["k", "name", "grp"],
+                                                   ["int", "string", "int"]).orderBy("name").collect()]
+    assert rows == [(1, "ALPHA", 3), (2, "BETA", None), (None, "GAMMA", 5)]
