@@ -61,10 +61,12 @@ def read_headerless_csv(spark: SparkSession, path: str, names: Sequence[str],
 def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType | str,
                          date_cols: dict[str, str] | None = None,
                          renames: dict[str, str] | None = None) -> DataFrame:
-    """S-03: CSV with a header, parse date columns (``{col: pattern}``), bulk rename."""
+    """S-03: CSV with a header, parse date columns (``{col: pattern}``), bulk rename.
+
+    A malformed date becomes null instead of failing the job (ANSI mode)."""
     df = spark.read.schema(schema).option("header", True).csv(path)
     for c, pattern in (date_cols or {}).items():
-        df = df.withColumn(c, F.to_date(F.col(c), pattern))
+        df = df.withColumn(c, F.to_date(F.try_to_timestamp(F.col(c), F.lit(pattern))))
     if renames:
         df = df.withColumnsRenamed(renames)
     return df

@@ -432,3 +432,31 @@ def test_headerless_csv_short_row(spark, tmp_path):
     rows = [tuple(r) for r in S.read_headerless_csv(spark, str(path), ["k", "name", "grp"],
                                                    ["int", "string", "int"]).orderBy("name").collect()]
     assert rows == [(1, "ALPHA", 3), (2, "BETA", None), (None, "GAMMA", 5)]
+
+
+def test_csv_with_header_dates_and_renames(spark, tmp_path):
+    from tessera.sources import files as S
+
+    path = tmp_path / "series.csv"
+    path.write_text("Dates,GrowthRet\n2020-01-03,0.5\n2020-01-06,\nbad-date,1.5\n")
+    df = S.read_csv_with_header(spark, str(path), "Dates string, GrowthRet double",
+                                date_cols={"Dates": "yyyy-MM-dd"},
+                                renames={"Dates": "date", "GrowthRet": "growth"})
+    rows = [tuple(r) for r in df.collect()]
+    assert df.columns == ["date", "growth"]
+    assert rows[0] == (dt.date(2020, 1, 3), 0.5) and rows[1] == (dt.date(2020, 1, 6), None)
+    assert rows[2] == (None, 1.5)
+
+
+def test_parquet_sink_modes(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from tessera.sources import files as S
+
+    path = str(tmp_path / "out")
+    df = spark.range(5)
+    S.write_parquet(df, path)
+    with pytest.raises(AnalysisException):
+        S.write_parquet(df, path)              # default mode: error if the path exists
+    S.write_parquet(spark.range(3), path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 3
