@@ -57,5 +57,6 @@ def auc(pred: DataFrame, score: str, label: str) -> DataFrame:
     All scores equal -> 0.5; perfect ranking -> 1.0."""
     c = score_counts(pred, score, label)
     num = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
-    return c.agg((num / (F.max("P") * F.max("N")).cast("double")).alias("auc"))
+    # Undefined (null) when one class is absent, rather than a division error.
+    return c.agg((num / F.nullif((F.max("P") * F.max("N")).cast("double"), F.lit(0.0))).alias("auc"))
 

@@ -83,8 +83,9 @@ def vocabulary_report(tf: DataFrame, doc_id: str = "doc_id") -> DataFrame:
         F.count_distinct(doc_id).alias("n_docs"),
         F.min("term").alias("first_term"),
         F.max("term").alias("last_term"),
-    ).select("*", (F.col("nnz") / F.col("n_docs")).alias("avg_nnz"),
-             (F.col("nnz") * 100.0 / (F.col("n_docs") * F.col("vocab_size"))).alias("density_pct"))
+    ).select("*", (F.col("nnz") / F.nullif(F.col("n_docs"), F.lit(0))).alias("avg_nnz"),
+             (F.col("nnz") * 100.0 / F.nullif(F.col("n_docs") * F.col("vocab_size"), F.lit(0)))
+             .alias("density_pct"))
 
 
 def out_of_vocabulary(train_tf: DataFrame, dev_tf: DataFrame) -> DataFrame:

@@ -460,3 +460,11 @@ def test_parquet_sink_modes(spark, tmp_path):
         S.write_parquet(df, path)              # default mode: error if the path exists
     S.write_parquet(spark.range(3), path, mode="overwrite")
     assert spark.read.parquet(path).count() == 3
+
+
+def test_auc_and_vocabulary_report_on_degenerate_input(spark):
+    one_class = spark.createDataFrame([(0.9, 1), (0.2, 1)], "s double, label int")
+    assert CV.auc(one_class, "s", "label").first()[0] is None
+    empty = spark.createDataFrame([], "doc_id long, term string, tf long")
+    r = T.vocabulary_report(empty).first()
+    assert r["vocab_size"] == 0 and r["avg_nnz"] is None and r["density_pct"] is None
