@@ -123,7 +123,7 @@ def j05_multikey(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("j06_stats_attach", sql="""
 SELECT l_orderkey, l_linenumber,
        round(l_extendedprice - (SELECT avg(l_extendedprice) FROM lineitem), 6) AS price_dev,
-       round(l_quantity / (SELECT max(l_quantity) FROM lineitem), 6) AS qty_share
+       round(l_quantity / nullif((SELECT max(l_quantity) FROM lineitem), 0), 6) AS qty_share
 FROM lineitem""")
 def j06_stats_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-row statistics attached to every row as scalar subqueries: Catalyst
@@ -133,7 +133,7 @@ def j06_stats_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = li.select(F.max("l_quantity")).scalar()
     return li.select("l_orderkey", "l_linenumber",
                      F.round(F.col("l_extendedprice") - mean, 6).alias("price_dev"),
-                     F.round(F.col("l_quantity") / top, 6).alias("qty_share"))
+                     F.round(F.col("l_quantity") / F.nullif(top, F.lit(0.0)), 6).alias("qty_share"))
 
 
 @register("j07_inner_key", sql="""
