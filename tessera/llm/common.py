@@ -72,3 +72,11 @@ def let(value, body):
 
 def flatten(parts):
     return itertools.chain.from_iterable(parts)
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it (Spark ignores case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

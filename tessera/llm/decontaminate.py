@@ -21,7 +21,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_rows
+from tessera.llm.common import fresh, map_rows
 from tessera.session import cut_lineage
 
 WINDOW = 10
@@ -247,8 +247,8 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, finish: Callable, sche
         if after is None:
             return map_rows(rows, make, schema)
         kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source)
-        fresh = "_" * (1 + max(map(len, columns)))
-        rows = cut_lineage(map_rows(rows, make, f"{kept}, `{fresh}runs` {_RUNS}, `{fresh}items` array<string>"))
+        more = f"`{fresh(columns, '_runs')}` {_RUNS}, `{fresh(columns, '_items')}` array<string>"
+        rows = cut_lineage(map_rows(rows, make, f"{kept}, {more}"))
         carried, block = True, after
     raise AssertionError("unreachable: the last block returns")
 
@@ -300,8 +300,6 @@ def remove(docs: DataFrame, benchmark: DataFrame, max_coverage: float = 0.5, win
         return (*values, n_hit <= max_coverage * len(words))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    keep = "_kept"
-    while keep in columns:
-        keep += "_"
+    keep = fresh(columns, "_kept")
     return scan_documents(docs, benchmark, finish, f"{schema}, `{keep}` boolean", columns, window,
                           block_words).where(F.col(keep)).drop(keep)

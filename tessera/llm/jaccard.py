@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo
+from tessera.llm.common import Memo, fresh
 from tessera.llm.components import components
 from tessera.session import cut_lineage
 
@@ -348,8 +348,10 @@ def keep_first(docs: DataFrame) -> DataFrame:
     without words stay. Of repeated rows of the least id all stay."""
     groups = near_groups(docs).where("doc_id is null or doc_id = component_id").select(
         F.col("doc_id").alias("_id")).distinct()
-    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
-    return whole.join(groups, F.col("doc.doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi").select("doc.*")
+    doc = fresh([*docs.columns, "_id"], "_doc")
+    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias(doc))
+    return whole.join(groups, F.col(f"{doc}.doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi").select(
+        f"{doc}.*")
 
 
 #: DuckDB SQL of ``near_groups`` for small tables.

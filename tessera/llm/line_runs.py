@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import fresh
 from tessera.session import cut_lineage
 
 MIN_WORDS = 50
@@ -166,20 +167,21 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", t
     gone = removals(docs, min_words, id_col, text_col).select(
         F.col("d").alias("_d"), F.col("th").alias("_th"), F.col("gone").alias("_gone"))
     columns = docs.columns
-    rows = docs.select(F.struct(*[F.col(c) for c in columns]).alias("doc"))
-    text = F.coalesce(F.col(f"doc.{text_col}"), F.lit(""))
+    doc = fresh(columns, "_doc")
+    rows = docs.select(F.struct(*[F.col(c) for c in columns]).alias(doc))
+    text = F.coalesce(F.col(f"{doc}.{text_col}"), F.lit(""))
     rows = rows.select(
-        "doc", F.coalesce(F.col(f"doc.{id_col}").cast("long"), F.lit(-(1 << 63))).alias("d"),
+        doc, F.coalesce(F.col(f"{doc}.{id_col}").cast("long"), F.lit(-(1 << 63))).alias("d"),
         F.xxhash64(text).alias("th"))
     rows = rows.join(gone, (F.col("d") == F.col("_d")) & (F.col("th") == F.col("_th")), "left")
-    t = F.col(f"doc.{text_col}")
+    t = F.col(f"{doc}.{text_col}")
     lines = F.split(t, "\n")
     filled = _lines(t)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1),
                           F.transform("_gone", lambda s: F.get(filled["pos"], s)))
     clean = F.when(F.col("_gone").isNull(), t).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    return rows.select("doc.*", clean.alias(out_col),
+    return rows.select(f"{doc}.*", clean.alias(out_col),
                        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(count_col))
 
 
@@ -197,9 +199,7 @@ def clean(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with its texts cleaned, all rows and columns kept; ``n_chars``,
     if there is one, follows the text."""
     columns = docs.columns
-    new, count = "_clean_text", "_n_removed"
-    while new in columns or count in columns:
-        new, count = new + "_", count + "_"
+    new, count = fresh(columns, "_clean_text"), fresh(columns, "_n_removed")
     out = dedup(docs, min_words, out_col=new, count_col=count)
     text = F.col(new)
     return out.select(*[

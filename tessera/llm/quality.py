@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import let
+from tessera.llm.common import fresh, let
 from tessera.session import cut_lineage
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -108,25 +108,28 @@ def fences(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP
         return local.groupBy(*keys).agg(
             F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(KLL_K)).alias(m) for m in rates])
 
-    def limits(rows, name):
+    def limits(rows, name, least=min_group):
         def one(metric, floor):
             low, mid, high = (F.kll_sketch_get_quantile_double(metric, F.lit(q)) for q in (0.25, 0.5, 0.75))
             spread = F.greatest(high - low, F.lit(floor))
             return F.struct((mid - fence * spread).alias("low"), (mid + fence * spread).alias("high"))
 
         return rows.select(*[c for c in ("lang", "source") if c in rows.columns], F.when(
-            F.col("n") >= min_group, F.array(*[one(m, f) for m, f in METRICS.items()])).alias(name))
+            F.col("n") >= least, F.array(*[one(m, f) for m, f in METRICS.items()])).alias(name))
 
     own = limits(local, "own")
     by_lang = limits(merged("lang"), "by_lang").withColumnRenamed("lang", "l2")
-    # the last resort, also of a small table
-    whole = limits(merged().withColumn("n", F.greatest("n", F.lit(min_group))), "overall")
     groups = measured.groupBy("lang", "source").agg(F.lit(1).alias("_")).drop("_")
     own = own.select(F.col("lang").alias("l1"), F.col("source").alias("s1"), "own")
     out = (groups.join(own, F.col("lang").eqNullSafe(F.col("l1")) & F.col("source").eqNullSafe(F.col("s1")), "left")
-           .join(by_lang, F.col("lang").eqNullSafe(F.col("l2")), "left")
-           .withColumn("one", F.lit(1)).join(whole.withColumn("one", F.lit(1)), "one", "left"))
-    return out.select("lang", "source", F.coalesce("own", "by_lang", "overall").alias("limits"))
+           .join(by_lang, F.col("lang").eqNullSafe(F.col("l2")), "left"))
+    # the last resort, also of a small table: one row of limits
+    whole = limits(merged(), "overall", 1).first()["overall"]
+    if whole is None:
+        return out.select("lang", "source", F.coalesce("own", "by_lang").alias("limits"))
+    whole = F.array(*[F.struct(F.lit(x["low"]).cast("double").alias("low"), F.lit(x["high"]).cast("double").alias("high"))
+                      for x in whole])
+    return out.select("lang", "source", F.coalesce("own", "by_lang", whole).alias("limits"))
 
 
 def judged(measured: DataFrame) -> DataFrame:
@@ -159,8 +162,8 @@ def report(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     columns = docs.columns
-    whole = docs.select(F.struct(*[F.col(c) for c in columns]).alias("doc"))
-    rows = whole.select("doc", F.col("doc.text").alias("text"), F.col("doc.lang").alias("lang"),
-                        F.col("doc.source").alias("source"))
+    doc = fresh([*columns, "text", "lang", "source"], "_doc")
+    whole = docs.select(F.struct(*[F.col(c) for c in columns]).alias(doc))
+    rows = whole.select(doc, *[F.col(f"{doc}.{c}").alias(c) for c in ("text", "lang", "source")])
     measured = cut_lineage(base_metrics(rows).drop("text"))
-    return judged(measured).where("kept").select("doc.*")
+    return judged(measured).where("kept").select(f"{doc}.*")
