@@ -21,8 +21,10 @@ frequent changes the work, never the result.
 
 Equal sets are one class from the start. Within the holders of a key, each is
 paired with the least; what these links leave apart is paired across the
-components. Every candidate is verified on the sets themselves, so links within
-a component that is known already are the only ones not looked at.
+components. A candidate whose dense sketches (1,024 bits) differ in more bits
+than linked sets can is dropped; every other one is verified on the sets
+themselves, so links within a component that is known already are the only ones
+not looked at.
 """
 
 from __future__ import annotations
@@ -50,6 +52,10 @@ BLOCKS_PER_SHINGLE = 0.3
 FREQUENT_SHARE = 1 / 400
 #: Shingles that are counted together within a task: bounds its memory.
 COUNT_CHUNK = 2_000_000
+#: Bits of the dense sketch (a power of two).
+SKETCH_BITS = 1024
+#: Bits of the map of wanted documents, a filter of fixed size before an exact join.
+WANTED_BITS = 1 << 24
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -91,6 +97,13 @@ def set_class(shingles: np.ndarray) -> tuple[int, int]:
     return int(pair[0].view(np.int64)), int(pair[1].view(np.int64))
 
 
+def dense_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parities of the shingles by their upper bits, as 64-bit words (signed)."""
+    odd = np.bincount((shingles >> np.uint64(65 - SKETCH_BITS.bit_length())).astype(np.int64),
+                      minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _blocks(shingles: np.ndarray, n_blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and fingerprints of the sketch's non-zero blocks, in order."""
     if not len(shingles):
@@ -145,13 +158,13 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint64).view(np.int64)
 
 
-SIGNATURES = "doc_id long, n int, c1 long, c2 long, shingle long, df long"
+SIGNATURES = "doc_id long, th long, n int, c1 long, c2 long, sketch array<long>, shingle long, df long"
 
 
 def signatures(docs: DataFrame, share: float = FREQUENT_SHARE) -> DataFrame:
-    """One row per document (doc_id, n, c1, c2), and rows (shingle, df) of the
+    """One row per document (doc_id, n, c1, c2, sketch), and rows (shingle, df) of the
     shingles that are frequent within a chunk of documents, written as one table."""
-    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
     names = [c.split()[0] for c in SIGNATURES.split(", ")]
 
     def run(batches):
@@ -163,13 +176,13 @@ def signatures(docs: DataFrame, share: float = FREQUENT_SHARE) -> DataFrame:
             n, m = len(rows), int(often.sum())
             columns = [list(c) + [None] * m for c in zip(*rows, strict=True)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 + [pa.array([None] * n + _signed(hashes[often]).tolist(), pa.int64()),
                    pa.array([None] * n + counts[often].tolist(), pa.int64())], names)
 
-        for doc_id, text in _texts(batches):
+        for doc_id, th, text in _texts(batches):
             shingles = shingle_set(text)
-            rows.append((doc_id, len(shingles), *set_class(shingles)))
+            rows.append((doc_id, th, len(shingles), *set_class(shingles), dense_sketch(shingles)))
             sets.append(shingles)
             held += len(shingles)
             if held >= COUNT_CHUNK or len(rows) >= 50_000:
@@ -178,7 +191,12 @@ def signatures(docs: DataFrame, share: float = FREQUENT_SHARE) -> DataFrame:
         if rows:
             yield batch()
 
-    return cut_lineage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNATURES))
+    return cut_lineage(_named(docs).mapInArrow(run, SIGNATURES))
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """doc_id, th (a hash of the text), text."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
 
 
 def _frequent(signed: DataFrame, share: float) -> np.ndarray:
@@ -241,9 +259,7 @@ def _holders(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 def _sets(docs: DataFrame) -> DataFrame:
     def run(batches):
-        classes, sets = [], []
-
-        held = 0
+        classes, sets, held = [], [], 0
 
         def batch():
             return pa.RecordBatch.from_arrays(
@@ -264,13 +280,56 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "c1 long, c2 long, items array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that link."""
+def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of the documents named in ``wanted`` (rep, th). A map of the
+    names' hashes, of fixed size, drops most of the others before the join."""
+    def place(doc_id, th):
+        return F.pmod(F.xxhash64(doc_id, th), F.lit(WANTED_BITS)) + 1
+
+    at = place("rep", "th")
+    maps = wanted.select(F.bitmap_bucket_number(at).alias("k"), F.bitmap_bit_position(at).alias("p")).groupBy(
+        "k").agg(F.bitmap_construct_agg("p").alias("bits")).toArrow().to_pylist()
+    bits = np.zeros((WANTED_BITS // 32768 + 1) * 4096, np.uint8)
+    for m in maps:
+        bits[(m["k"] - 1) * 4096:m["k"] * 4096] = np.frombuffer(m["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for batch in batches:
+            at = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            hit = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+            if hit.any():
+                yield pa.RecordBatch.from_arrays(
+                    [c.filter(pa.array(hit)) for c in batch.columns[1:]], ["doc_id", "th", "text"])
+
+    rows = _named(docs).where("text is not null")
+    rows = rows.select((place("doc_id", "th") - 1).alias("at"), "doc_id", "th", "text").mapInArrow(
+        run, "doc_id long, th long, text string")
+    names = wanted.select("rep", F.col("th").alias("th_"))
+    return rows.join(names, (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+
+
+def _maybe(pairs: DataFrame) -> DataFrame:
+    """Pairs (na, sa, nb, sb) whose sizes and dense sketches allow a link."""
+    distance = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+                           lambda n, x: n + x)
+    return pairs.where(_near_in_size("na", "nb")).where(9 * distance <= F.col("na") + F.col("nb"))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes that link, verified on their sets."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = cut_lineage(classes.join(nodes, "node", "left_semi").select("rep", "th").distinct())
+    sets = cut_lineage(_sets(_wanted_texts(docs, wanted)).select(_node().alias("node"), "items"))
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * common >= PERCENT * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return both.where(100 * common >= PERCENT * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
+
+
+def _node():
+    return F.concat(F.hex("c1"), F.lit("-"), F.hex("c2"))
 
 
 def _near_in_size(a: str, b: str):
@@ -280,39 +339,39 @@ def _near_in_size(a: str, b: str):
 def join_classes(docs: DataFrame, share: float = FREQUENT_SHARE, all_links: bool = False):
     """``(rows, classes, links)``:
 
-    rows: doc_id, n, c1, c2 of every document; classes: node, c1, c2, n, rep
-    (least doc_id); links (a, b, a < b) between nodes. With ``all_links`` every
+    rows: doc_id, n, c1, c2 of every document; classes: node, c1, c2, n, sketch,
+    rep (least doc_id, null if no row has one) and th (the hash of that row's
+    text); links (a, b, a < b) between nodes. With ``all_links`` every
     link between two classes is returned, else enough for the components.
     """
     signed = signatures(docs, share)
     rows = signed.where("df is null").select("doc_id", "n", "c1", "c2")
-    classes = rows.where("n > 0").groupBy("c1", "c2", "n").agg(F.min("doc_id").alias("rep"))
-    node = F.concat(F.hex("c1"), F.lit("-"), F.hex("c2"))
-    classes = cut_lineage(classes.select(node.alias("node"), "c1", "c2", "n", "rep"))
+    classes = signed.where("df is null and n > 0").groupBy("c1", "c2", "n").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"), F.first("sketch").alias("sketch"))
+    classes = cut_lineage(classes.select(_node().alias("node"), "c1", "c2", "n", F.col("first.doc_id").alias("rep"),
+                                         "first.th", "sketch"))
     held = cut_lineage(_holders(docs, _frequent(signed, share)))
-    ids = classes.select("c1", "node", "n")
-    hub = ids.select(F.col("c1").alias("hub"), F.col("node").alias("a"), F.col("n").alias("na"))
-    other = ids.select("c1", F.col("node").alias("b"), F.col("n").alias("nb"))
-    stars = held.select("hub", "c1").distinct().join(other, "c1").join(hub, "hub").where(
-        (F.col("a") != F.col("b")) & _near_in_size("na", "nb"))
-    stars = cut_lineage(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    ids = classes.select("c1", "node", "n", "sketch")
 
-    members = held.select("key", "c1").unionByName(held.select("key", F.col("hub").alias("c1"))).distinct()
-    wanted = members.select("c1").distinct().join(classes, "c1").select("node", "c1", "c2", "rep")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(
-        wanted.select("rep").distinct(), "rep", "left_semi")
-    sets = cut_lineage(_sets(texts).dropDuplicates(["c1", "c2"]).join(
-        wanted.select("c1", "c2", "node"), ["c1", "c2"]).select("node", "items"))
+    def end(c1, node, n, sketch):
+        return ids.select(F.col("c1").alias(c1), F.col("node").alias(node), F.col("n").alias(n),
+                          F.col("sketch").alias(sketch))
 
-    links = cut_lineage(_verified(stars, sets))
-    known = components(links)
-    parts = members.join(ids, "c1").join(known, "node", "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("component"))
+    stars = held.select("hub", "c1").distinct().join(end("c1", "b", "nb", "sb"), "c1").join(
+        end("hub", "a", "na", "sa"), "hub").where("a != b")
+    stars = _maybe(stars).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    stars = cut_lineage(stars.distinct())
+    links = cut_lineage(_verified(stars, docs, classes))
+
+    members = held.select("key", "c1").unionByName(held.select("key", F.col("hub").alias("c1"))).distinct()
+    parts = members.join(ids.select("c1", "node", "n"), "c1")
     if all_links:
         parts = parts.withColumn("component", F.col("node"))
+    else:
+        parts = parts.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     # keys whose holders are of several components; pairs of components of a key, then of their members
     mixed = parts.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    parts = cut_lineage(parts.join(mixed.select("key"), "key"))
+    parts = cut_lineage(parts.select("key", "node", "n", "component").join(mixed.select("key"), "key"))
     groups = parts.select("key", "component").distinct()
     across = groups.select("key", F.col("component").alias("p")).join(
         groups.select("key", F.col("component").alias("q")), "key").where("p < q")
@@ -320,8 +379,10 @@ def join_classes(docs: DataFrame, share: float = FREQUENT_SHARE, all_links: bool
     right = parts.select("key", F.col("component").alias("q"), F.col("node").alias("w"), F.col("n").alias("nw"))
     pairs = across.join(left, ["key", "p"]).join(right, ["key", "q"]).where(_near_in_size("nu", "nw"))
     pairs = pairs.select(F.least("u", "w").alias("a"), F.greatest("u", "w").alias("b")).distinct()
-    rest = cut_lineage(_verified(pairs.join(stars, ["a", "b"], "left_anti"), sets))
-    return rows, classes, links.unionByName(rest)
+    pairs = pairs.join(stars, ["a", "b"], "left_anti")
+    pairs = pairs.join(end("_a", "a", "na", "sa"), "a").join(end("_b", "b", "nb", "sb"), "b")
+    rest = _verified(cut_lineage(_maybe(pairs).select("a", "b")), docs, classes)
+    return rows, classes, links.unionByName(cut_lineage(rest))
 
 
 def near_groups(docs: DataFrame, share: float = FREQUENT_SHARE) -> DataFrame:

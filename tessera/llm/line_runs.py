@@ -173,7 +173,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", t
     rows = rows.select(
         doc, F.coalesce(F.col(f"{doc}.{id_col}").cast("long"), F.lit(-(1 << 63))).alias("d"),
         F.xxhash64(text).alias("th"))
-    rows = rows.join(gone, (F.col("d") == F.col("_d")) & (F.col("th") == F.col("_th")), "left")
+    # one plan at every size: what is deleted grows with the documents
+    rows = rows.join(gone.hint("merge"), (F.col("d") == F.col("_d")) & (F.col("th") == F.col("_th")), "left")
     t = F.col(f"{doc}.{text_col}")
     lines = F.split(t, "\n")
     filled = _lines(t)

@@ -197,12 +197,14 @@ def test_near_groups_of_edited_copies(spark, share):
             words = list(words)
             for at in rng.integers(0, len(words), 1 + len(words) // 70):
                 words[at] = f"u{rng.integers(0, 10**6)}"
+    rows += [(None, rows[0][1]), (None, f"{rows[9][1]} more"), (None, f"{rows[9][1]} more")]
     shared = " ".join(f"p{i}" for i in range(30))
     rows += [(len(rows) + k, f"{shared} x{k} y{k} z{k} " * (1 + k % 2)) for k in range(10)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert bag(jaccard.near_groups(docs, share).collect()) == bag(near_groups(rows))
+    docs = docs.where("doc_id is not null")
     _, classes, links = jaccard.join_classes(docs, share, all_links=True)
-    sets = {i: jaccard.shingle_set(t) for i, t in rows}
+    sets = {i: jaccard.shingle_set(t) for i, t in rows if i is not None}
     rep = {r["node"]: r["rep"] for r in classes.collect()}
     want = {(i, j) for i in rep.values() for j in rep.values() if i < j and 100 * len(
         c := np.intersect1d(sets[i], sets[j])) >= 80 * (len(sets[i]) + len(sets[j]) - len(c))}
