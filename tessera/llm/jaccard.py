@@ -19,12 +19,12 @@ the difference holds for what is left as well. A document with too little left
 also gives the keys of its whole set, by the same rule. Which shingles count as
 frequent changes the work, never the result.
 
-Equal sets are one class from the start. Within the holders of a key, each is
-paired with the least; what these links leave apart is paired across the
-components. A candidate whose dense sketches (1,024 bits) differ in more bits
-than linked sets can is dropped; every other one is verified on the sets
-themselves, so links within a component that is known already are the only ones
-not looked at.
+Equal sets are one class from the start, named by a 64-bit fingerprint. Within
+the holders of a key, each is paired with the least. What these links leave
+apart is compared across the components by dense sketches (1,024 bits) within
+the tasks; a pair that differs in more bits than linked sets can is never
+emitted, and every other one is verified on the sets themselves. So links
+within a component that is known already are the only ones not looked at.
 """
 
 from __future__ import annotations
@@ -54,6 +54,8 @@ FREQUENT_SHARE = 1 / 400
 COUNT_CHUNK = 2_000_000
 #: Bits of the dense sketch (a power of two).
 SKETCH_BITS = 1024
+#: Holders of a key that are compared together.
+CELL = 4096
 #: Bits of the map of wanted documents, a filter of fixed size before an exact join.
 WANTED_BITS = 1 << 24
 
@@ -89,12 +91,10 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(_mix(total, size))
 
 
-def set_class(shingles: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit fingerprints of a set (signed)."""
-    one = np.bitwise_xor.reduce(_mix(shingles, 11)) if len(shingles) else np.uint64(0)
-    two = _mix(shingles, 12).sum(dtype=np.uint64)
-    pair = _mix(np.array([one, two], np.uint64), len(shingles))
-    return int(pair[0].view(np.int64)), int(pair[1].view(np.int64))
+def set_class(shingles: np.ndarray) -> int:
+    """A 64-bit fingerprint of a set (signed)."""
+    total = _mix(shingles, 12).sum(dtype=np.uint64)
+    return int(_mix(np.array([total], np.uint64), len(shingles))[0].view(np.int64))
 
 
 def dense_sketch(shingles: np.ndarray) -> np.ndarray:
@@ -158,13 +158,13 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint64).view(np.int64)
 
 
-SIGNATURES = "doc_id long, th long, n int, c1 long, c2 long, sketch array<long>, shingle long, df long"
+SIGNATURES = "doc_id long, th long, n int, node long, sketch array<long>, shingle long, df long"
 
 
 def signatures(docs: DataFrame, share: float = FREQUENT_SHARE) -> DataFrame:
-    """One row per document (doc_id, n, c1, c2, sketch), and rows (shingle, df) of the
+    """One row per document (doc_id, th, n, node, sketch), and rows (shingle, df) of the
     shingles that are frequent within a chunk of documents, written as one table."""
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
     names = [c.split()[0] for c in SIGNATURES.split(", ")]
 
     def run(batches):
@@ -182,7 +182,7 @@ def signatures(docs: DataFrame, share: float = FREQUENT_SHARE) -> DataFrame:
 
         for doc_id, th, text in _texts(batches):
             shingles = shingle_set(text)
-            rows.append((doc_id, th, len(shingles), *set_class(shingles), dense_sketch(shingles)))
+            rows.append((doc_id, th, len(shingles), set_class(shingles), dense_sketch(shingles)))
             sets.append(shingles)
             held += len(shingles)
             if held >= COUNT_CHUNK or len(rows) >= 50_000:
@@ -222,7 +222,7 @@ def _holders(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
         for (text,) in _texts(batches):
             shingles = shingle_set(text)
-            c1, _ = set_class(shingles)
+            c1 = set_class(shingles)
             if c1 in seen:
                 continue
             if len(seen) < 1_000_000:
@@ -263,8 +263,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
         def batch():
             return pa.RecordBatch.from_arrays(
-                [pa.array([c[0] for c in classes], pa.int64()), pa.array([c[1] for c in classes], pa.int64()),
-                 pa.array(sets, pa.list_(pa.int64()))], ["c1", "c2", "items"])
+                [pa.array(classes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "items"])
 
         for (text,) in _texts(batches):
             shingles = shingle_set(text)
@@ -277,7 +276,7 @@ def _sets(docs: DataFrame) -> DataFrame:
         if sets:
             yield batch()
 
-    return docs.select("text").mapInArrow(run, "c1 long, c2 long, items array<long>")
+    return docs.select("text").mapInArrow(run, "node long, items array<long>")
 
 
 def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -320,7 +319,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     """The pairs (a, b) of nodes that link, verified on their sets."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = cut_lineage(classes.join(nodes, "node", "left_semi").select("rep", "th").distinct())
-    sets = cut_lineage(_sets(_wanted_texts(docs, wanted)).select(_node().alias("node"), "items"))
+    sets = cut_lineage(_sets(_wanted_texts(docs, wanted)))
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -328,10 +327,6 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     return both.where(100 * common >= PERCENT * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
 
 
-def _node():
-    return F.concat(F.hex("c1"), F.lit("-"), F.hex("c2"))
-
-
 def _near_in_size(a: str, b: str):
     return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
 
@@ -339,52 +334,88 @@ def _near_in_size(a: str, b: str):
 def join_classes(docs: DataFrame, share: float = FREQUENT_SHARE, all_links: bool = False):
     """``(rows, classes, links)``:
 
-    rows: doc_id, n, c1, c2 of every document; classes: node, c1, c2, n, sketch,
-    rep (least doc_id, null if no row has one) and th (the hash of that row's
+    rows: doc_id, n, node of every document; classes: node, n, sketch, rep
+    (least doc_id, null if no row has one) and th (the hash of that row's
     text); links (a, b, a < b) between nodes. With ``all_links`` every
     link between two classes is returned, else enough for the components.
     """
     signed = signatures(docs, share)
-    rows = signed.where("df is null").select("doc_id", "n", "c1", "c2")
-    classes = signed.where("df is null and n > 0").groupBy("c1", "c2", "n").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"), F.first("sketch").alias("sketch"))
-    classes = cut_lineage(classes.select(_node().alias("node"), "c1", "c2", "n", F.col("first.doc_id").alias("rep"),
-                                         "first.th", "sketch"))
+    rows = signed.where("df is null").select("doc_id", "n", "node")
+    classes = signed.where("df is null and n > 0").groupBy("node").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"), F.first("n").alias("n"),
+        F.first("sketch").alias("sketch"))
+    classes = cut_lineage(classes.select("node", "n", F.col("first.doc_id").alias("rep"), "first.th", "sketch"))
     held = cut_lineage(_holders(docs, _frequent(signed, share)))
-    ids = classes.select("c1", "node", "n", "sketch")
 
-    def end(c1, node, n, sketch):
-        return ids.select(F.col("c1").alias(c1), F.col("node").alias(node), F.col("n").alias(n),
-                          F.col("sketch").alias(sketch))
+    def end(node, n, sketch):
+        return classes.select(F.col("node").alias(node), F.col("n").alias(n), F.col("sketch").alias(sketch))
 
-    stars = held.select("hub", "c1").distinct().join(end("c1", "b", "nb", "sb"), "c1").join(
-        end("hub", "a", "na", "sa"), "hub").where("a != b")
-    stars = _maybe(stars).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    stars = cut_lineage(stars.distinct())
+    stars = held.select(F.col("hub").alias("a"), F.col("c1").alias("b")).distinct()
+    stars = _maybe(stars.join(end("a", "na", "sa"), "a").join(end("b", "nb", "sb"), "b")).select("a", "b")
+    stars = cut_lineage(stars)
     links = cut_lineage(_verified(stars, docs, classes))
 
-    members = held.select("key", "c1").unionByName(held.select("key", F.col("hub").alias("c1"))).distinct()
-    parts = members.join(ids.select("c1", "node", "n"), "c1")
+    parts = held.select("key", F.col("c1").alias("node")).unionByName(
+        held.select("key", F.col("hub").alias("node")).distinct())
     if all_links:
         parts = parts.withColumn("component", F.col("node"))
     else:
         parts = parts.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    # keys whose holders are of several components; pairs of components of a key, then of their members
-    mixed = parts.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    parts = cut_lineage(parts.select("key", "node", "n", "component").join(mixed.select("key"), "key"))
-    groups = parts.select("key", "component").distinct()
-    across = groups.select("key", F.col("component").alias("p")).join(
-        groups.select("key", F.col("component").alias("q")), "key").where("p < q")
-    left = parts.select("key", F.col("component").alias("p"), F.col("node").alias("u"), F.col("n").alias("nu"))
-    right = parts.select("key", F.col("component").alias("q"), F.col("node").alias("w"), F.col("n").alias("nw"))
-    pairs = across.join(left, ["key", "p"]).join(right, ["key", "q"]).where(_near_in_size("nu", "nw"))
-    pairs = pairs.select(F.least("u", "w").alias("a"), F.greatest("u", "w").alias("b")).distinct()
-    pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    pairs = pairs.join(end("_a", "a", "na", "sa"), "a").join(end("_b", "b", "nb", "sb"), "b")
-    rest = _verified(cut_lineage(_maybe(pairs).select("a", "b")), docs, classes)
+    mixed = parts.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.count(F.lit(1)).alias("m")).where("lo != hi")
+    parts = parts.join(mixed.select("key", "m"), "key").join(classes.select("node", "n", "sketch"), "node")
+    pairs = _across(parts).distinct().join(stars, ["a", "b"], "left_anti")
+    rest = _verified(cut_lineage(pairs), docs, classes)
     return rows, classes, links.unionByName(cut_lineage(rest))
 
 
+def _across(parts: DataFrame) -> DataFrame:
+    """Pairs of nodes of different components that hold a key together and whose
+    sizes and sketches allow a link. The holders of a key are dealt to chunks of
+    ``CELL`` rows, and every two chunks meet in one cell, so a task holds two
+    chunks at most."""
+    chunks = F.ceil(F.col("m") / CELL).cast("int")
+    rows = parts.withColumn("i", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    rows = rows.select("key", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "i", "component", "node",
+                       "n", "sketch")
+
+    def run(batches):
+        cell, held = None, []
+
+        def pairs():
+            node, n, part, chunk = (np.array(c) for c in zip(*[h[:4] for h in held], strict=True))
+            sketch = np.array([h[4] for h in held], np.int64)
+            one_chunk = cell[1] == cell[2]
+            for k in range(1, len(held)):
+                near = (5 * n[:k] >= 4 * n[k]) & (5 * n[k] >= 4 * n[:k]) & (part[:k] != part[k])
+                if not one_chunk:
+                    near &= chunk[:k] != chunk[k]
+                at = np.flatnonzero(near)
+                if len(at):
+                    distance = np.bitwise_count(sketch[at] ^ sketch[k]).sum(1, dtype=np.int64)
+                    at = at[9 * distance <= n[at] + n[k]]
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.minimum(node[at], node[k])), pa.array(np.maximum(node[at], node[k]))],
+                            ["a", "b"])
+
+        def gathered():
+            small = list(pairs()) if len(held) > 1 else []
+            return pa.Table.from_batches(small).combine_chunks().to_batches() if small else []
+
+        for batch in batches:
+            for key, p, q, i, component, node, n, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, p, q) != cell:
+                    yield from gathered()
+                    cell, held = (key, p, q), []
+                held.append((node, n, component, i, sketch))
+        yield from gathered()
+
+    cell = ["key", "p", "q"]
+    return rows.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, "a long, b long")
+
+
 def near_groups(docs: DataFrame, share: float = FREQUENT_SHARE) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the least doc_id
     that links reach; the row's own id without words).
@@ -393,12 +424,11 @@ def near_groups(docs: DataFrame, share: float = FREQUENT_SHARE) -> DataFrame:
     are one class. A null id is not the least unless there is no other.
     """
     rows, classes, links = join_classes(docs.select("doc_id", "text"), share)
-    known = components(links)
-    nodes = classes.join(known, "node", "left").select(
-        "c1", "c2", "rep", F.coalesce("component", "node").alias("component"))
+    nodes = classes.select("node", "rep").join(components(links), "node", "left").select(
+        "node", "rep", F.coalesce("component", "node").alias("component"))
     least = nodes.groupBy("component").agg(F.min("rep").alias("component_id"))
-    nodes = nodes.join(least, "component").select("c1", "c2", "component_id")
-    filled = rows.where("n > 0").join(nodes, ["c1", "c2"], "left").select(
+    nodes = nodes.join(least, "component").select("node", "component_id")
+    filled = rows.where("n > 0").join(nodes, "node", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
     return filled.unionByName(rows.where("n = 0").select(
         "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
