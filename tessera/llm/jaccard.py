@@ -19,12 +19,14 @@ the difference holds for what is left as well. A document with too little left
 also gives the keys of its whole set, by the same rule. Which shingles count as
 frequent changes the work, never the result.
 
-Equal sets are one class from the start, named by a 64-bit fingerprint. Within
-the holders of a key, each is paired with the least. What these links leave
-apart is compared across the components by dense sketches (1,024 bits) within
-the tasks; a pair that differs in more bits than linked sets can is never
-emitted, and every other one is verified on the sets themselves. So links
-within a component that is known already are the only ones not looked at.
+Equal sets are one class from the start, named by a 64-bit fingerprint. Pairs
+whose dense sketches (1,024 bits) differ in more bits than those of linked sets
+can are never emitted; all others are verified on the sets themselves. First
+each class is paired with one hub, the least holder of one of its keys. Then
+the holders of a key that these links leave in different components are
+compared within the tasks: once each with the nearest before it, and after that
+with all. So links within a component that is known already are the only ones
+not looked at, and groups of copies give pairs in proportion to their members.
 """
 
 from __future__ import annotations
@@ -350,30 +352,33 @@ def join_classes(docs: DataFrame, share: float = FREQUENT_SHARE, all_links: bool
     def end(node, n, sketch):
         return classes.select(F.col("node").alias(node), F.col("n").alias(n), F.col("sketch").alias(sketch))
 
-    stars = held.select(F.col("hub").alias("a"), F.col("c1").alias("b")).distinct()
-    stars = _maybe(stars.join(end("a", "na", "sa"), "a").join(end("b", "nb", "sb"), "b")).select("a", "b")
-    stars = cut_lineage(stars)
-    links = cut_lineage(_verified(stars, docs, classes))
-
     parts = held.select("key", F.col("c1").alias("node")).unionByName(
         held.select("key", F.col("hub").alias("node")).distinct())
     if all_links:
-        parts = parts.withColumn("component", F.col("node"))
-    else:
-        parts = parts.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        pairs = cut_lineage(_across(parts.withColumn("component", F.col("node")), classes).distinct())
+        return rows, classes, cut_lineage(_verified(pairs, docs, classes))
+
+    stars = held.select(F.col("hub").alias("a"), F.col("c1").alias("b")).distinct()
+    stars = _maybe(stars.join(end("a", "na", "sa"), "a").join(end("b", "nb", "sb"), "b"))
+    tried = cut_lineage(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = cut_lineage(_verified(tried, docs, classes))
+    for nearest in (True, False):
+        known = parts.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        pairs = _across(known, classes, nearest).distinct().join(tried, ["a", "b"], "left_anti")
+        pairs = cut_lineage(pairs)
+        tried = tried.unionByName(pairs)
+        links = links.unionByName(cut_lineage(_verified(pairs, docs, classes)))
+    return rows, classes, links
+
+
+def _across(parts: DataFrame, classes: DataFrame, nearest: bool = False) -> DataFrame:
+    """Pairs of nodes of different components that hold a key together and whose
+    sizes and sketches allow a link; with ``nearest`` only the nearest earlier
+    one of each. The holders of a key are dealt to chunks of ``CELL`` rows, and
+    every two chunks meet in one cell, so a task holds two chunks at most."""
     mixed = parts.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                      F.count(F.lit(1)).alias("m")).where("lo != hi")
     parts = parts.join(mixed.select("key", "m"), "key").join(classes.select("node", "n", "sketch"), "node")
-    pairs = _across(parts).distinct().join(stars, ["a", "b"], "left_anti")
-    rest = _verified(cut_lineage(pairs), docs, classes)
-    return rows, classes, links.unionByName(cut_lineage(rest))
-
-
-def _across(parts: DataFrame) -> DataFrame:
-    """Pairs of nodes of different components that hold a key together and whose
-    sizes and sketches allow a link. The holders of a key are dealt to chunks of
-    ``CELL`` rows, and every two chunks meet in one cell, so a task holds two
-    chunks at most."""
     chunks = F.ceil(F.col("m") / CELL).cast("int")
     rows = parts.withColumn("i", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn(
         "j", F.explode(F.sequence(F.lit(0), chunks - 1)))
@@ -385,7 +390,7 @@ def _across(parts: DataFrame) -> DataFrame:
 
         def pairs():
             node, n, part, chunk = (np.array(c) for c in zip(*[h[:4] for h in held], strict=True))
-            sketch = np.array([h[4] for h in held], np.int64)
+            sketch = np.array([h[4] for h in held], np.int64).view(np.uint64)  # signed counts are of absolute values
             one_chunk = cell[1] == cell[2]
             for k in range(1, len(held)):
                 near = (5 * n[:k] >= 4 * n[k]) & (5 * n[k] >= 4 * n[:k]) & (part[:k] != part[k])
@@ -394,7 +399,10 @@ def _across(parts: DataFrame) -> DataFrame:
                 at = np.flatnonzero(near)
                 if len(at):
                     distance = np.bitwise_count(sketch[at] ^ sketch[k]).sum(1, dtype=np.int64)
-                    at = at[9 * distance <= n[at] + n[k]]
+                    allowed = 9 * distance <= n[at] + n[k]
+                    at = at[allowed]
+                    if nearest and len(at):
+                        at = at[[distance[allowed].argmin()]]
                     if len(at):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.minimum(node[at], node[k])), pa.array(np.maximum(node[at], node[k]))],
