@@ -105,7 +105,6 @@ class Codes:
 
 # -- encoding -----------------------------------------------------------------
 
-#: White space at which a chunk of text may end: ASCII only.
 @lru_cache(maxsize=2)
 def _encoder(spec: str):
     """A function from a text's UTF-8 bytes to its ids as little-endian uint32.
@@ -124,12 +123,21 @@ def _encoder(spec: str):
     tokenizer.no_padding()
 
     def ids_of(text: bytes) -> bytes:
-        ids = tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids
+        ids = tokenizer.encode_batch_fast([text.decode("utf-8")], add_special_tokens=False)[0].ids
         return np.array(ids, "<u4").tobytes()
 
     if not _cuts_at_space(json.loads(spec)):
         return ids_of
-    memo = Memo(ids_of)
+    def parts(run: bytes) -> bytes:
+        # the library lower-cases, and a full stop or comma after a letter is a word of its own
+        if b"<|" not in run:
+            if run.lower() != run:
+                return memo[run.lower()]
+            if run[-1:] in (b".", b",") and len(run) > 1 and 97 <= run[-2] <= 122:
+                return memo[run[:-1]] + memo[run[-1:]]
+        return ids_of(run)
+
+    memo = Memo(parts, 500_000)
 
     def encode(text: bytes) -> bytes:
         return b"".join(map(memo.__getitem__, text.split()))  # bytes.split() cuts at ASCII white space
