@@ -92,9 +92,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
     """
     by = [by] if isinstance(by, str) else list(by)
     tb = right_tiebreak or right_ts
+    tb_type = right.schema[tb].dataType  # the tie-break keeps its own type
     lcols = left.columns
     l = left.withColumn("_cut", micros(left_ts) - F.lit(lead_seconds * 1_000_000)) \
-            .withColumn("_side", F.lit(1)).withColumn("_tb", F.lit(None).cast("long"))
+            .withColumn("_side", F.lit(1)).withColumn("_tb", F.lit(None).cast(tb_type))
     r = right
     for k in by:
         r = r.where(F.col(k).isNotNull())
@@ -102,7 +103,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
         *by,
         micros(right_ts).alias("_cut"),
         F.lit(0).alias("_side"),
-        F.col(tb).cast("long").alias("_tb"),
+        F.col(tb).alias("_tb"),
         F.struct(*[F.col(c).alias(f"{prefix}{c}") for c in right_cols]).alias("_r"),
     )
     u = l.unionByName(r, allowMissingColumns=True)

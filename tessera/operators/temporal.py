@@ -71,7 +71,10 @@ def previous_leg_flag(df: DataFrame, unit: str, ts: str, delay: str, date: str |
             *keys,
             F.lag("_t1", 1).over(wb).alias("_x1"),
             F.coalesce(F.lag("_t2", 1).over(wb), F.lag("_t1", 2).over(wb)).alias("_x2"))
-        x = b.join(carry, keys, "left") \
+        # null-safe: rows without a unit form a group of their own, as in the plain form
+        carry = carry.select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)], "_x1", "_x2")
+        same = [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate(keys)]
+        x = b.join(carry, same, "left") \
              .withColumn("_p1", F.when(F.col("_rn") >= 2, F.col("_l1")).otherwise(F.col("_x1"))) \
              .withColumn("_p2", F.when(F.col("_rn") >= 3, F.col("_l2"))
                                  .when(F.col("_rn") == 2, F.col("_x1")).otherwise(F.col("_x2")))
@@ -127,11 +130,14 @@ def trailing_count(df: DataFrame, place: str, ts: str, delay: str, date: str | N
         F.count(F.lit(1)).alias("_bn"), F.sum("_hit").alias("_bh"))
     marks = u.where("_side = 1").select(*bk).distinct()
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = marks.join(totals, bk, "full") \
-                  .select(*bk,
+    zero = marks.select(*bk, F.lit(0).cast("long").alias("_bn"), F.lit(0).cast("long").alias("_bh"))
+    sums = totals.unionByName(zero).groupBy(*bk).agg(F.sum("_bn").alias("_bn"), F.sum("_bh").alias("_bh"))
+    prefix = sums.select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(bk)],
                           F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_pn"),
                           F.coalesce(F.sum("_bh").over(wb), F.lit(0)).alias("_ph"))
-    got = u.where("_side = 1").join(prefix, bk, "left") \
+    # null-safe: rows without a place form a group of their own, as in the plain form
+    same = [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate(bk)]
+    got = u.where("_side = 1").join(prefix, same, "left") \
            .select("_row.*",
                    F.when(F.col("_in_n") + F.col("_pn") > 0,
                           F.col("_in_hit") + F.col("_ph")).cast("long").alias(out))
