@@ -80,6 +80,8 @@ def _pagerank_rounds(edges: DataFrame, alpha: float, max_iter: int, tol: float,
     def by(df: DataFrame, col: str) -> DataFrame:
         return df.repartition(parts, col)
 
+    # Read five times below: evaluate the caller's edge query once.
+    edges = cut_lineage(edges.select("src", "dst", "weight"))
     e = edges.where(F.col("weight") > 0)
     out_w = e.groupBy("src").agg(F.sum("weight").alias("_w"))
     norm = e.join(out_w, "src").select("src", "dst", (F.col("weight") / F.col("_w")).alias("p"))

@@ -1,8 +1,7 @@
 """Joins: role-playing dimensions, nearest-per-group attach, as-of enrichment.
 
-Broadcasts are guarded: a side is hinted only after a bounded ``count`` proves
-it small (``bounded_broadcast``); otherwise the plain join is left to AQE,
-which still converts it at run time when the shuffled side turns out small.
+No side is hinted for broadcast: the planner and adaptive execution decide from
+the bytes of a side, known from its files or measured at run time.
 """
 
 from __future__ import annotations
@@ -14,19 +13,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import micros
 
-# Row bound under which a dimension is hinted for broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a limit pushed into the
-    scan), so it is cheap for a real dimension and bounded for a large one.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def prefixed(df: DataFrame, cols: Sequence[str], prefix: str) -> list[Column]:
     """P-12: qualified, renamed projection of ``cols`` (``x`` -> ``PREFIX_x``)."""
@@ -34,14 +20,13 @@ def prefixed(df: DataFrame, cols: Sequence[str], prefix: str) -> list[Column]:
 
 
 def role_join(fact: DataFrame, dim: DataFrame, dim_key: str,
-              roles: dict[str, str], cols: Sequence[str],
-              max_dim_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              roles: dict[str, str], cols: Sequence[str]) -> DataFrame:
     """J-01: join one dimension once per role (e.g. origin, destination).
 
     ``roles`` maps a fact column to a prefix; each role is a left join against
-    the (size-checked) dimension with its columns renamed by the prefix.
+    the dimension with its columns renamed by the prefix.
     """
-    small = bounded_broadcast(dim.select(dim_key, *cols), max_dim_rows)
+    small = dim.select(dim_key, *cols)
     out = fact
     for fact_key, prefix in roles.items():
         d = small.select(F.col(dim_key).alias(f"{prefix}{dim_key}"),

@@ -87,12 +87,11 @@ def calibration(pred: DataFrame, edges: Sequence[float], prob: str = "max_poster
     """M-06: bucket i holds rows with edges[i-1] < p <= edges[i] (edges[-1] = 0);
     total, correct and accuracy per bucket, empty buckets kept with zeros."""
     edges = list(edges)
-    b = F.lit(None).cast("int")
+    b = F.lit(-1)  # outside all buckets; dropped by the join with the bucket table
     for i in reversed(range(len(edges))):
         lo = edges[i - 1] if i > 0 else 0.0
         b = F.when((F.col(prob) > lo) & (F.col(prob) <= edges[i]), F.lit(i)).otherwise(b)
     counts = pred.select(b.alias("bucket"), (F.col(label) == F.col(prediction)).alias("ok")) \
-                 .where(F.col("bucket").isNotNull()) \
                  .groupBy("bucket").agg(F.count(F.lit(1)).alias("total"), F.count_if("ok").alias("correct"))
     spark = pred.sparkSession
     table = spark.createDataFrame([(i, float(edges[i - 1]) if i else 0.0, float(edges[i]))

@@ -31,6 +31,15 @@ def _bucket_of(key: Column, bounds: Column) -> Column:
     return F.size(F.filter(bounds, lambda b: b < key))
 
 
+def _order_code(key: str, dtype: str) -> Column:
+    """A number that never falls as ``key`` rises: the key itself, or a text's
+    first seven bytes."""
+    if dtype.startswith(_RANGE_TYPES):
+        return F.col(key)
+    head = F.substring(F.hex(F.col(key).cast("string").cast("binary")), 1, 14)
+    return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("long")
+
+
 def prefix_sums(df: DataFrame, key: str, weights: dict[str, Column],
                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One row per distinct non-null ``key`` with, for every named weight w:
@@ -41,9 +50,8 @@ def prefix_sums(df: DataFrame, key: str, weights: dict[str, Column],
     per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(
         *[F.sum(c).alias(n) for n, c in weights.items()])
     dtype = per_key.schema[key].dataType.typeName()
-    if not (n_buckets > 1 and dtype.startswith(_RANGE_TYPES)):
-        # Keys without a numeric order (labels, names): the distinct keys are
-        # few, so one window over them gives the prefix and the total directly.
+    if n_buckets <= 1 or not dtype.startswith((*_RANGE_TYPES, "string", "varchar", "char")):
+        # One range by the caller's choice, or keys of a nested type.
         wi = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
         wall = Window.partitionBy()
         return per_key.select(
@@ -51,11 +59,12 @@ def prefix_sums(df: DataFrame, key: str, weights: dict[str, Column],
             *[F.coalesce(F.sum(n).over(wi), F.lit(0)).alias(f"{n}_before") for n in names],
             *[F.sum(n).over(wall).alias(f"{n}_total") for n in names])
     probs = [i / n_buckets for i in range(1, n_buckets)]
+    code = _order_code(key, dtype)
     bounds = per_key.select(
-        F.percentile_approx(F.col(key), F.array(*[F.lit(p) for p in probs]), 10_000)
+        F.percentile_approx(code, F.array(*[F.lit(p) for p in probs]), 10_000)
         .alias("b")).scalar()
     per_key = per_key.withColumn("_bounds", bounds) \
-                     .withColumn("_bucket", _bucket_of(F.col(key), F.col("_bounds"))) \
+                     .withColumn("_bucket", _bucket_of(code, F.col("_bounds"))) \
                      .drop("_bounds")
     per_bucket = per_key.groupBy("_bucket").agg(*[F.sum(n).alias(f"_b_{n}") for n in names])
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -146,12 +155,13 @@ def first_come_rank(df: DataFrame, value: str, key: str, out: str = "rank",
     base = df.where(F.col(value).isNotNull()).withColumn("_v", F.col(value))
     ranks = counts_with_prefix(base.select("_v"), "_v", n_buckets)
     kdt = base.schema[key].dataType.typeName()
-    if n_buckets > 1 and kdt.startswith(_RANGE_TYPES):
+    if n_buckets > 1 and kdt.startswith((*_RANGE_TYPES, "string", "varchar", "char")):
+        code = _order_code(key, kdt)
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        kb = base.select(F.percentile_approx(F.col(key), F.array(*[F.lit(p) for p in probs]), 10_000)
+        kb = base.select(F.percentile_approx(code, F.array(*[F.lit(p) for p in probs]), 10_000)
                          .alias("b")).scalar()
         base = base.withColumn("_kbounds", kb) \
-                   .withColumn("_kb", _bucket_of(F.col(key), F.col("_kbounds"))).drop("_kbounds")
+                   .withColumn("_kb", _bucket_of(code, F.col("_kbounds"))).drop("_kbounds")
     else:
         base = base.withColumn("_kb", F.lit(0))
     within = base.withColumn("_r_in", F.row_number().over(

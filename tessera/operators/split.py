@@ -8,6 +8,7 @@ features and labels stay aligned because they share the key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +21,10 @@ _A = 48271       # MINSTD multiplier; products stay below 2^47
 
 def hash_value(key: str | Column, seed: int = 0) -> Column:
     """Two Lehmer steps of (key + seed) mod 2^31-1: a bijection on [0, 2^31-1),
-    so distinct keys below that bound never collide."""
+    so distinct keys below that bound never collide (larger ones can: exact
+    orders break ties by the key)."""
     k = F.col(key) if isinstance(key, str) else key
-    x = F.pmod(k.cast("long") + F.lit(seed), F.lit(_P))
+    x = F.pmod(F.pmod(k.cast("long"), F.lit(_P)) + F.lit(seed), F.lit(_P))
     x = F.pmod(x * _A, F.lit(_P))
     return F.pmod(x * _A, F.lit(_P))
 
@@ -33,24 +35,22 @@ def hash_value_sql(key: str, seed: int = 0) -> str:
     return f"(({x} * {_A}) % {_P})"
 
 
+def below(fraction: float) -> int:
+    """Hash values below this bound make up ``fraction`` of [0, 2^31-1)."""
+    return round(fraction * _P)
+
+
 def hash_bucket(key: str | Column, modulus: int, seed: int = 0) -> Column:
     """Deterministic bucket in [0, modulus) of an integer key (two Lehmer steps).
 
     Only integer arithmetic that any SQL engine reproduces exactly; for
     non-integer keys pass ``F.xxhash64(...)``.
     """
-    k = F.col(key) if isinstance(key, str) else key
-    x = F.pmod(k.cast("long") + F.lit(seed), F.lit(_P))
-    x = F.pmod(x * _A, F.lit(_P))
-    x = F.pmod(x * _A, F.lit(_P))
-    return F.pmod(x, F.lit(modulus))
+    return F.pmod(hash_value(key, seed), F.lit(modulus))
 
 
 def hash_bucket_sql(key: str, modulus: int, seed: int = 0) -> str:
-    x = f"(({key} + {seed}) % {_P})"
-    x = f"(({x} * {_A}) % {_P})"
-    x = f"(({x} * {_A}) % {_P})"
-    return f"({x} % {modulus})"
+    return f"({hash_value_sql(key, seed)} % {modulus})"
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
@@ -58,10 +58,10 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def hash_sample(df: DataFrame, key: str | Column, fraction: float, seed: int = 0,
-                resolution: int = 10_000) -> DataFrame:
+def hash_sample(df: DataFrame, key: str | Column, fraction: float,
+                seed: int = 0) -> DataFrame:
     """U-02: keep rows whose key hashes below ``fraction``; reproducible anywhere."""
-    return df.where(hash_bucket(key, resolution, seed) < int(round(fraction * resolution)))
+    return df.where(hash_value(key, seed) < below(fraction))
 
 
 def rebalance(df: DataFrame, label: str, minority, minority_fraction: float,
@@ -83,9 +83,7 @@ def class_weights(df: DataFrame, label: str, weights: dict | str = "balanced",
         n = counts.select(F.sum("_nc")).scalar()
         k = counts.select(F.count(F.lit(1))).scalar()
         table = counts.select(label, (n / (k * F.col("_nc"))).alias(out))
-        from tessera.operators.joins import bounded_broadcast
-
-        return df.join(bounded_broadcast(table), label, "left")
+        return df.join(table, label, "left")
     mapping = F.create_map(*[x for kv in weights.items() for x in (F.lit(kv[0]), F.lit(float(kv[1])))])
     return df.withColumn(out, mapping[F.col(label)])
 
@@ -93,15 +91,15 @@ def class_weights(df: DataFrame, label: str, weights: dict | str = "balanced",
 def hash_split(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int = 0,
                out: str = "split") -> DataFrame:
     """U-05: 'train' / 'dev' by key hash; features and labels align by key."""
-    b = hash_bucket(key, 100, seed)
-    return df.withColumn(out, F.when(b < int(round(train_fraction * 100)), "train").otherwise("dev"))
+    train = hash_value(key, seed) < below(train_fraction)
+    return df.withColumn(out, F.when(train, "train").otherwise("dev"))
 
 
 def exact_split(df: DataFrame, key: str, dev_fraction: float = 0.2, seed: int = 0,
                 out: str = "split") -> DataFrame:
     """U-05 with exact sizes: exactly ceil(dev_fraction * n) rows are 'dev',
-    chosen by a keyed hash order (a bijection on the key, so no ties); the
-    position comes from distributed prefix counts."""
+    chosen by a keyed hash order, ties by the key; the position comes from
+    distributed prefix counts. Keys are integers and unique."""
     return repeated_holdout(df, key, 1, dev_fraction, seed).drop("rep") \
         .withColumnRenamed("split", out)
 
@@ -175,15 +173,17 @@ def repeated_holdout(df: DataFrame, key: str, repeats: int, dev_fraction: float,
     ceil(dev_fraction * n) dev rows, in one pass.
 
     Every row is expanded to one row per repetition (a generator, not a join);
-    within repetition r rows are ordered by a keyed hash that is a bijection on
-    the key, and the first ceil(fraction * n) are 'dev'. The position within a
-    repetition comes from distributed prefix counts over (r, hash), so no
-    repetition is sorted on a single task.
+    within repetition r rows are ordered by a keyed hash, ties by the key itself,
+    and the first ceil(fraction * n) are 'dev'. The position within a repetition
+    comes from distributed prefix counts over (r, hash, key) as one decimal, so
+    no repetition is sorted on a single task. Keys are integers and unique.
     """
     n = df.select(F.count(F.lit(1))).scalar()
     x = df.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    x = x.withColumn("_h", F.col("rep").cast("long") * _P
-                     + hash_value(F.col(key).cast("long") + F.col("rep") * 7919, seed))
+    k = F.col(key).cast("long")
+    h = F.col("rep").cast("long") * _P + hash_value(F.pmod(k, F.lit(_P)) + F.col("rep") * 7919, seed)
+    x = x.withColumn("_h", (h.cast("decimal(18,0)") * F.lit(Decimal(1 << 64))
+                            + k.cast("decimal(19,0)")).cast("decimal(38,0)"))
     pos = counts_with_prefix(x.select("_h"), "_h").select("_h", "before")
     x = x.join(pos, "_h")
     rank_in_rep = F.col("before") - F.col("rep") * n

@@ -9,12 +9,10 @@ fixed vocabularies) are joined after a bounded size check.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokens as token_array
-from tessera.operators.joins import bounded_broadcast
-
 
 def term_counts(docs: DataFrame, doc_id: str = "doc_id", text: str | Column = "text",
                 toks: Column | None = None) -> DataFrame:
@@ -36,12 +34,12 @@ def min_df_vocabulary(tf: DataFrame, min_df: int) -> DataFrame:
 
 def restrict_to_vocabulary(tf: DataFrame, vocab: DataFrame) -> DataFrame:
     """T-05 / T-08: keep only vocabulary terms (semi join, broadcast when small)."""
-    return tf.join(bounded_broadcast(vocab.select("term").distinct()), "term", "left_semi")
+    return tf.join(vocab.select("term").distinct(), "term", "left_semi")
 
 
 def remove_stop_words(tf: DataFrame, stop: DataFrame) -> DataFrame:
     """T-12: drop stop words (anti join against a broadcast-checked list)."""
-    return tf.join(bounded_broadcast(stop.select("term").distinct()), "term", "left_anti")
+    return tf.join(stop.select("term").distinct(), "term", "left_anti")
 
 
 def frequent_terms_as_stop_words(tf: DataFrame, max_df_share: float,
@@ -59,8 +57,7 @@ def tfidf(tf: DataFrame, doc_id: str = "doc_id", normalize: bool = True,
 
     n is the corpus size (pass the document table's row count, which includes
     documents without any term; default: documents present in ``tf``); df is
-    joined on term; the row norm is an aggregate joined back on doc_id (both
-    equi-joins, no per-document collection).
+    joined on term; the row norm is a window over the document's distinct terms.
     """
     if n_docs is None:
         n_docs = tf.select(F.count_distinct(doc_id)).scalar()
@@ -69,9 +66,8 @@ def tfidf(tf: DataFrame, doc_id: str = "doc_id", normalize: bool = True,
     w = tf.join(dfs, "term").select(doc_id, "term", "tf", (F.col("tf") * idf).alias("w"))
     if not normalize:
         return w
-    norms = w.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norms, doc_id).select(doc_id, "term", "tf",
-                                        (F.col("w") / F.nullif("_norm", F.lit(0.0))).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
+    return w.select(doc_id, "term", "tf", (F.col("w") / F.nullif(norm, F.lit(0.0))).alias("w"))
 
 
 def vocabulary_report(tf: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -106,7 +102,7 @@ def lexicon_sentiment(tf: DataFrame, lexicon: DataFrame, doc_id: str = "doc_id")
     """T-16: per document, positive and negative token shares from a
     (term, polarity in {1, -1}) lexicon; flag = positive share > negative."""
     tot = tf.groupBy(doc_id).agg(F.sum("tf").alias("_n"))
-    hits = tf.join(bounded_broadcast(lexicon), "term").groupBy(doc_id).agg(
+    hits = tf.join(lexicon, "term").groupBy(doc_id).agg(
         F.sum(F.when(F.col("polarity") > 0, F.col("tf")).otherwise(0)).alias("_pos"),
         F.sum(F.when(F.col("polarity") < 0, F.col("tf")).otherwise(0)).alias("_neg"))
     x = tot.join(hits, doc_id, "left").fillna(0, ["_pos", "_neg"])

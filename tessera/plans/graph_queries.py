@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
 from tessera.operators.encode import zscore
-from tessera.operators.joins import bounded_broadcast
 from tessera.plans.join_profile_queries import _ROUTE_SQL, _route_fact
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
 ROUNDS = 20
@@ -79,7 +79,7 @@ FROM nodes LEFT JOIN o USING (node) LEFT JOIN i USING (node)"""
 
 @register("g02_degree", sql=f"SELECT node, round(degree_centrality, 9) AS degree_centrality FROM ({_DEGREE_SQL})")
 def g02_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = G.degree_centrality(nation_edges(Tables(spark, sf_dir)))
+    d = G.degree_centrality(cut_lineage(nation_edges(Tables(spark, sf_dir))))
     return d.select("node", F.round("degree_centrality", 9).alias("degree_centrality"))
 
 
@@ -96,10 +96,10 @@ def g03_pagerank_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nation_metrics(t: Tables) -> DataFrame:
-    e = nation_edges(t)
+    e = cut_lineage(nation_edges(t))  # read by both metrics
     d = G.degree_centrality(e)
     r = G.pagerank(e, ALPHA, fixed_rounds=ROUNDS).withColumnRenamed("rank", "page_rank")
-    return d.join(r, "node")
+    return cut_lineage(d.join(r, "node"))
 
 
 _NATION_METRICS_SQL = f"""(SELECT d.node, d.degree_centrality, p.r AS page_rank
@@ -137,7 +137,7 @@ SELECT f.l_orderkey, f.l_linenumber, round(a.degree_centrality, 9) AS CUST_degre
 FROM {_ROUTE_SQL} f LEFT JOIN m a ON f.c_nationkey = a.node LEFT JOIN m b ON f.s_nationkey = b.node""")
 def j09_graph_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    m = bounded_broadcast(nation_metrics(t))
+    m = nation_metrics(t)
     x = G.attach_node_metrics(_route_fact(t), m, {"c_nationkey": "CUST_", "s_nationkey": "SUPP_"})
     return x.select("l_orderkey", "l_linenumber",
                     F.round("CUST_degree_centrality", 9).alias("CUST_degree_centrality"),

@@ -18,8 +18,8 @@ def _route_fact(t: Tables) -> DataFrame:
     """lineitem with the customer's and the supplier's nation (J-01 roles)."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
     o = t.orders.select("o_orderkey", "o_custkey")
-    c = J.bounded_broadcast(t.customer.select("c_custkey", "c_nationkey"))
-    s = J.bounded_broadcast(t.supplier.select("s_suppkey", "s_nationkey"))
+    c = t.customer.select("c_custkey", "c_nationkey")
+    s = t.supplier.select("s_suppkey", "s_nationkey")
     fact = li.join(o, li["l_orderkey"] == o["o_orderkey"]) \
              .join(c, F.col("o_custkey") == F.col("c_custkey")) \
              .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -68,7 +68,6 @@ def j02_nearest_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = t.supplier.select("s_nationkey", "s_suppkey", "s_acctbal")
     nearest = J.nearest_per_group(sup, "s_nationkey", "s_acctbal", keep_ties=False,
                                   tiebreak=["s_suppkey"])
-    nearest = J.bounded_broadcast(nearest)
     cust = t.customer.select("c_custkey", "c_nationkey")
     return cust.join(nearest, cust["c_nationkey"] == nearest["s_nationkey"], "left").select(
         "c_custkey", F.col("s_suppkey").alias("nearest_suppkey"),
@@ -140,7 +139,7 @@ def j06_stats_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def j07_inner_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    n = J.bounded_broadcast(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"))
+    n = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return t.customer.join(n, "c_nationkey").select("c_custkey", "n_name")
 
 

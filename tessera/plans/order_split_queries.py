@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tessera.operators import curves as CV
 from tessera.operators import encode as N
 from tessera.operators import split as U
-from tessera.operators.joins import bounded_broadcast
 from tessera.operators.ranking import counts_with_prefix, first_come_deciles, percent_rank_global
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
@@ -161,7 +160,7 @@ def u01_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("u02_hash_sample", sql=f"""
-SELECT event_id FROM events WHERE {U.hash_bucket_sql('event_id', 10000, 7)} < 500""")
+SELECT event_id FROM events WHERE {U.hash_value_sql('event_id', 7)} < {U.below(0.05)}""")
 def u02_hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events.select("event_id")
     return U.hash_sample(ev, "event_id", 0.05, seed=7)
@@ -202,7 +201,7 @@ def u04_fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("u05_hash_split", sql=f"""
-SELECT doc_id, CASE WHEN {U.hash_bucket_sql('doc_id', 100, 0)} < 80 THEN 'train' ELSE 'dev' END
+SELECT doc_id, CASE WHEN {U.hash_value_sql('doc_id', 0)} < {U.below(0.8)} THEN 'train' ELSE 'dev' END
        AS split FROM documents""")
 def u05_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Tables(spark, sf_dir).documents.select("doc_id")
@@ -211,7 +210,7 @@ def u05_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("u05_exact_split", sql=f"""
 WITH x AS (SELECT doc_id, {U.hash_value_sql('doc_id', 0)} AS h FROM documents),
-r AS (SELECT doc_id, row_number() OVER (ORDER BY h) - 1 AS rk, count(*) OVER () AS n FROM x)
+r AS (SELECT doc_id, row_number() OVER (ORDER BY h, doc_id) - 1 AS rk, count(*) OVER () AS n FROM x)
 SELECT doc_id, CASE WHEN rk < ceil(0.2 * n) THEN 'dev' ELSE 'train' END AS split FROM r""")
 def u05_exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Tables(spark, sf_dir).documents.select("doc_id")
@@ -262,7 +261,7 @@ def u09_ts_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("u10_repeated_holdout", sql=f"""
 WITH x AS (SELECT doc_id, rep, {U.hash_value_sql('doc_id + rep * 7919', 5)} AS h
            FROM documents, range(0, 25) t(rep)),
-r AS (SELECT rep, row_number() OVER (PARTITION BY rep ORDER BY h) - 1 AS rk,
+r AS (SELECT rep, row_number() OVER (PARTITION BY rep ORDER BY h, doc_id) - 1 AS rk,
              count(*) OVER (PARTITION BY rep) AS n FROM x)
 SELECT CAST(rep AS INTEGER) AS rep, CASE WHEN rk < ceil(0.1 * n) THEN 'dev' ELSE 'train' END AS split,
        count(*) AS n FROM r GROUP BY 1, 2""")
@@ -276,7 +275,7 @@ def u10_repeated_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("u10_holdout_members", sql=f"""
 WITH x AS (SELECT doc_id, rep, {U.hash_value_sql('doc_id + rep * 7919', 5)} AS h
            FROM documents, range(0, 25) t(rep)),
-r AS (SELECT doc_id, rep, row_number() OVER (PARTITION BY rep ORDER BY h) - 1 AS rk,
+r AS (SELECT doc_id, rep, row_number() OVER (PARTITION BY rep ORDER BY h, doc_id) - 1 AS rk,
              count(*) OVER (PARTITION BY rep) AS n FROM x)
 SELECT doc_id, CAST(rep AS INTEGER) AS rep FROM r WHERE rk < ceil(0.1 * n)""")
 def u10_holdout_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,5 +333,5 @@ SELECT event_id, label FROM events JOIN idx USING (event_type) WHERE label != 2"
 def n04_drop_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events.select("event_id", "event_type")
     idx = N.frequency_index(ev, "event_type", out="label").select("event_type", "label")
-    return N.drop_label(ev.join(bounded_broadcast(idx), "event_type"), "label", 2) \
+    return N.drop_label(ev.join(idx, "event_type"), "label", 2) \
             .select("event_id", "label")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
 from tessera.functions import columns as C
-from tessera.operators.joins import asof_join, bounded_broadcast
+from tessera.operators.joins import asof_join
 from tessera.operators.ranking import counts_with_prefix
 from tessera.plans.core_queries import ASOF_BUCKET_SECONDS, clean_events, enriched_purchases
 from tessera.plans.registry import register
@@ -248,7 +248,7 @@ FROM events LEFT JOIN z USING (event_type)""")
 def p10_to_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events
     zones = spark.createDataFrame(_ZONES, "event_type string, tz string")
-    x = ev.join(bounded_broadcast(zones), "event_type", "left")
+    x = ev.join(zones, "event_type", "left")
     return x.select("event_id", C.to_utc(F.col("ts").cast("timestamp"), "tz")
                     .cast("timestamp_ntz").alias("utc_ts"))
 
@@ -316,7 +316,7 @@ def p16_label_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = Tables(spark, sf_dir).customer
     codes = counts_with_prefix(cust.select("c_mktsegment").distinct(), "c_mktsegment") \
         .select("c_mktsegment", F.col("before").cast("long").alias("segment_code"))
-    return cust.join(bounded_broadcast(codes), "c_mktsegment").select("c_custkey", "segment_code")
+    return cust.join(codes, "c_mktsegment").select("c_custkey", "segment_code")
 
 
 @register("p17_text_len", sql="""
@@ -366,8 +366,9 @@ def p21_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", C.contains_any(toks, ["the", "and"]).alias("has_word"))
 
 
-_IMAGE_RE = "imgur|\\.jpg|\\.png|picture|photo"
-_LINK_RE = "https?://|www\\."
+# The flags' patterns.
+_IMAGE_RE = "(imgur\\.com|\\.jpg|png|picture|pic|youtube)"
+_LINK_RE = "http[s]?://\\S+|www\\."
 
 
 @register("p22_regex_flags", sql=f"""
@@ -487,6 +488,6 @@ def p12_role_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t.customer
     n = t.nation
     x = o.join(c, o["o_custkey"] == c["c_custkey"]) \
-         .join(bounded_broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")
+         .join(n, c["c_nationkey"] == n["n_nationkey"], "left")
     return x.select(o["o_orderkey"], *prefixed(c, ["c_name", "c_mktsegment"], "CUST_"),
                     *prefixed(n, ["n_name"], "CUST_"))

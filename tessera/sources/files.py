@@ -110,9 +110,7 @@ def read_sparse_text(spark: SparkSession, path: str, names: DataFrame | None = N
     x = x.select("line_hash", "label",
                  F.get(F.split("_tok", ":"), 0).try_cast("int").alias("idx"))
     if names is not None:
-        from tessera.operators.joins import bounded_broadcast
-
-        x = x.join(bounded_broadcast(names), "idx", "left")
+        x = x.join(names, "idx", "left")
     return x
 
 
