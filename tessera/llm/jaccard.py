@@ -20,8 +20,10 @@ also gives the keys of its whole set, by the same rule. Which shingles count as
 frequent changes the work, never the result.
 
 Equal sets are one class from the start, named by a 64-bit fingerprint. Pairs
-whose dense sketches (1,024 bits) differ in more bits than those of linked sets
-can are never emitted; all others are verified on the sets themselves. First
+whose dense sketches differ in more bits than those of linked sets can are
+never emitted; all others are verified on the sets themselves. A dense sketch
+has about a bit for each shingle, so that it tells long sets apart as well, and
+folds to the length of a shorter one by XOR of its halves. First
 each class is paired with one hub, the least holder of one of its keys. Then
 the holders of a key that these links leave in different components are
 compared within the tasks: once each with the nearest before it, and after that
@@ -54,8 +56,11 @@ BLOCKS_PER_SHINGLE = 0.3
 FREQUENT_SHARE = 1 / 400
 #: Shingles that are counted together within a task: bounds its memory.
 COUNT_CHUNK = 2_000_000
-#: Bits of the dense sketch (a power of two).
-SKETCH_BITS = 1024
+#: Least and most bits of a dense sketch (powers of two). Between them it has a
+#: bit for each shingle; beyond, fewer pairs are told apart before verification.
+SKETCH_BITS = (1 << 10, 1 << 17)
+#: Pairs, and words of sketches, that are compared at a time: bounds a task's memory.
+COMPARED = 1 << 20
 #: Holders of a key that are compared together.
 CELL = 4096
 #: Bits of the map of wanted documents, a filter of fixed size before an exact join.
@@ -100,12 +105,43 @@ def set_class(shingles: np.ndarray) -> int:
 
 
 def dense_sketch(shingles: np.ndarray) -> np.ndarray:
-    """The parities of the shingles by their upper bits, as 64-bit words (signed)."""
-    odd = np.bincount((shingles >> np.uint64(65 - SKETCH_BITS.bit_length())).astype(np.int64),
-                      minlength=SKETCH_BITS) & 1
+    """The parities of the shingles by their lower bits, as 64-bit words (signed)."""
+    least, most = SKETCH_BITS
+    bits = min(most, max(least, 1 << (len(shingles) - 1).bit_length()))
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def _distances(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, i: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Hamming distances of sketches i and k (arrays of numbers). Sketch number x
+    is ``words[starts[x]:starts[x] + lengths[x]]``; the longer one is folded."""
+    length = np.minimum(lengths[i], lengths[k])
+    out = np.empty(len(i), np.int64)
+
+    def folded(rows, n):
+        first = starts[rows][:, None] + np.arange(n)
+        got, at = words[first], n
+        while (more := lengths[rows] > at).any():
+            got[more] ^= words[first[more] + at]
+            at += n
+        return got
+
+    for n in np.unique(length):
+        same = np.flatnonzero(length == n)
+        step = max(1, COMPARED // int(n))
+        for at in range(0, len(same), step):
+            part = same[at:at + step]
+            out[part] = np.bitwise_count(folded(i[part], n) ^ folded(k[part], n)).sum(1, dtype=np.int64)
+    return out
+
+
+def _sketch_column(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """words (unsigned: counts of signed ones are of absolute values), starts, lengths."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    words = column.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].view(np.uint64)
+    return words, offsets[:-1] - offsets[0], np.diff(offsets)
+
+
 def _blocks(shingles: np.ndarray, n_blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and fingerprints of the sketch's non-zero blocks, in order."""
     if not len(shingles):
@@ -311,10 +347,21 @@ def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _maybe(pairs: DataFrame) -> DataFrame:
-    """Pairs (na, sa, nb, sb) whose sizes and dense sketches allow a link."""
-    distance = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
-                           lambda n, x: n + x)
-    return pairs.where(_near_in_size("na", "nb")).where(9 * distance <= F.col("na") + F.col("nb"))
+    """The pairs (a, b) of (a, na, sa, b, nb, sb) whose sizes and dense sketches allow a link."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                a, na, b, nb = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:4])
+                (x, at_x, len_x), (y, at_y, len_y) = map(_sketch_column, batch.columns[4:])
+                i = np.arange(len(a))
+                distance = _distances(np.concatenate([x, y]), np.concatenate([at_x, at_y + len(x)]),
+                                      np.concatenate([len_x, len_y]), i, i + len(a))
+                allowed = 9 * distance <= na.astype(np.int64) + nb
+                yield pa.RecordBatch.from_arrays([pa.array(a[allowed]), pa.array(b[allowed])], ["a", "b"])
+
+    return pairs.where(_near_in_size("na", "nb")).select("a", "na", "b", "nb", "sa", "sb").mapInArrow(
+        run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -385,40 +432,52 @@ def _across(parts: DataFrame, classes: DataFrame, nearest: bool = False) -> Data
     rows = rows.select("key", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "i", "component", "node",
                        "n", "sketch")
 
-    def run(batches):
-        cell, held = None, []
-
-        def pairs():
-            node, n, part, chunk = (np.array(c) for c in zip(*[h[:4] for h in held], strict=True))
-            sketch = np.array([h[4] for h in held], np.int64).view(np.uint64)  # signed counts are of absolute values
-            one_chunk = cell[1] == cell[2]
-            for k in range(1, len(held)):
-                near = (5 * n[:k] >= 4 * n[k]) & (5 * n[k] >= 4 * n[:k]) & (part[:k] != part[k])
-                if not one_chunk:
-                    near &= chunk[:k] != chunk[k]
-                at = np.flatnonzero(near)
-                if len(at):
-                    distance = np.bitwise_count(sketch[at] ^ sketch[k]).sum(1, dtype=np.int64)
-                    allowed = 9 * distance <= n[at] + n[k]
-                    at = at[allowed]
-                    if nearest and len(at):
-                        at = at[[distance[allowed].argmin()]]
-                    if len(at):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(node[at], node[k])), pa.array(np.maximum(node[at], node[k]))],
-                            ["a", "b"])
-
-        def gathered():
-            small = list(pairs()) if len(held) > 1 else []
-            return pa.Table.from_batches(small).combine_chunks().to_batches() if small else []
+    def compared(r, words, starts, lengths, since):
+        """Pairs of each row from ``since`` on with those before it in its cell."""
+        new = np.concatenate([[True], (r["key"][1:] != r["key"][:-1]) | (r["p"][1:] != r["p"][:-1])
+                              | (r["q"][1:] != r["q"][:-1])])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        before = np.arange(len(new)) - first
+        total = np.concatenate([[0], np.cumsum(before)])
+        at = since
+        while at < len(new):
+            to = max(at + 1, int(np.searchsorted(total, total[at] + COMPARED, "right")) - 1)
+            k = np.repeat(np.arange(at, to), before[at:to])
+            i = np.arange(total[at], total[to]) - total[k] + first[k]
+            at = to
+            n, part, chunk = r["n"].astype(np.int64), r["component"], r["i"]
+            near = (part[i] != part[k]) & (5 * n[i] >= 4 * n[k]) & (5 * n[k] >= 4 * n[i])
+            near &= (r["p"] == r["q"])[k] | (chunk[i] != chunk[k])
+            i, k = i[near], k[near]
+            distance = _distances(words, starts, lengths, i, k)
+            allowed = 9 * distance <= n[i] + n[k]
+            i, k, distance = i[allowed], k[allowed], distance[allowed]
+            if nearest and len(k):
+                order = np.lexsort((distance, k))
+                i, k = i[order], k[order]
+                least = np.concatenate([[True], k[1:] != k[:-1]])
+                i, k = i[least], k[least]
+            if len(k):
+                x, y = r["node"][i], r["node"][k]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+        return int(first[-1])
 
+    def run(batches):
+        names = ["key", "p", "q", "i", "component", "node", "n"]
+        r = {c: np.empty(0, np.int64) for c in names}  # the rows so far of the last cell
+        words, starts, lengths = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
-            for key, p, q, i, component, node, n, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (key, p, q) != cell:
-                    yield from gathered()
-                    cell, held = (key, p, q), []
-                held.append((node, n, component, i, sketch))
-        yield from gathered()
+            if not batch.num_rows:
+                continue
+            since = len(starts)
+            more, at, size = _sketch_column(batch.columns[7])
+            starts = np.concatenate([starts, at + len(words)])
+            words, lengths = np.concatenate([words, more]), np.concatenate([lengths, size])
+            r = {c: np.concatenate([r[c], batch.columns[j].to_numpy(zero_copy_only=False)])
+                 for j, c in enumerate(names)}
+            cell = yield from compared(r, words, starts, lengths, since)
+            words, starts, lengths = words[starts[cell]:], starts[cell:] - starts[cell], lengths[cell:]
+            r = {c: v[cell:] for c, v in r.items()}
 
     cell = ["key", "p", "q"]
     return rows.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, "a long, b long")

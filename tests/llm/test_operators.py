@@ -211,6 +211,41 @@ def test_near_groups_of_edited_copies(spark, share):
     assert {tuple(sorted((rep[r["a"]], rep[r["b"]]))) for r in links.collect()} == want
 
 
+def test_op4_sketches_of_other_lengths_bound_the_difference():
+    rng = np.random.default_rng(7)
+    sets = []
+    for n in (1, 900, 1_020, 1_030, 2_040, 2_060, 2_500):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+        sets += [np.unique(base), np.unique(np.concatenate([base[n // 10:], base[:n // 20] + np.uint64(1)]))]
+    sketches = [jaccard.dense_sketch(x).view(np.uint64) for x in sets]
+    lengths = np.array([len(x) for x in sketches])
+    assert len(set(lengths)) > 2
+    starts = np.cumsum(lengths) - lengths
+    i, k = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    found = jaccard._distances(np.concatenate(sketches), starts, lengths, i, k)
+    for x, y, d in zip(i, k, found, strict=True):
+        odd = np.bincount((np.concatenate([sets[x], sets[y]]) & np.uint64(64 * min(lengths[x], lengths[y]) - 1))
+                          .astype(np.int64)) % 2
+        assert d == odd.sum() <= len(np.setxor1d(sets[x], sets[y]))
+
+
+def test_op4_long_sets_at_the_fold(spark):
+    """Sets around a power of two, near and far, in more batches than one."""
+    words = [f"v{j}" for j in range(2_300)]
+    rows = [(0, " ".join(words[:2_045])), (1, " ".join(words[:2_060])), (2, " ".join(words[:2_290])),
+            (3, " ".join(words[:1_000] + [f"u{j}" for j in range(1_060)])),
+            (4, " ".join([f"u{j}" for j in range(1_060)] + [f"t{j}" for j in range(1_000)]))]
+    rows += [(10 + j, " ".join([*words[:30], *(f"z{j}_{x}" for x in range(3))])) for j in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = jaccard.near_groups(docs).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert bag(got) == bag(near_groups(rows))
+
+
+
 def test_keep_first_keeps_rows_and_columns(documents):
     kept = jaccard.keep_first(documents)
     assert kept.columns == documents.columns
