@@ -60,7 +60,7 @@ COUNT_CHUNK = 2_000_000
 #: bit for each shingle; beyond, fewer pairs are told apart before verification.
 SKETCH_BITS = (1 << 10, 1 << 17)
 #: Pairs, and words of sketches, that are compared at a time: bounds a task's memory.
-COMPARED = 1 << 20
+COMPARED = 1 << 18
 #: Holders of a key that are compared together.
 CELL = 4096
 #: Bits of the map of wanted documents, a filter of fixed size before an exact join.
