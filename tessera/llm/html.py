@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame
@@ -34,13 +35,23 @@ BLOCKS = frozenset(
 #: Elements that hold no main text.
 DROPPED = frozenset("nav header footer aside form button select option dialog menu head label object audio video "
                     "canvas figcaption".split())
-#: Words of classes, ids and roles that mark what is no main text.
+#: Words of classes, ids and roles that hint at what is no main text.
 _BOILER = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert(?:s|isement|ising)?|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|"
     r"notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|nav(?:bar|igation)?|menu|breadcrumbs?|"
     r"pagination|pager|header|masthead|footer|side-?bar|aside|widget|related|recommend(?:ed|ations)?|comments?|"
     r"commentlist|replies|respond|disqus|share|sharing|social|toolbar|complementary|contentinfo|search(?:box)?)"
     r"(?:$|[\s_-])", re.IGNORECASE)
+#: Names of layouts ("no-sidebar", "post-with-comments"), which say nothing of the element itself.
+_MODIFIER = re.compile(r"(?:^|(?<=[\s_-]))(?:has|have|no|non|not|with|without)[_-]\S*", re.IGNORECASE)
+#: Names of parts that hold articles or much text of their own, and names of wrappers that overrule them.
+_PART = re.compile(
+    r"(?:^|[_-])(?:comments?|commentlist|replies|respond|disqus|related|recommend(?:ed|ations)?|ads?|"
+    r"advert(?:s|isement|ising)?|sponsor(?:ed)?|promo(?:tion)?|newsletter|cookies?|consent|gdpr|share|sharing|social)"
+    r"(?:[_-](?:list|section|area|wrap(?:per)?|container|box|block|posts?|articles?|items?|thread|body|\d+))*$",
+    re.IGNORECASE)
+_WRAPPER = frozenset("article body container content entry layout main page post single site story text wrap "
+                     "wrapper".split())
 #: What an open <p> is closed by, and the siblings that close each other.
 _CLOSES_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -49,29 +60,58 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
           "th": {"tr", "table"}, "option": {"select"}}
 
 
-def _generalised(tag: str, attrs: str) -> tuple[str, bool]:
-    """The path step of an element, and whether it is dropped with all in it."""
+def _generalised(tag: str, attrs: str) -> tuple[str, bool, str]:
+    """The path step of an element, whether it is dropped with all in it, and
+    the names in its class, id and role if they hint that it is no main text."""
     drop = tag in DROPPED
-    step = tag
+    step, names = tag, []
     if attrs:
         for name, value in _ATTR.findall(attrs):
             name, value = name.lower(), value.strip("\"'")
             if name == "class":
                 step += "".join("." + c for c in sorted(re.sub(r"\d+", "#", value.lower()).split()))
             if name in ("class", "id", "role") and tag not in ("html", "body", "article", "main"):
-                drop = drop or bool(_BOILER.search(value))
+                names.append(value)
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" \
                     or name == "style" and "display:none" in value.replace(" ", "").lower():
                 drop = True
-    return step, drop
+    hint = _MODIFIER.sub(" ", " ".join(names)) if names else ""
+    return step, drop, hint if hint and _BOILER.search(hint) else ""
+
+
+def _is_part(hint: str) -> bool:
+    words = hint.lower().split()
+    return any(_PART.search(w) for w in words) and _WRAPPER.isdisjoint(words)
+
+
+class Block(NamedTuple):
+    path: tuple[str, ...]  # the containers' steps
+    text: str
+    linked: int  # characters in links
+    hints: tuple[int, ...]  # the hinted elements around it, outermost first
+
+    @property
+    def worth(self) -> int:
+        return max(0, len(self.text) - 2 * self.linked)
+
+    def holds(self, tags: tuple[str, ...], since: int) -> bool:
+        """Whether one of the containers from that depth on is such an element."""
+        return any(s.split(".", 1)[0] in tags for s in self.path[since:])
 
 
 class Page:
-    """Blocks of a page: (path of the nearest containers, text, link characters)."""
+    """Blocks of a page: (path of the nearest containers, text, link characters).
+
+    A boilerplate name is a hint only. A hinted element stays if the host's path
+    leads through it, if it has the only article, main or h1, or if it has most
+    of the unlinked text around it; parts such as comments or related articles
+    stay for an h1 only. All stay if nothing would be left.
+    """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[tuple[str, ...], str, int]] = []
-        stack: list[tuple[str, str, bool]] = []  # tag, step, dropped
+        self.all: list[Block] = []
+        self.hinted: list[tuple[int, bool]] = []  # containers above, whether it is a part
+        stack: list[tuple[str, bool, tuple[str, ...], tuple[int, ...]]] = []  # tag, dropped, path, hints
         parts: list[str] = []
         state = {"linked": 0}
 
@@ -79,22 +119,22 @@ class Page:
             if parts:
                 text = " ".join(entities.unescape("".join(parts)).split())
                 if text:
-                    path = tuple(s for t, s, _ in stack if t in BLOCKS and t != "p")
-                    self.blocks.append((path, text, state["linked"]))
+                    _, _, path, hints = stack[-1] if stack else ("", False, (), ())
+                    self.all.append(Block(path, text, state["linked"], hints))
                 parts.clear()
             state["linked"] = 0
 
         def close(to: int):
-            if any(t in BLOCKS for t, _, _ in stack[to:]):
+            if any(e[0] in BLOCKS for e in stack[to:]) or stack[-1][3] != (stack[to - 1][3] if to else ()):
                 flush()
             del stack[to:]
 
         for m in _TOKEN.finditer(source):
             text, tag = m["text"], m["tag"]
             if text is not None:
-                if not (stack and stack[-1][2]):
+                if not (stack and stack[-1][1]):
                     parts.append(text)
-                    if any(t == "a" for t, _, _ in stack[-4:]):
+                    if any(e[0] == "a" for e in stack[-4:]):
                         state["linked"] += len(text.strip())
                 continue
             if tag is None:
@@ -130,12 +170,47 @@ class Page:
                         break
             if tag in BLOCKS:
                 flush()
-            step, drop = _generalised(tag, m["attrs"])
-            if drop:
+            step, drop, hint = _generalised(tag, m["attrs"])
+            if drop or hint:
                 flush()
             if not (m["attrs"] or "").rstrip().endswith("/") or tag in BLOCKS:
-                stack.append((tag, step, drop or bool(stack and stack[-1][2])))
+                _, dropped, path, hints = stack[-1] if stack else ("", False, (), ())
+                if hint and not (drop or dropped):
+                    hints = (*hints, len(self.hinted))
+                    self.hinted.append((len(path), _is_part(hint)))
+                stack.append((tag, drop or dropped, (*path, step) if tag in BLOCKS and tag != "p" else path, hints))
         flush()
+        self.blocks = self._kept(())
+
+    def _kept(self, steps: tuple[str, ...]) -> list[Block]:
+        """The blocks outside of the hinted elements that are dropped; those on the given path stay."""
+        if not self.hinted:
+            return self.all
+        kept = {h for b in self.all if b.path[:len(steps)] == steps for h in b.hints
+                if self.hinted[h][0] < len(steps)}
+        self._judge(self.all, 0, 0, kept)
+        return [b for b in self.all if kept.issuperset(b.hints)] or self.all
+
+    def _judge(self, scope: list[Block], level: int, since: int, kept: set[int]) -> None:
+        """Adds to ``kept`` the hinted elements of a kept element (or the page) that stay."""
+        inner: dict[int, list[Block]] = {}
+        own = []
+        for b in scope:
+            if len(b.hints) > level:
+                inner.setdefault(b.hints[level], []).append(b)
+            else:
+                own.append(b)
+        whole = sum(b.worth for b in scope)
+        has_main = any(b.worth and b.holds(("article", "main"), since) for b in own)
+        has_title = any(b.worth and b.holds(("h1",), since) for b in own)
+        for h, blocks in inner.items():
+            depth, part = self.hinted[h]
+            if not has_title and any(b.worth and b.holds(("h1",), depth) for b in blocks) or not part and (
+                    2 * sum(b.worth for b in blocks) > whole
+                    or not has_main and any(b.worth and b.holds(("article", "main"), depth) for b in blocks)):
+                kept.add(h)
+            if h in kept:
+                self._judge(blocks, level + 1, depth, kept)
 
     def best(self) -> tuple[str, float]:
         """Path and score of the page's best container.
@@ -144,10 +219,9 @@ class Page:
         innermost with nearly all of the page's text wins, semantic containers
         of an article before others."""
         scores: dict[tuple[str, ...], float] = {}
-        for path, text, linked in self.blocks:
-            worth = max(0, len(text) - 2 * linked)
-            for k in range(1, len(path) + 1):
-                scores[path[:k]] = scores.get(path[:k], 0) + worth
+        for b in self.blocks:
+            for k in range(1, len(b.path) + 1):
+                scores[b.path[:k]] = scores.get(b.path[:k], 0) + b.worth
         if not scores:
             return "", 0.0
         marked = [p for p in scores if re.match(r"(article|main)\b", p[-1]) and scores[p] > 0]
@@ -161,10 +235,10 @@ class Page:
     def text(self, path: str) -> str:
         """The text under a path, or under the page's best one."""
         steps = tuple(path.split(">")) if path else ()
-        lines = [t for p, t, _ in self.blocks if p[:len(steps)] == steps]
+        lines = [b.text for b in self._kept(steps) if b.path[:len(steps)] == steps]
         if not lines and steps:
             steps = tuple(self.best()[0].split(">"))
-            lines = [t for p, t, _ in self.blocks if p[:len(steps)] == steps]
+            lines = [b.text for b in self.blocks if b.path[:len(steps)] == steps]
         return "\n".join(lines)
 
 

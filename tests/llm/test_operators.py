@@ -154,6 +154,42 @@ def test_html_whole_articles(spark):
         assert got[r["page_id"]] == "\n".join(x for x in lines if x)
 
 
+ARTICLE = "<h2>Title</h2><p>The first paragraph of the article.</p><p>The second paragraph of the article.</p>"
+LINES = ["Title", "The first paragraph of the article.", "The second paragraph of the article."]
+
+
+def main_text(source):
+    return html.Page(source).text(html.Page(source).best()[0]).split("\n")
+
+
+@pytest.mark.parametrize("wrapper", [
+    "class='content has-sidebar'", "class=no-sidebar", "class='post with-comments'", "class='post-with-comments'",
+    "class='layout sidebar-right'", "id=widget-page", "role=complementary", "class='story promo'"])
+def test_html_names_of_wrappers_are_no_verdict(wrapper):
+    page = f"<body><p>Site</p><div {wrapper}>{ARTICLE}<div class=sidebar>Side text, longer than a title</div></div>"
+    assert [x for x in main_text(page) if x != "Site"] == LINES
+
+
+def test_html_hinted_elements_with_the_only_article_or_title():
+    boxes = "<div class=box>" + "Words that stand in a box. " * 20 + "</div>"
+    assert main_text(f"<body><div class='wrap banner-top'><article>{ARTICLE}</article></div>{boxes}") == LINES
+    title = f"<body><div class=post><div class='page-header'><h1>Head</h1></div>{ARTICLE}</div>"
+    assert main_text(title) == ["Head", *LINES]
+    comments = "<article>I liked this one a lot. </article>" * 9
+    assert main_text(f"<body><div class=post>{ARTICLE}</div><div class=comment-list>{comments}</div>") == LINES
+    assert main_text(f"<body><article>{ARTICLE}</article><div class=sidebar><article>No</article></div>") == LINES
+    assert main_text(f"<body><div class=comments>{ARTICLE}</div>") == LINES
+
+
+def test_html_hinted_elements_on_the_path_of_the_host(spark):
+    """A page with little text in the wrapper follows the other pages of its host."""
+    page = "<body><div class='layout sidebar-left'><p>{}</p></div><div class=box><p>{}</p></div>"
+    rows = [(k, "http://a.org/", page.format("story " * 40, "box " * 2)) for k in range(5)]
+    rows.append((9, "http://a.org/", page.format("short story", "box " * 60)))
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert got.where("page_id = 9").first()["text"] == "short story"
+
+
 # -- near duplicates --------------------------------------------------------------
 
 def near_groups(rows):
