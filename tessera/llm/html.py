@@ -27,14 +27,15 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*>|(?P<text>[^<]+|<)", re.DOTALL | re.IGNORECASE)
 _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
 
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split())
-#: Elements that hold no main text.
-DROPPED = frozenset("nav header footer aside form button select option dialog menu head label object audio video "
-                    "canvas figcaption".split())
+#: Elements that hold no main text; a header inside of an article or main does.
+DROPPED = frozenset("nav header footer aside form button select option dialog menu head audio video canvas".split())
+#: Elements that a head may hold; any other one, or text, ends it.
+_IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: Words of classes, ids and roles that hint at what is no main text.
 _BOILER = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert(?:s|isement|ising)?|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|"
@@ -42,6 +43,7 @@ _BOILER = re.compile(
     r"pagination|pager|header|masthead|footer|side-?bar|aside|widget|related|recommend(?:ed|ations)?|comments?|"
     r"commentlist|replies|respond|disqus|share|sharing|social|toolbar|complementary|contentinfo|search(?:box)?)"
     r"(?:$|[\s_-])", re.IGNORECASE)
+_HEADER = re.compile(r"(?<![^\s_-])(?:header|masthead)(?![^\s_-])", re.IGNORECASE)
 #: Names of layouts ("no-sidebar", "post-with-comments"), which say nothing of the element itself.
 _MODIFIER = re.compile(r"(?:^|(?<=[\s_-]))(?:has|have|no|non|not|with|without)[_-]\S*", re.IGNORECASE)
 #: Names of parts that hold articles or much text of their own, and names of wrappers that overrule them.
@@ -60,10 +62,14 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
           "th": {"tr", "table"}, "option": {"select"}}
 
 
-def _generalised(tag: str, attrs: str) -> tuple[str, bool, str]:
-    """The path step of an element, whether it is dropped with all in it, and
-    the names in its class, id and role if they hint that it is no main text."""
-    drop = tag in DROPPED
+def _in_article(path: tuple[str, ...]) -> bool:
+    return any(s.split(".", 1)[0] in ("article", "main") for s in path)
+
+
+def _generalised(tag: str, attrs: str, path: tuple[str, ...]) -> tuple[str, bool, str]:
+    """The path step of an element under a path, whether it is dropped with all in it,
+    and the names in its class, id and role if they hint that it is no main text."""
+    drop = tag in DROPPED and not (tag == "header" and _in_article(path))
     step, names = tag, []
     if attrs:
         for name, value in _ATTR.findall(attrs):
@@ -76,6 +82,8 @@ def _generalised(tag: str, attrs: str) -> tuple[str, bool, str]:
                     or name == "style" and "display:none" in value.replace(" ", "").lower():
                 drop = True
     hint = _MODIFIER.sub(" ", " ".join(names)) if names else ""
+    if hint and _HEADER.search(hint) and _in_article(path):
+        hint = _HEADER.sub(" ", hint)
     return step, drop, hint if hint and _BOILER.search(hint) else ""
 
 
@@ -132,6 +140,8 @@ class Page:
         for m in _TOKEN.finditer(source):
             text, tag = m["text"], m["tag"]
             if text is not None:
+                if stack and stack[-1][0] == "head" and text.strip():
+                    close(len(stack) - 1)
                 if not (stack and stack[-1][1]):
                     parts.append(text)
                     if any(e[0] == "a" for e in stack[-4:]):
@@ -148,6 +158,8 @@ class Page:
                     if tag not in BLOCKS and stack[k][0] in BLOCKS and stack[k][0] != "p":
                         break  # an inline end tag does not close a container
                 continue
+            if tag not in _IN_HEAD and stack and stack[-1][0] == "head":
+                close(len(stack) - 1)
             if tag in VOID:
                 if tag == "hr":
                     flush()
@@ -170,7 +182,7 @@ class Page:
                         break
             if tag in BLOCKS:
                 flush()
-            step, drop, hint = _generalised(tag, m["attrs"])
+            step, drop, hint = _generalised(tag, m["attrs"], stack[-1][2] if stack else ())
             if drop or hint:
                 flush()
             if not (m["attrs"] or "").rstrip().endswith("/") or tag in BLOCKS:

@@ -190,6 +190,24 @@ def test_html_hinted_elements_on_the_path_of_the_host(spark):
     assert got.where("page_id = 9").first()["text"] == "short story"
 
 
+@pytest.mark.parametrize("head", [
+    "<head><title>x</title><meta charset=utf-8><body>", "<head><link rel=x><script>var a;</script><style>p{}</style>",
+    "<head><title>x</title></head><body>", "<head>\n<base href=/><noscript><p>no</p></noscript>\n<body class=a>"])
+def test_html_head_without_an_end(head):
+    assert main_text(f"<html>{head}<div class=post>{ARTICLE}</div></html>") == LINES
+    assert html.Page(f"<html>{head}<p>One.").text("") == "One."
+    assert html.Page(f"<html>{head}Plain <b>text</b>").text("") == "Plain text"
+
+
+def test_html_captions_labels_and_headers_of_articles():
+    page = ("<body><header><p>Site</p></header><{0}><header class='entry-header'><h2>Head</h2></header>"
+            "<figure><img src=x><figcaption>Caption.</figcaption></figure><p><label>Term</label> explained</p>"
+            "<object data=x><p>Instead.</p></object>" + ARTICLE + "<footer>Foot</footer></{0}>")
+    for tag in ("article", "main"):
+        assert main_text(page.format(tag)) == ["Head", "Caption.", "Term explained", "Instead.", *LINES]
+    assert "Site" not in html.Page(page.format("div")).text("")
+
+
 # -- near duplicates --------------------------------------------------------------
 
 def near_groups(rows):
