@@ -32,6 +32,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split())
+#: Elements that can be a page's container; others, such as lists, are parts of a text.
+CONTAINERS = frozenset("html body article main div section center".split())
 #: Elements that hold no main text; a header inside of an article or main does.
 DROPPED = frozenset("nav header footer aside form button select option dialog menu head audio video canvas".split())
 #: Elements that a head may hold; any other one, or text, ends it.
@@ -62,8 +64,12 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
           "th": {"tr", "table"}, "option": {"select"}}
 
 
+def _tag(step: str) -> str:
+    return step.split(".", 1)[0]
+
+
 def _in_article(path: tuple[str, ...]) -> bool:
-    return any(s.split(".", 1)[0] in ("article", "main") for s in path)
+    return any(_tag(s) in ("article", "main") for s in path)
 
 
 def _generalised(tag: str, attrs: str, path: tuple[str, ...]) -> tuple[str, bool, str]:
@@ -97,6 +103,7 @@ class Block(NamedTuple):
     text: str
     linked: int  # characters in links
     hints: tuple[int, ...]  # the hinted elements around it, outermost first
+    elements: tuple[int, ...]  # numbers of the path's elements
 
     @property
     def worth(self) -> int:
@@ -104,7 +111,7 @@ class Block(NamedTuple):
 
     def holds(self, tags: tuple[str, ...], since: int) -> bool:
         """Whether one of the containers from that depth on is such an element."""
-        return any(s.split(".", 1)[0] in tags for s in self.path[since:])
+        return any(_tag(s) in tags for s in self.path[since:])
 
 
 class Page:
@@ -119,7 +126,7 @@ class Page:
     def __init__(self, source: str):
         self.all: list[Block] = []
         self.hinted: list[tuple[int, bool]] = []  # containers above, whether it is a part
-        stack: list[tuple[str, bool, tuple[str, ...], tuple[int, ...]]] = []  # tag, dropped, path, hints
+        stack: list[tuple] = []  # tag, dropped, path, hints, elements of the path
         parts: list[str] = []
         state = {"linked": 0}
 
@@ -127,8 +134,8 @@ class Page:
             if parts:
                 text = " ".join(entities.unescape("".join(parts)).split())
                 if text:
-                    _, _, path, hints = stack[-1] if stack else ("", False, (), ())
-                    self.all.append(Block(path, text, state["linked"], hints))
+                    _, _, path, hints, elements = stack[-1] if stack else ("", False, (), (), ())
+                    self.all.append(Block(path, text, state["linked"], hints, elements))
                 parts.clear()
             state["linked"] = 0
 
@@ -186,11 +193,13 @@ class Page:
             if drop or hint:
                 flush()
             if not (m["attrs"] or "").rstrip().endswith("/") or tag in BLOCKS:
-                _, dropped, path, hints = stack[-1] if stack else ("", False, (), ())
+                _, dropped, path, hints, elements = stack[-1] if stack else ("", False, (), (), ())
                 if hint and not (drop or dropped):
                     hints = (*hints, len(self.hinted))
                     self.hinted.append((len(path), _is_part(hint)))
-                stack.append((tag, drop or dropped, (*path, step) if tag in BLOCKS and tag != "p" else path, hints))
+                if tag in BLOCKS and tag != "p":
+                    path, elements = (*path, step), (*elements, m.start())
+                stack.append((tag, drop or dropped, path, hints, elements))
         flush()
         self.blocks = self._kept(())
 
@@ -227,23 +236,59 @@ class Page:
     def best(self) -> tuple[str, float]:
         """Path and score of the page's best container.
 
-        A container's score is the unlinked text below it; of nested ones the
-        innermost with nearly all of the page's text wins, semantic containers
-        of an article before others."""
-        scores: dict[tuple[str, ...], float] = {}
+        A container's score is the unlinked text below it. An article or main
+        wins before others; else the innermost container with nearly all of the
+        page's text, widened to what is connected with it."""
+        scores: dict[tuple[str, ...], int] = {}
         for b in self.blocks:
-            for k in range(1, len(b.path) + 1):
+            for k in range(len(b.path) + 1):
                 scores[b.path[:k]] = scores.get(b.path[:k], 0) + b.worth
         if not scores:
             return "", 0.0
-        marked = [p for p in scores if re.match(r"(article|main)\b", p[-1]) and scores[p] > 0]
-        pool = marked or list(scores)
-        whole = max(scores[p] for p in pool)
-        path = max((p for p in pool if scores[p] >= 0.75 * whole), key=lambda p: (len(p), scores[p], p))
+        marked = [p for p in scores if p and _tag(p[-1]) in ("article", "main") and scores[p] > 0]
         if marked:  # an article's parts are no container of their own
             path = max(marked, key=lambda p: (scores[p], -len(p), p))
+        else:
+            pool = [p for p in scores if not p or _tag(p[-1]) in CONTAINERS]
+            path = max((p for p in pool if scores[p] >= 0.75 * scores[()]), key=lambda p: (len(p), scores[p], p))
+            path = self._widened(path)
         return ">".join(path), float(scores[path])
 
+    def _widened(self, path: tuple[str, ...]) -> tuple[str, ...]:
+        """The smallest container, one element, of what is connected with a path's
+        text: the h1 before it, sections beside it, and text beside it or beside an
+        element around it that is in no container of its own (beside the body's
+        children only where the path is one of them)."""
+        blocks = [b for b in self.blocks if b.worth]
+
+        def connected(path):
+            size = len(path)
+            inside = [b.path[:size] == path for b in blocks]
+            if size == 0 or not any(inside):
+                return path
+            first = inside.index(True)
+            if _tag(path[-1]) not in CONTAINERS or len({b.elements[size - 1] for b, x in zip(blocks, inside) if x}) > 1:
+                return path[:-1]
+            around = blocks[first].elements
+            titles = [k for k, b in enumerate(blocks) if b.holds(("h1",), 0)]
+            if not any(inside[k] for k in titles) and (before := [k for k in titles if k < first]):
+                other = blocks[before[-1]].elements
+                return path[:next((k for k in range(size) if k >= len(other) or other[k] != around[k]), size)]
+            for k in range(size):
+                page = k == 0 or _tag(path[k - 1]) in ("html", "body")
+                for b, x in zip(blocks, inside):
+                    if x or b.elements[:k] != around[:k]:
+                        continue
+                    loose = not b.holds(tuple(CONTAINERS), k) and (not page or k == size - 1)
+                    section = k == size - 1 and len(b.path) > k and _tag(path[k]) == _tag(b.path[k]) == "section"
+                    if loose or section:
+                        return path[:k]
+            return path
+
+        while (wider := connected(path)) != path:
+            path = wider
+        return path
+
     def text(self, path: str) -> str:
         """The text under a path, or under the page's best one."""
         steps = tuple(path.split(">")) if path else ()

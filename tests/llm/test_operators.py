@@ -208,6 +208,40 @@ def test_html_captions_labels_and_headers_of_articles():
     assert "Site" not in html.Page(page.format("div")).text("")
 
 
+LONG_TEXT = "Words of the body of an article. " * 20
+LONG_LINE = LONG_TEXT.strip()
+LIST = "<li>An item of the list.</li>" * 30
+
+
+@pytest.mark.parametrize("source, want", [
+    (f"<div id=page><div class=a><h1>T</h1><p>Lead.</p><div class=body><p>{LONG_TEXT}</p></div></div>{{}}</div>",
+     ["T", "Lead.", LONG_LINE]),
+    (f"<div class=a><div class=top><h1>T</h1></div><div class=lead><p>Lead.</p></div><div class=body>{LONG_TEXT}</div>"
+     "</div>{}", ["T", "Lead.", LONG_LINE]),
+    (f"<div class=a><p>Lead.</p><div class=in><div class=body><p>{LONG_TEXT}</p></div></div></div>{{}}",
+     ["Lead.", LONG_LINE]),
+    (f"<div class=a><h1>T</h1><p>Intro.</p><ul>{LIST}</ul></div>{{}}", ["T", "Intro.", *["An item of the list."] * 30]),
+    (f"<div class=a><h2>T</h2><p>Intro.</p><blockquote><p>{LONG_TEXT}</p></blockquote></div>{{}}",
+     ["T", "Intro.", LONG_LINE]),
+    (f"<div class=a><h2>T</h2><p>Intro.</p><table><tr><td><div>{LONG_TEXT}</div></table></div>{{}}",
+     ["T", "Intro.", LONG_LINE]),
+    (f"<div class=a><section class=s><p>Lead.</p></section><section><p>{LONG_TEXT}</p></section></div>{{}}",
+     ["Lead.", LONG_LINE]),
+    (f"<div class=a><div class=s>{LONG_TEXT}</div><div class=s>{LONG_TEXT}</div><div class=t>End.</div></div>{{}}",
+     [LONG_LINE, LONG_LINE, "End."]),
+    (f"<div class=a><p>{LONG_TEXT}</p></div>{{}}", [LONG_LINE]),
+])
+def test_html_container_has_the_whole_article(source, want):
+    box = "<div class=box><p>A box.</p></div><ul><li><a href=x>A link to a page</a></ul>"
+    for page in (f"<html><body>{source}</body></html>", f"<body><div id=all>{source}</div>", source):
+        assert main_text(page.format(box)) == want
+
+
+def test_html_container_of_text_beside_no_element():
+    assert main_text(f"<body><h1>T</h1><p>Lead.</p><div class=body><p>{LONG_TEXT}</p></div>") == ["T", "Lead.", LONG_LINE]
+    assert main_text(f"<h1>T</h1><p>Lead.</p><div class=body><p>{LONG_TEXT}</p></div>") == ["T", "Lead.", LONG_LINE]
+
+
 # -- near duplicates --------------------------------------------------------------
 
 def near_groups(rows):
