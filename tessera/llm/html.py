@@ -234,7 +234,12 @@ class Page:
                 self._judge(blocks, level + 1, depth, kept)
 
     def best(self) -> tuple[str, float]:
-        """Path and score of the page's best container.
+        """Path and score of the page's best container."""
+        steps, score = self._best()
+        return ">".join(steps), score
+
+    def _best(self) -> tuple[tuple[str, ...], float]:
+        """Steps and score of the page's best container.
 
         A container's score is the unlinked text below it. An article or main
         wins before others; else the innermost container with nearly all of the
@@ -244,7 +249,7 @@ class Page:
             for k in range(len(b.path) + 1):
                 scores[b.path[:k]] = scores.get(b.path[:k], 0) + b.worth
         if not scores:
-            return "", 0.0
+            return (), 0.0
         marked = [p for p in scores if p and _tag(p[-1]) in ("article", "main") and scores[p] > 0]
         if marked:  # an article's parts are no container of their own
             path = max(marked, key=lambda p: (scores[p], -len(p), p))
@@ -252,7 +257,7 @@ class Page:
             pool = [p for p in scores if not p or _tag(p[-1]) in CONTAINERS]
             path = max((p for p in pool if scores[p] >= 0.75 * scores[()]), key=lambda p: (len(p), scores[p], p))
             path = self._widened(path)
-        return ">".join(path), float(scores[path])
+        return path, float(scores[path])
 
     def _widened(self, path: tuple[str, ...]) -> tuple[str, ...]:
         """The smallest container, one element, of what is connected with a path's
@@ -289,12 +294,14 @@ class Page:
             path = wider
         return path
 
-    def text(self, path: str) -> str:
-        """The text under a path, or under the page's best one."""
-        steps = tuple(path.split(">")) if path else ()
-        lines = [b.text for b in self._kept(steps) if b.path[:len(steps)] == steps]
-        if not lines and steps:
-            steps = tuple(self.best()[0].split(">"))
+    def text(self, path: str | None) -> str:
+        """The text under a path ("": of the whole page), or under the page's best one."""
+        lines = []
+        if path is not None:
+            steps = tuple(path.split(">")) if path else ()
+            lines = [b.text for b in self._kept(steps) if b.path[:len(steps)] == steps]
+        if not lines:
+            steps, _ = self._best()
             lines = [b.text for b in self.blocks if b.path[:len(steps)] == steps]
         return "\n".join(lines)
 
@@ -306,12 +313,17 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def page_votes(pages: DataFrame) -> DataFrame:
-    """host, path, score: each page's vote."""
+def hosted(pages: DataFrame) -> DataFrame:
+    """page_id, url, html and the url's host, by which pages vote and are joined."""
+    return pages.select("page_id", "url", "html", F.udf(host_of, "string", useArrow=False)("url").alias("host"))
+
+
+def page_votes(rows: DataFrame) -> DataFrame:
+    """host, path, score: the vote of each of the ``hosted`` pages."""
     def make():
-        return lambda url, source: (host_of(url), *Page(source or "").best())
+        return lambda host, source: (host, *Page(source or "").best())
 
-    return map_rows(pages.select("url", "html"), make, "host string, path string, score double").where("score > 0")
+    return map_rows(rows.select("host", "html"), make, "host string, path string, score double").where("score > 0")
 
 
 def host_paths(votes: DataFrame) -> DataFrame:
@@ -329,14 +341,13 @@ def extract(pages: DataFrame) -> DataFrame:
     The host's path is joined by Spark: broadcast while the table of hosts is
     small, else by a shuffle whose hot hosts adaptive execution splits.
     """
-    paths = cut_lineage(host_paths(page_votes(pages))).select(F.col("host").alias("h"), "path")
-    hosted = F.coalesce(F.lower(F.try_parse_url("url", F.lit("HOST"))), F.lit(""))
-    rows = pages.select("page_id", "url", "html", hosted.alias("host")).join(
-        paths, F.col("host") == F.col("h"), "left").select("page_id", "url", "html", "path")
+    rows = hosted(pages)
+    paths = cut_lineage(host_paths(page_votes(rows))).select(F.col("host").alias("h"), "path")
+    rows = rows.join(paths, F.col("host") == F.col("h"), "left").select("page_id", "url", "html", "path")
 
     def make():
         def one(page_id, url, source, path):
-            text = Page(source or "").text(path or "")
+            text = Page(source or "").text(path)
             return page_id, url, text, len(text)
 
         return one

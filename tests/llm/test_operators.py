@@ -242,6 +242,23 @@ def test_html_container_of_text_beside_no_element():
     assert main_text(f"<h1>T</h1><p>Lead.</p><div class=body><p>{LONG_TEXT}</p></div>") == ["T", "Lead.", LONG_LINE]
 
 
+@pytest.mark.parametrize("url", ["http://my_site.example.com/{}", "http://a.example.com/a page|{}",
+                                 "https://b.example.com/{{x}}^{}", "HTTP://user@C.Example.com:80/{}"])
+def test_html_hosts_of_any_url(spark, url):
+    """The pages of a host vote and are extracted together, also where java.net.URI fails."""
+    page = "<body><div class=story><p>{}</p></div><div class=box><p>{}</p></div>"
+    rows = [(k, url.format(k), page.format("story " * 40, "box " * 2)) for k in range(5)]
+    rows.append((9, url.format(9), page.format("short story", "box " * 60)))
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r["text"] for r in got.collect()} == {("story " * 40).strip(), "short story"}
+
+
+def test_html_without_a_path_the_page_decides():
+    page = html.Page("<body><div class='story [&>p]:mt-2'><p>A longer story.</p></div><div class=box>Box</div>")
+    assert page.text(None) == page.text("body>div.other") == "A longer story."
+    assert page.text("") == "A longer story.\nBox"
+
+
 # -- near duplicates --------------------------------------------------------------
 
 def near_groups(rows):
