@@ -72,11 +72,15 @@ class NoticeFinder:
                     spans.append([a, b])
         found = []
         for k, spans in windows.items():
-            notice, label, _, pattern = self.notices[k]
-            for a, b in spans:
-                while a < b and (m := pattern.search(text, a, b)):
-                    found.append((m.start(), m.end(), label, 1 - sum(m.fuzzy_counts) / len(notice)))
-                    a = max(m.end(), a + 1)
+            notice, label, edits, pattern = self.notices[k]
+            while spans:
+                a, b = spans.pop()
+                if a >= b or b - a < len(notice) - edits or not (m := pattern.search(text, a, b)):
+                    continue
+                found.append((m.start(), m.end(), label, 1 - sum(m.fuzzy_counts) / len(notice)))
+                if m.end() > m.start():  # the best match, so others may stand on both sides
+                    spans.append((a, m.start()))
+                spans.append((max(m.end(), a + 1), b))
         return sorted(found)
 
 

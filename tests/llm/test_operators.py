@@ -646,3 +646,11 @@ def test_pipeline_stages(spark, small):
         docs = out
     assert p.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
     assert math.isclose(docs.count(), len(after))
+
+
+def test_op9_notices_beside_a_better_one():
+    finder = licenses.NoticeFinder(licenses.NOTICES)
+    fuzzy, exact = "released undor the mit licence", "released under the mit license"
+    for parts in ([fuzzy, exact], [exact, fuzzy], [fuzzy, exact, fuzzy], [fuzzy, fuzzy, exact, fuzzy]):
+        assert [x[2] for x in finder.find(" ".join(parts))] == ["mit"] * len(parts)
+        assert [x[3] == 1 for x in finder.find(" ".join(parts))] == [x == exact for x in parts]
