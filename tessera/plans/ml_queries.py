@@ -40,6 +40,12 @@ UNCAPPED_VOCAB = 2**31 - 1
 # The L1 strengths swept by the vocabulary reduction (inverse strength C).
 L1_STRENGTHS = [0.001, 0.01, 0.5, 1.0, 2.0, 5.0, 10.0, 50.0, 100.0]
 
+# The reference's parameter grids: logistic regression and boosted trees.
+LR_GRID = {"maxIter": [1, 30], "regParam": [0.01, 0.001], "elasticNetParam": [0.25, 0.5, 0.1]}
+GBT_GRID = [{"depth": d, "bins": 350, "iters": i, "step": s} for d in (7, 11) for i in (7, 9) for s in (0.35, 0.45)]
+# Rounds after which a fit ends that has not met its tolerance: scikit-learn's defaults.
+EM_ROUNDS, LR_ROUNDS, NMF_ROUNDS = 100, 100, 200
+
 CAT = ["event_type"]
 NUM = ["hour", "weekday", "prev_delayed", "n_prev_delays"]
 CUT = dt.datetime(2024, 1, 21)
@@ -152,7 +158,7 @@ def l15_mixture_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, dev = _binary_images(t, max_dims)
     train, dev = cut_lineage(train), cut_lineage(dev)
     specs = {f"{cov}-{d}-{k}-{c}": (c, k, cov, d) for cov, d, k, _ in grid for c in (0, 1)}
-    fitted = GM.fit_em_many(train, "pcs", "vec_id", specs, max_dims, group="y", max_iter=15)
+    fitted = GM.fit_em_many(train, "pcs", "vec_id", specs, max_dims, group="y", max_iter=EM_ROUNDS)
     accs = GM.accuracy_many(dev, "pcs", "y", [{c: fitted[f"{cov}-{d}-{k}-{c}"][0] for c in (0, 1)}
                                               for cov, d, k, _ in grid])
     rows = [(cov, d, k, n, float(a)) for (cov, d, k, n), a in zip(grid, accs)]
@@ -167,15 +173,17 @@ def l16_grid_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = U.kfold(delay_table(Tables(spark, sf_dir)), "event_id", 2)
     lr = ML.logistic()
     pipe = ML.feature_pipeline(lr, CAT, NUM)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01]) \
-                             .addGrid(lr.elasticNetParam, [0.25, 0.5]).build()
+    grid = ParamGridBuilder()
+    for name, values in LR_GRID.items():
+        grid = grid.addGrid(lr.getParam(name), values)
+    grid = grid.build()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, foldCol="fold", numFolds=2,
                         evaluator=BinaryClassificationEvaluator(), parallelism=2)
     model = cv.fit(d)
-    rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(m))
+    rows = [(int(p[lr.maxIter]), float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(m))
             for p, m in zip(grid, model.avgMetrics)]
-    out = spark.createDataFrame(rows, "reg_param double, elastic_net double, auc double")
-    return M.mean_by_param(out, ["reg_param", "elastic_net"], "auc")
+    out = spark.createDataFrame(rows, "max_iter int, reg_param double, elastic_net double, auc double")
+    return M.mean_by_param(out, ["max_iter", "reg_param", "elastic_net"], "auc")
 
 
 def _time_folds(t: Tables, k: int = 3) -> DataFrame:
@@ -188,11 +196,11 @@ def l16_time_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     setting, best flagged (M-09)."""
     folds = _time_folds(Tables(spark, sf_dir))
 
-    def pipe_for(depth, step):
-        return ML.feature_pipeline(ML.gbt(depth=depth, iters=5, step=step, bins=32), CAT, NUM)
+    def pipe_for(**params):
+        return ML.feature_pipeline(ML.gbt(**params), CAT, NUM)
 
-    scores = ML.grid_search(pipe_for, [{"depth": 3, "step": 0.35}, {"depth": 5, "step": 0.45}], folds)
-    return M.mean_by_param(scores, ["depth", "step"], "score")
+    scores = ML.grid_search(pipe_for, GBT_GRID, folds)
+    return M.mean_by_param(scores, ["depth", "bins", "iters", "step"], "score")
 
 
 @register("l17_fold_runner")
@@ -204,7 +212,7 @@ def l17_fold_runner(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("l18_feature_importance")
 def l18_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _calendar(Tables(spark, sf_dir))
-    model, pred = ML.fit_and_score(ML.feature_pipeline(ML.random_forest(trees=10, depth=6), CAT, NUM),
+    model, pred = ML.fit_and_score(ML.feature_pipeline(ML.random_forest(), CAT, NUM),
                                    train, test)
     return ML.importance_table(model, pred)
 
@@ -222,7 +230,7 @@ def l21_feature_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, cols in FEATURE_SETS.items():
         _, pred = ML.fit_and_score(ML.feature_pipeline(ML.logistic(), CAT, cols), train, test)
         rows[name] = M.binary_metrics(pred.withColumn("prediction", F.col("prediction").cast("int")))
-    model, pred = ML.fit_and_score(ML.feature_pipeline(ML.random_forest(trees=10, depth=6), [], NUM),
+    model, pred = ML.fit_and_score(ML.feature_pipeline(ML.random_forest(), [], NUM),
                                    train, test)
     top = [r["feature"] for r in ML.importance_table(model, pred, top=2).collect()]
     _, pred = ML.fit_and_score(ML.feature_pipeline(ML.logistic(), [], top), train, test)
@@ -287,13 +295,13 @@ def t13_vocab_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     tr2, dv2 = tr.drop("features"), dv.drop("features")
 
     def one_strength(c: float):
-        l1 = ML.logistic_c(c, n, "l1", max_iter=50, tol=1e-4).fit(tr)
+        l1 = ML.logistic_c(c, n, "l1", max_iter=LR_ROUNDS, tol=1e-4).fit(tr)
         keep = sorted({j for row in l1.coefficientMatrix.toArray() for j, w in enumerate(row) if w != 0})
         if not keep:
             return (c, 0, 0.0)
         kept_terms = [vocab[j] for j in keep]
         cvm = CountVectorizerModel.from_vocabulary(kept_terms, inputCol="toks", outputCol="features")
-        l2 = ML.logistic_c(0.5, n, "l2", max_iter=50, tol=1e-4).fit(cvm.transform(tr2))
+        l2 = ML.logistic_c(0.5, n, "l2", max_iter=LR_ROUNDS, tol=1e-4).fit(cvm.transform(tr2))
         pred = l2.transform(cvm.transform(dv2))
         f1 = M.weighted_f1(M.per_class_report(pred.withColumn("label", F.col("label").cast("int"))
                                               .withColumn("prediction", F.col("prediction").cast("int"))))
@@ -309,9 +317,9 @@ def t13_vocab_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "c double, vocab_size int, weighted_f1 double")
 
 
-def _nmf(spark: SparkSession, sf_dir: str, k: int = 5, rounds: int = 10):
+def _nmf(spark: SparkSession, sf_dir: str, k: int = 5):
     tf = T.term_counts(Tables(spark, sf_dir).documents.select("doc_id", "text"))
-    return TP.nmf(T.tfidf(tf), k, rounds=rounds, track_loss=False)
+    return TP.nmf(T.tfidf(tf), k, rounds=NMF_ROUNDS, track_loss=False, tol=1e-4)
 
 
 @register("t14_nmf_top_words")
@@ -332,9 +340,9 @@ def t14_lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.clustering import LDA
 
     d = Tables(spark, sf_dir).documents.select("doc_id", X.tokens("text").alias("toks"))
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=2,
+    cv = CountVectorizer(inputCol="toks", outputCol="features",
                          vocabSize=UNCAPPED_VOCAB).fit(d)
-    model = LDA(k=5, maxIter=10, seed=1).fit(cv.transform(d))
+    model = LDA(k=5, seed=1).fit(cv.transform(d))
     # The vocabulary already lives on the driver inside the fitted model.
     vocab = spark.createDataFrame(list(enumerate(cv.vocabulary)), "term_index int, term string")
     topics = model.describeTopics(20).select(
