@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, decontaminate, html, jaccard, licenses, line_runs, quality, secrets, token_store
+from tessera.llm import bpe, chat, collocations, decontaminate, html, jaccard, licenses, line_runs, quality, secrets, token_store
 from tessera.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_parity_sketch", jaccard.GROUPS_SQL)
 def op4_parity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op13_phrase_graph", collocations.REPORT_SQL)
+def op13_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per lang the best phrases of the gram graph; see ``collocations.collocations``."""
+    return collocations.report(table(spark, sf_dir, "documents"))
