@@ -7,7 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, collocations, decontaminate, html, jaccard, licenses, line_runs, quality, secrets, token_store
+from tessera.llm import (
+    bpe,
+    chat,
+    collocations,
+    decontaminate,
+    html,
+    jaccard,
+    licenses,
+    line_runs,
+    quality,
+    secrets,
+    spelling,
+    token_store,
+)
 from tessera.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +93,9 @@ def op4_parity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per lang the best phrases of the gram graph; see ``collocations.collocations``."""
     return collocations.report(table(spark, sf_dir, "documents"))
+
+
+@register("op12_spelling_fm")
+def op12_spelling_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of all documents with each word's form and root; see ``spelling.variants``."""
+    return spelling.report(table(spark, sf_dir, "documents"))
