@@ -12,6 +12,7 @@ from tessera.llm import (
     chat,
     collocations,
     decontaminate,
+    gam,
     html,
     jaccard,
     licenses,
@@ -99,3 +100,9 @@ def op13_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_spelling_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vocabulary of all documents with each word's form and root; see ``spelling.variants``."""
     return spelling.report(table(spark, sf_dir, "documents"))
+
+
+@register("op11_additive_quality")
+def op11_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; see ``gam.report``."""
+    return gam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
