@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokens as token_array
+from tessera.operators.ranking import counts_with_prefix
+
 
 def term_counts(docs: DataFrame, doc_id: str = "doc_id", text: str | Column = "text",
                 toks: Column | None = None) -> DataFrame:
@@ -70,6 +72,16 @@ def tfidf(tf: DataFrame, doc_id: str = "doc_id", normalize: bool = True,
     return w.select(doc_id, "term", "tf", (F.col("w") / F.nullif(norm, F.lit(0.0))).alias("w"))
 
 
+def term_vectors(tf: DataFrame, doc_id: str = "doc_id", weight: str = "tf", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, carry..., vector): the rows of a coordinate table as sparse vectors, structs of
+    ascending ``indices`` and ``values``; a term's index is its place in the sorted vocabulary.
+    A vector is as long as its document has distinct terms."""
+    numbers = counts_with_prefix(tf.select("term").distinct(), "term").select("term", F.col("before").alias("i"))
+    rows = tf.join(numbers, "term").groupBy(doc_id, *carry).agg(
+        F.array_sort(F.collect_list(F.struct("i", F.col(weight).cast("double").alias("w")))).alias("_v"))
+    return rows.select(doc_id, *carry, F.struct(F.col("_v.i").alias("indices"), F.col("_v.w").alias("values")).alias("vector"))
+
+
 def vocabulary_report(tf: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """T-09: vocabulary size, non-zeros, documents, average non-zeros per
     document, density in percent, first and last term in sort order."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import micros
 from tessera.operators import joins as J
 from tessera.operators import profile as P
-from tessera.operators.ranking import exact_quantiles
+from tessera.operators.ranking import box_plot, exact_quantiles
 from tessera.plans.core_queries import ASOF_BUCKET_SECONDS, _EVENTS_SQL, _J04_SQL, clean_events, enriched_purchases
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
@@ -270,6 +270,28 @@ def a13_five_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("min", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")], "max")
 
 
+@register("a13_box_plot", sql="""
+WITH f AS (SELECT l_returnflag AS flag, l_linestatus AS status, min(l_extendedprice) AS min,
+  quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
+  quantile_cont(l_extendedprice, 0.75) AS q3, max(l_extendedprice) AS max
+  FROM lineitem GROUP BY 1, 2),
+b AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM f)
+SELECT flag, status, count(*) AS n, any_value(min) AS min, round(any_value(q1), 6) AS q1,
+  round(any_value(median), 6) AS median, round(any_value(q3), 6) AS q3, any_value(max) AS max,
+  round(any_value(lower_fence), 6) AS lower_fence, round(any_value(upper_fence), 6) AS upper_fence,
+  min(l_extendedprice) FILTER (WHERE l_extendedprice BETWEEN lower_fence AND upper_fence) AS lower_whisker,
+  max(l_extendedprice) FILTER (WHERE l_extendedprice BETWEEN lower_fence AND upper_fence) AS upper_whisker,
+  count(*) FILTER (WHERE l_extendedprice NOT BETWEEN lower_fence AND upper_fence) AS n_outliers
+FROM b JOIN lineitem ON l_returnflag = flag AND l_linestatus = status GROUP BY 1, 2""")
+def a13_box_plot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box-plot data per group: quartiles, fences, whiskers and outliers."""
+    li = Tables(spark, sf_dir).lineitem.select(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
+                                               "l_extendedprice")
+    b = box_plot(li, "l_extendedprice", by=["flag", "status"])
+    return b.select(*[F.round(c, 6).alias(c) if c in ("q1", "median", "q3", "lower_fence", "upper_fence") else c
+                      for c in b.columns])
+
+
 @register("a14_ledger", sql="""
 SELECT 'raw' AS stage, year(o_orderdate) AS part, count(*) AS n_rows FROM orders GROUP BY 2
 UNION ALL

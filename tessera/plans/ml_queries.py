@@ -25,6 +25,7 @@ from tessera.operators import models as ML
 from tessera.operators import split as U
 from tessera.operators import text as T
 from tessera.operators import topics as TP
+from tessera.operators.ranking import lagged, positions
 from tessera.plans.core_queries import clean_events, delay_features
 from tessera.plans.model_queries import image_split
 from tessera.plans.order_split_queries import daily_totals
@@ -244,18 +245,15 @@ def l20_every_nth_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     train on days up to a cut-off, score every 21st later day, export the
     probabilities as CSV and read them back."""
     d = daily_totals(Tables(spark, sf_dir))
-    from tessera.plans.order_split_queries import with_position
-
-    p = with_position(d, "day")
-    prev = p.select((F.col("pos") + 1).alias("pos"), F.col("total").alias("lag1"))
-    nxt = p.select((F.col("pos") - 1).alias("pos"), F.col("total").alias("next_total"))
-    x = p.join(prev, "pos").join(nxt, "pos").withColumn(
-        "label", (F.col("next_total") > F.col("total")).cast("int"))
+    d = lagged(d, "day", ["total", "day"])
+    d = lagged(d.select("day", F.col("total").alias("next_total"), F.col("prev_total").alias("total"),
+                        F.col("prev_day").alias("at")), "day", ["total"])
+    x = d.where("pos > 1").select(F.col("at").alias("day"), "total", F.col("prev_total").alias("lag1"), "next_total",
+                                  (F.col("next_total") > F.col("total")).cast("int").alias("label"))
     cut = dt.date(2000, 1, 1)
     train = x.where(F.col("day") <= F.lit(cut))
     later = x.where(F.col("day") > F.lit(cut))
-    later = later.join(with_position(later.select("day"), "day").withColumnRenamed("pos", "k"), "day") \
-                 .where(F.col("k") % 21 == 0)
+    later = positions(later, "day", "k").where(F.col("k") % 21 == 0)
     _, pred = ML.fit_and_score(Pipeline(stages=[*ML.categorical_pipeline([], ["total", "lag1"]),
                                                 ML.logistic()]), train, later)
     out = ML.positive_probability(pred).select("day", "label", "p1")

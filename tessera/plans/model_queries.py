@@ -15,7 +15,7 @@ from tessera.operators import bayes as B
 from tessera.operators import metrics as M
 from tessera.operators import neighbors as NB
 from tessera.operators import text as T
-from tessera.operators.ranking import counts_with_prefix
+from tessera.operators.ranking import positions
 from tessera.operators.split import hash_bucket, hash_bucket_sql
 from tessera.plans.registry import register
 from tessera.plans.text_queries import _TF_SQL
@@ -58,6 +58,31 @@ def l06_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NB.knn_vote(cands, KS)
 
 
+_TEXT_BUCKET = hash_bucket_sql("doc_id", 100, 0)
+
+
+@register("l06_knn_terms", sql=f"""
+WITH tf AS {_TF_SQL}, dv AS (SELECT * FROM tf WHERE {_TEXT_BUCKET} >= 80), tr AS (SELECT * FROM tf WHERE {_TEXT_BUCKET} < 80),
+q AS (SELECT doc_id, sum(tf * tf) AS s FROM dv GROUP BY 1), r AS (SELECT doc_id, sum(tf * tf) AS s FROM tr GROUP BY 1),
+p AS (SELECT dv.doc_id AS qid, tr.doc_id AS rid, sum(dv.tf * tr.tf) AS p FROM dv JOIN tr USING (term) GROUP BY 1, 2),
+d AS (SELECT q.doc_id AS qid, r.doc_id AS rid, q.s + r.s - 2 * coalesce(p, 0) AS dist
+      FROM q CROSS JOIN r LEFT JOIN p ON p.qid = q.doc_id AND p.rid = r.doc_id),
+rk AS (SELECT qid, lang AS label, row_number() OVER (PARTITION BY qid ORDER BY dist, rid) AS rn
+       FROM d JOIN documents ON doc_id = rid),
+v AS (SELECT qid, kk.k, label, count(*) AS votes FROM rk, (VALUES {', '.join(f'({k})' for k in KS)}) kk(k)
+      WHERE rn <= kk.k GROUP BY 1, 2, 3)
+SELECT qid, CAST(k AS INTEGER) AS k, label AS prediction FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid, k ORDER BY votes DESC, label) AS r2 FROM v) WHERE r2 = 1""")
+def l06_knn_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-NN on sparse term counts, label ``lang``; documents without terms have no vector."""
+    t = Tables(spark, sf_dir)
+    tf = T.term_counts(t.documents.select("doc_id", "text"))
+    x = cut_lineage(T.term_vectors(tf).join(t.documents.select("doc_id", "lang"), "doc_id"))
+    side = hash_bucket("doc_id", 100, 0) < 80
+    cands = NB.knn_candidates(x.where(~side), x.where(side), max(KS), "doc_id", "doc_id", "vector", "lang")
+    return NB.knn_vote(cands, KS)
+
+
 @register("m10_learning_curve", sql=f"""
 WITH tr AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM {_TRAIN_IMG}),
 d AS (SELECT d.*, tr.pos FROM {_DIST_SQL} d JOIN tr ON d.rid = tr.vec_id),
@@ -70,8 +95,7 @@ def m10_learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1-NN accuracy when training on the first s rows (by vec_id), all sizes in
     one distance pass."""
     train, dev = image_split(Tables(spark, sf_dir))
-    pos = counts_with_prefix(train.select("vec_id"), "vec_id").select("vec_id", F.col("before").alias("pos"))
-    best = NB.nearest_within_prefix(dev, train.join(pos, "vec_id"), SIZES, "vec_id", "vec_id", "pos",
+    best = NB.nearest_within_prefix(dev, positions(train, "vec_id"), SIZES, "vec_id", "vec_id", "pos",
                                     "embedding", "label")
     x = best.join(dev.select(F.col("vec_id").alias("qid"), F.col("label").alias("truth")), "qid")
     return x.groupBy("size").agg(F.count(F.lit(1)).alias("n"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.operators import curves as CV
 from tessera.operators import encode as N
 from tessera.operators import split as U
-from tessera.operators.ranking import counts_with_prefix, first_come_deciles, percent_rank_global
+from tessera.operators.ranking import first_come_deciles, lagged, percent_rank_global, positions
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
 
@@ -30,12 +30,6 @@ def daily_totals(t: Tables) -> DataFrame:
         F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-def with_position(df: DataFrame, key: str) -> DataFrame:
-    """0-based position of each row by a unique ``key`` (distributed prefix counts)."""
-    pos = counts_with_prefix(df.select(key), key).select(key, F.col("before").alias("pos"))
-    return df.join(pos, key)
-
-
 _DAILY_SQL = """(SELECT CAST(o_orderdate AS DATE) AS day, round(sum(o_totalprice), 2) AS total
                  FROM orders GROUP BY 1)"""
 
@@ -45,18 +39,17 @@ SELECT day, total, prev_total FROM (
   SELECT day, total, lag(total) OVER (ORDER BY day) AS prev_total,
          row_number() OVER (ORDER BY day) AS rn FROM {_DAILY_SQL}) WHERE rn > 1""")
 def w05_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lag by one row of a date-ordered series, first row dropped; the previous
-    row is found by position (an equi-join), not by a single-task window."""
-    d = with_position(daily_totals(Tables(spark, sf_dir)), "day")
-    prev = d.select((F.col("pos") + 1).alias("pos"), F.col("total").alias("prev_total"))
-    return d.join(prev, "pos").select("day", "total", "prev_total")
+    """Lag by one row of a date-ordered series, first row dropped; the last row of
+    each range is handed over its border."""
+    d = lagged(daily_totals(Tables(spark, sf_dir)), "day", ["total"])
+    return d.where("pos > 0").select("day", "total", "prev_total")
 
 
 @register("w06_every_nth", sql=f"""
 SELECT day, total FROM (SELECT day, total, row_number() OVER (ORDER BY day) AS rn FROM {_DAILY_SQL})
 WHERE (rn - 1) % 21 = 0""")
 def w06_every_nth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = with_position(daily_totals(Tables(spark, sf_dir)), "day")
+    d = positions(daily_totals(Tables(spark, sf_dir)), "day")
     return d.where(F.col("pos") % 21 == 0).select("day", "total")
 
 

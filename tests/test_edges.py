@@ -244,7 +244,7 @@ def test_deciles_all_equal(spark):
 def test_exact_quantiles(spark):
     vals = [5.0, 1.0, 3.0, 3.0, 10.0, 7.0, 2.0]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    q = R.exact_quantiles(df, "x", [0.0, 0.25, 0.5, 0.9, 1.0], n_buckets=3).first()
+    q = R.exact_quantiles(df, "x", [0.0, 0.25, 0.5, 0.9, 1.0], few=2).first()
     assert list(q) == pytest.approx(list(np.quantile(vals, [0.0, 0.25, 0.5, 0.9, 1.0])))
 
 
@@ -360,7 +360,7 @@ def test_calibration_edges(spark):
     assert got2[0] == 0
 
 
-def test_knn_blocks_equal_single_block(spark):
+def test_knn_blocks_equal_single_block(spark, monkeypatch):
     from tessera.operators import neighbors as NB
 
     rng = np.random.default_rng(1)
@@ -369,8 +369,8 @@ def test_knn_blocks_equal_single_block(spark):
                                "id long, v array<double>, y int")
     q, r = df.where("id < 25"), df.where("id >= 25")
     one = sorted(NB.knn_vote(NB.knn_candidates(q, r, 3, "id", "id", "v", "y"), [1, 3]).collect())
-    many = sorted(NB.knn_vote(NB.knn_candidates(q, r, 3, "id", "id", "v", "y", max_query_rows=6),
-                              [1, 3]).collect())
+    monkeypatch.setattr(NB, "CELL", 6)
+    many = sorted(NB.knn_vote(NB.knn_candidates(q, r, 3, "id", "id", "v", "y"), [1, 3]).collect())
     assert one == many and len(one) == 50
     d = ((pts[:25, None, :] - pts[None, 25:, :]) ** 2).sum(-1)
     nearest = d.argmin(axis=1) + 25
