@@ -15,9 +15,11 @@ document order.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo
-from tessera.session import scratch_path
+from tessera.session import cut_lineage, scratch_path
 
 #: Tokens after which a shard is closed (at the end of a document).
 SHARD_TOKENS = 1 << 20
@@ -105,14 +106,126 @@ class Codes:
 
 # -- encoding -----------------------------------------------------------------
 
+#: Distinct runs that a worker remembers (a cache: it changes the time, never a result),
+#: and bytes of text that are encoded at a time.
+REMEMBERED = 800_000
+ENCODED_BYTES = 4 << 20
+
+
+#: Letters with signs behind them, and words that the pre-tokenizer surely keeps whole.
+_TAIL = re.compile(rb"([a-z]+)([!-/:-@\[-`{-~]+)")
+_WHOLE = re.compile("[a-zß-öø-ÿ]+")
+#: Words that are handed to the library as one text.
+JOINED = 1_000
+
+
+class _Numbers(dict):
+    """Numbers its keys in the order in which they are first looked up."""
+
+    def __missing__(self, key):
+        at = self[key] = len(self)
+        return at
+
+
+class _Ids(NamedTuple):
+    """Runs of ids end to end: run k is ``flat[starts[k]:starts[k + 1]]``."""
+
+    starts: np.ndarray
+    flat: np.ndarray
+
+    def gather(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered runs, end to end, and how many each has."""
+        lengths = self.starts[runs + 1] - self.starts[runs]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total) - np.repeat(ends - lengths, lengths) + np.repeat(self.starts[runs], lengths)
+        return self.flat[at], lengths
+
+
+class _Runs:
+    """The ids of runs of text. A new run gets a number when it is first looked up, and
+    all new ones are encoded together."""
+
+    def __init__(self, encode_words):
+        self.encode_words = encode_words
+        self.clear()
+
+    def clear(self):
+        new = self.new = []
+
+        class Numbers(_Numbers):
+            def __missing__(self, run):
+                new.append(run)
+                return super().__missing__(run)
+
+        self.numbers, self.used = Numbers(), np.zeros(0, np.int64)
+        self.ids = _Ids(np.zeros(1, np.int64), np.empty(0, np.uint32))
+
+    def note(self, numbers: np.ndarray) -> None:
+        """Count how often the runs were looked up."""
+        used = np.bincount(numbers, minlength=len(self.numbers))
+        used[:len(self.used)] += self.used
+        self.used = used
+
+    def make_room(self) -> None:
+        """Forget the runs seen less often than most, once there are too many."""
+        if len(self.numbers) <= REMEMBERED:
+            return
+        least = np.sort(self.used)[-REMEMBERED // 3]
+        keep = np.flatnonzero(self.used > least)
+        held = [run for run, k in zip(self.numbers, (self.used > least).tolist(), strict=True) if k]
+        flat, lengths = self.ids.gather(keep)
+        self.clear()
+        for run in held:
+            self.numbers[run]
+        self.new.clear()
+        self.ids = _Ids(np.concatenate([[0], np.cumsum(lengths)]), flat)
+
+    def encode_new(self) -> None:
+        """Encode the runs that were looked up first since the last call. Signs behind
+        letters are a word of their own, so such a run takes the ids of its two parts."""
+        if not self.new:
+            return
+        known = len(self.ids.starts) - 1
+        bare, plain, split, parts = [], [], [], []
+        for at, run in enumerate(self.new):  # parts that are new themselves join the list
+            letters = run.isalpha()
+            tail = None if letters else _TAIL.fullmatch(run)
+            if tail and b"<|" not in run:
+                split.append(at)
+                parts += self.numbers[tail[1]], self.numbers[tail[2]]
+            else:
+                bare.append(at)
+                plain.append(letters)
+        words = [self.new[at].decode("utf-8") for at in bare]
+        starts, flat = self.encode_words(words, plain)
+        both = _Ids(np.concatenate([self.ids.starts, self.ids.starts[-1] + starts[1:]]), np.concatenate([self.ids.flat, flat]))
+        # where a run's own ids, or those of its parts, stand among the known and the bare ones
+        place = np.arange(known + len(self.new))
+        place[known + np.array(bare, np.int64)] = known + np.arange(len(bare))
+        sizes = np.ones(len(self.new), np.int64)
+        sizes[split] = 2
+        first = np.cumsum(sizes) - sizes
+        pieces = np.empty(sizes.sum(), np.int64)
+        pieces[first[bare]] = place[known + np.array(bare, np.int64)]
+        at = first[np.array(split, np.int64)]
+        pieces[at], pieces[at + 1] = place[np.array(parts[::2], np.int64)], place[np.array(parts[1::2], np.int64)]
+        ids, lengths = both.gather(pieces)
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        self.ids = _Ids(np.concatenate([self.ids.starts, self.ids.starts[-1] + before[np.cumsum(sizes)]]),
+                        np.concatenate([self.ids.flat, ids]))
+        self.new.clear()
+
+
 @lru_cache(maxsize=2)
 def _encoder(spec: str):
-    """A function from a text's UTF-8 bytes to its ids as little-endian uint32.
+    """A function from the UTF-8 bytes of texts to their ids, end to end, and the
+    number of ids of each.
 
     Where the file's pre-tokenizer drops white space and cuts at it (a removing
     split whose pattern has no white space), a text's ids are those of its runs
     without ASCII white space, one after another; the library then encodes each
-    distinct run once while the memo holds it. Else it encodes the whole text.
+    distinct run once while it is remembered. Else it encodes whole texts.
     """
     import json
 
@@ -122,27 +235,57 @@ def _encoder(spec: str):
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def ids_of(text: bytes) -> bytes:
-        ids = tokenizer.encode_batch_fast([text.decode("utf-8")], add_special_tokens=False)[0].ids
-        return np.array(ids, "<u4").tobytes()
-
-    if not _cuts_at_space(json.loads(spec)):
-        return ids_of
-    def parts(run: bytes) -> bytes:
-        # the library lower-cases, and a full stop or comma after a letter is a word of its own
-        if b"<|" not in run:
-            if run.lower() != run:
-                return memo[run.lower()]
-            if run[-1:] in (b".", b",") and len(run) > 1 and 97 <= run[-2] <= 122:
-                return memo[run[:-1]] + memo[run[-1:]]
-        return ids_of(run)
+    def encode_batch(texts: list[str]):
+        return tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
-    memo = Memo(parts, 500_000)
+    def flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(e.ids, np.uint32) for e in encode_batch(texts)]
+        return np.concatenate([np.empty(0, np.uint32), *found]), np.fromiter(map(len, found), np.int64, len(found))
 
-    def encode(text: bytes) -> bytes:
-        return b"".join(map(memo.__getitem__, text.split()))  # bytes.split() cuts at ASCII white space
-
-    return encode
+    if not _cuts_at_space(json.loads(spec)):
+        return lambda texts: flat([t.decode("utf-8") for t in texts])
+    ends_word = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+    suffix = json.loads(spec)["model"].get("end_of_word_suffix") or ""
+    ends_word[[i for token, i in tokenizer.get_vocab().items() if suffix and token.endswith(suffix)]] = True
+
+    def encode_words(words: list[str], letters: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ids. Many plain words (ASCII letters, as told, or others that are
+        surely kept whole) go to the library as one text; the token that ends a word tells
+        where it ends. All others are encoded by themselves."""
+        plain = np.fromiter((a or _WHOLE.fullmatch(w) is not None for w, a in zip(words, letters, strict=True)), bool,
+                            len(words))
+        together = [w for w, p in zip(words, plain.tolist(), strict=True) if p]
+        ids, _ = flat([" ".join(together[k:k + JOINED]) for k in range(0, len(together), JOINED)])
+        ends = np.flatnonzero(ends_word[ids]) + 1
+        if len(ends) != len(together):  # a vocabulary without word ends
+            plain[:] = False
+            ids, ends = ids[:0], ends[:0]
+        own, own_sizes = flat([w for w, p in zip(words, plain.tolist(), strict=True) if not p])
+        sizes = np.empty(len(words), np.int64)
+        sizes[plain], sizes[~plain] = np.diff(ends, prepend=0), own_sizes
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        out = np.empty(starts[-1], np.uint32)
+        inside = np.repeat(plain, sizes)
+        out[inside], out[~inside] = ids, own
+        return starts, out
+
+    table = _Runs(encode_words)
+
+    def by_runs(texts: list[bytes]):
+        table.make_room()
+        # the library lower-cases, but looks for its special tokens before that
+        runs = [(t if b"<|" in t else t.lower()).split() for t in texts]  # cuts at ASCII white space
+        n = np.fromiter(map(len, runs), np.int64, len(runs))
+        look_up = table.numbers.__getitem__
+        numbers = np.concatenate([np.fromiter(map(look_up, r), np.int64, len(r)) for r in runs])
+        table.encode_new()
+        table.note(numbers)
+        ids, lengths = table.ids.gather(numbers)
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        ends = np.cumsum(n)
+        return ids, before[ends] - before[ends - n]
+
+    return by_runs
 
 
 #: Fixed value: the pattern of the removing split that is known to hold no white space.
@@ -178,12 +321,11 @@ def write_store(docs: DataFrame, tokenizer_path: str, store: str, end_id: int =
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode = _encoder(spec.value)
-        end = np.array([end_id], "<u4").tobytes()
         part, seq = TaskContext.get().partitionId(), 0
         doc_ids, lengths, runs, n = [], [], [], 0
 
         def shard():
-            ids = np.frombuffer(b"".join(runs), "<u4")
+            ids = np.concatenate(runs)
             starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
             chunks, more, ranks = pack(ids)
             row = [part, seq, len(doc_ids), len(ids), doc_ids, starts, chunks, more, ranks]
@@ -191,16 +333,35 @@ def write_store(docs: DataFrame, tokenizer_path: str, store: str, end_id: int =
             names = ["part", "seq", "n_docs", "n_tokens", "doc_ids", "doc_starts", "chunks", "more", "ranks"]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
-                ids = encode(text.as_py() or b"") + end
-                doc_ids.append(doc_id)
-                lengths.append(len(ids) // 4)
-                runs.append(ids)
-                n += len(ids) // 4
-                if n >= SHARD_TOKENS:
-                    yield shard()
-                    seq, doc_ids, lengths, runs, n = seq + 1, [], [], [], 0
+        def encoded():
+            """doc_id, ids with the end of each document; texts are encoded by the megabyte."""
+            keys, texts, held = [], [], 0
+
+            def some():
+                ids, sizes = encode(texts)
+                at = np.cumsum(sizes)
+                with_ends = np.insert(ids, at, end_id) if len(at) else ids
+                return zip(keys, np.split(with_ends, (at + np.arange(1, len(at) + 1))[:-1]), strict=True)
+
+            for batch in batches:
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                    keys.append(doc_id)
+                    texts.append(text.as_py() or b"")
+                    held += len(texts[-1])
+                    if held >= ENCODED_BYTES:
+                        yield from some()
+                        keys, texts, held = [], [], 0
+            if keys:
+                yield from some()
+
+        for doc_id, ids in encoded():
+            doc_ids.append(doc_id)
+            lengths.append(len(ids))
+            runs.append(ids)
+            n += len(ids)
+            if n >= SHARD_TOKENS:
+                yield shard()
+                seq, doc_ids, lengths, runs, n = seq + 1, [], [], [], 0
         if doc_ids:
             yield shard()
 
@@ -224,8 +385,9 @@ def open_store(spark: SparkSession, store: str) -> DataFrame:
     before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     places = shards.select("part", "seq", "n_tokens").withColumn(
         "in_part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    places = places.join(part_starts(shards), "part").select(
-        "part", "seq", (F.col("part_start") + F.col("in_part")).alias("start"))
+    # the manifest is written, so that its size in bytes decides how it is joined
+    places = cut_lineage(places.join(part_starts(shards), "part").select(
+        "part", "seq", (F.col("part_start") + F.col("in_part")).alias("start")))
     return shards.join(places, ["part", "seq"])
 
 
