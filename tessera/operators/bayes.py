@@ -11,10 +11,12 @@ collect to the driver.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.text import join_terms
 from tessera.session import cut_lineage
 
 
@@ -143,49 +145,64 @@ def predict_gaussian_nb(df: DataFrame, model: DataFrame, vector: str) -> DataFra
 # ---------------------------------------------------------------- Multinomial
 
 
-def fit_multinomial_nb(train_tf: DataFrame, doc_labels: DataFrame, alpha: float = 1.0,
-                       doc_id: str = "doc_id", label: str = "label") -> tuple[DataFrame, DataFrame]:
-    """L-08 on a (doc_id, term, tf) table: returns (class model, sparse term table).
+def multinomial_nb(tf: DataFrame, docs: DataFrame, alphas: Sequence[float], scored: Sequence | None = None,
+                   doc_id: str = "doc_id", label: str = "label", fold: str = "fold") -> DataFrame:
+    """L-08 and M-09: every fold's documents scored by models of all other folds, for
+    every smoothing value at once: (doc_id, label, fold, alpha, prediction, scores).
 
-    ``doc_labels`` holds one row per training document (documents without any
-    term included: they count in the class priors). log P(t | c) =
-    log((N_ct + alpha) / (N_c + alpha |V|)) over the training vocabulary V (the
-    terms of the sparse table). Only non-zero N_ct are stored; the rest share
-    the class default log(alpha / (N_c + alpha |V|)).
+    ``tf`` holds (doc_id, term, tf, label, fold), ``docs`` one row per document
+    (doc_id, label, fold), those without any term included (they count in the priors).
+    ``scored`` names the folds to score, all by default. A document without a term of
+    its training vocabulary has no row.
+
+    log P(t | c) = log((N_ct + alpha) / (N_c + alpha |V|)) over the training vocabulary
+    V. A term is one row with its counts by (fold, class), so one join gives each
+    document's terms the counts of its own training folds, and one aggregate sums the
+    gains over terms that a class has not seen, for every class and alpha. Only the
+    totals by (fold, class) reach the driver.
     """
-    x = train_tf.join(doc_labels.select(doc_id, F.col(label).alias("label")), doc_id)
-    # The class-term counts feed the vocabulary size, the class totals, the
-    # class model and the sparse gain table: materialise them once.
-    nct = cut_lineage(x.groupBy("label", "term").agg(F.sum("tf").alias("n_ct")))
-    v = nct.select(F.count_distinct("term")).scalar()
-    n_docs = doc_labels.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("d_c"))
-    total_docs = n_docs.select(F.sum("d_c")).scalar()
-    nc = nct.groupBy("label").agg(F.sum("n_ct").alias("n_c"))
-    classes = nc.join(n_docs, "label").select(
-        "label", F.log(F.col("d_c") / total_docs).alias("prior"),
-        F.log(F.lit(alpha) / (F.col("n_c") + alpha * v)).alias("default"))
-    model = classes.agg(F.array_sort(F.collect_list(F.struct("label", "prior", "default")))
-                        .alias("classes"))
-    sparse = nct.select("term", "label", (F.log(F.col("n_ct") + alpha) - math.log(alpha)).alias("gain"))
-    return model, sparse
-
-
-def predict_multinomial_nb(tf: DataFrame, model: DataFrame, sparse: DataFrame,
-                           vocab: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Scores = prior + n_tokens(in V) x default + sum of tf x gain over the
-    document's terms with non-zero class counts (a join on term whose fan-out
-    is at most the number of classes). Returns (doc_id, prediction, posteriors)."""
-    x = tf.join(vocab.select("term").distinct(), "term", "left_semi")
-    tot = x.groupBy(doc_id).agg(F.sum("tf").alias("_n"))
-    gains = x.join(sparse, "term").groupBy(doc_id, "label").agg(
-        F.sum(F.col("tf") * F.col("gain")).alias("g"))
-    gmap = gains.groupBy(doc_id).agg(F.map_from_entries(F.collect_list(F.struct("label", "g")))
-                                     .alias("_g"))
-    y = _attach(tot.join(gmap, doc_id, "left"), model)
-    s = F.transform(F.col("_model"), lambda m: F.struct(
-        m["label"].alias("label"),
-        (m["prior"] + F.col("_n") * m["default"]
-         + F.coalesce(F.col("_g")[m["label"]], F.lit(0.0))).alias("jll")))
-    y = y.withColumn("_s", s)
-    return y.select(doc_id, _pick(F.col("_s")), _posteriors(F.col("_s")).alias("posteriors"),
-                    F.col("_s").alias("scores"))
+    tf = cut_lineage(tf.select(doc_id, "term", "tf", F.col(label).alias("label"), F.col(fold).alias("fold")))
+    sizes = docs.groupBy(F.col(fold).alias("fold"), F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()
+    folds = sorted({r["fold"] for r in sizes})
+    classes = sorted({r["label"] for r in sizes if r["label"] is not None})
+    scored = [f for f in folds if scored is None or f in scored]
+    # per term: its training count of each (scored fold, class), the sum over the other folds
+    counts = [F.sum(F.when((F.col("fold") != F.lit(f)) & (F.col("label") == F.lit(c)), F.col("tf")).otherwise(0))
+              .alias(f"n{i}_{j}") for i, f in enumerate(scored) for j, c in enumerate(classes)]
+    terms = cut_lineage(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), *counts))
+    cells = [(i, j) for i in range(len(scored)) for j in range(len(classes))]
+    seen = [sum((F.col(f"n{i}_{j}") for j in range(len(classes))), F.lit(0)) > 0 for i in range(len(scored))]
+    totals = terms.agg(*[F.sum(f"n{i}_{j}").alias(f"n{i}_{j}") for i, j in cells],
+                       *[F.count_if(s).alias(f"v{i}") for i, s in enumerate(seen)]).first()
+    trained = {(i, c): sum(r["n"] for r in sizes if r["fold"] != f and r["label"] == c)
+               for i, f in enumerate(scored) for c in classes}
+
+    def of_fold(values):
+        """The value of a row's own fold, given one per scored fold."""
+        out = values[-1]
+        for f, v in list(zip(scored, values))[-2::-1]:
+            out = F.when(F.col("fold") == F.lit(f), v).otherwise(out)
+        return out
+
+    x = join_terms(tf.where(F.col("fold").isin(scored)), terms).where(of_fold(seen))
+    own = x.select(doc_id, "label", "fold", "tf", *[of_fold([F.col(f"n{i}_{j}") for i in range(len(scored))]).alias(f"t{j}")
+                                                    for j in range(len(classes))])
+    sums = own.groupBy(doc_id, "label", "fold").agg(F.sum("tf").alias("_n"), *[
+        F.sum(F.col("tf") * (F.log(F.col(f"t{j}") + a) - math.log(a))).alias(f"g{k}_{j}")
+        for k, a in enumerate(alphas) for j in range(len(classes))])
+
+    def score(k, a, j, c):
+        parts = []
+        for i in range(len(scored)):
+            n_docs = sum(trained[i, d] for d in classes)
+            room = (totals[f"n{i}_{j}"] or 0) + a * (totals[f"v{i}"] or 0)
+            if not trained[i, c] or not totals[f"n{i}_{j}"]:
+                parts.append(F.lit(float("-inf")))  # a class without training terms is never predicted
+                continue
+            parts.append(F.lit(math.log(trained[i, c] / n_docs)) + F.col("_n") * math.log(a / room) + F.col(f"g{k}_{j}"))
+        return F.struct(F.lit(c).alias("label"), of_fold(parts).alias("jll"))
+
+    per_alpha = F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.array(*[score(k, a, j, c) for j, c in enumerate(
+        classes)]).alias("scores")) for k, a in enumerate(alphas)])
+    y = sums.select(doc_id, "label", "fold", F.inline(per_alpha))
+    return y.select(doc_id, "label", "fold", "alpha", _pick(F.col("scores")), "scores")

@@ -5,15 +5,15 @@ table derived from it. Degree centrality is two aggregates; PageRank is an
 iterative DataFrame job: edges are partitioned by ``src`` once and checkpointed
 (the checkpoint keeps that partitioning, so later joins on ``src`` shuffle only
 the small rank table), each round is one join + one aggregate (one job), and
-lineage is cut with reliable checkpoints into the shared checkpoint directory.
+the ranks are written to the shared checkpoint directory every round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, scratch_path
 
 
 def weighted_edges(facts: DataFrame, src: str, dst: str, weight: str | None = None) -> DataFrame:
@@ -45,9 +45,12 @@ def degree_centrality(edges: DataFrame, nodes: DataFrame | None = None) -> DataF
                     .alias("degree_centrality"))
 
 
+#: Edges of a source that stand in one part; a hub's edges are dealt to several.
+HUB_EDGES = 100_000
+
+
 def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: float = 1e-6,
-             fixed_rounds: int | None = None, partitions: int | None = None,
-             checkpoint_every: int = 5) -> DataFrame:
+             fixed_rounds: int | None = None, partitions: int | None = None) -> DataFrame:
     """G-03: weighted PageRank with uniform teleport and uniform dangling mass.
 
     Each round: r'(v) = alpha * sum_{u->v} r(u) w(u,v) / W(u)
@@ -55,72 +58,51 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
     Stops when the L1 change is below ``n * tol`` or after ``max_iter`` rounds;
     ``fixed_rounds`` runs exactly that many rounds without the test.
 
-    One job per round: the new rank table (one row per node, far smaller than
-    the edges) is persisted and materialised by the aggregate that yields the
-    next round's dangling mass (and L1 change); the previous round is then
-    released. Every ``checkpoint_every`` rounds the ranks are checkpointed to
-    the shared checkpoint directory, so a lost executor recomputes at most
-    that many rounds.
+    A round is one job: the edges take their source's rank by a join, and one
+    aggregate sums these contributions and a row of zero per node, which also
+    carries the old rank and keeps nodes that nothing leads to. The dangling mass
+    and the change are observed while the new ranks are written; two tables take
+    turns, so the scratch space holds two rounds. Edges are dealt by source once
+    (to ``partitions`` parts, else as many as shuffle partitions); a source with
+    more than ``HUB_EDGES`` edges is dealt by target as well, and its rank is sent
+    to each of its parts. No setting of the session is changed.
     """
     spark = edges.sparkSession
-    # One partition per core of the cluster unless told otherwise; the
-    # per-round shuffles use the same count while the rounds run (the caller's
-    # setting is restored afterwards; every round's job runs inside here).
-    parts = partitions or spark.sparkContext.defaultParallelism
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    try:
-        return _pagerank_rounds(edges, alpha, max_iter, tol, fixed_rounds, parts, checkpoint_every)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-
-
-def _pagerank_rounds(edges: DataFrame, alpha: float, max_iter: int, tol: float,
-                     fixed_rounds: int | None, parts: int, checkpoint_every: int) -> DataFrame:
-    def by(df: DataFrame, col: str) -> DataFrame:
-        return df.repartition(parts, col)
-
-    # Read five times below: evaluate the caller's edge query once.
     edges = cut_lineage(edges.select("src", "dst", "weight"))
     e = edges.where(F.col("weight") > 0)
-    out_w = e.groupBy("src").agg(F.sum("weight").alias("_w"))
-    norm = e.join(out_w, "src").select("src", "dst", (F.col("weight") / F.col("_w")).alias("p"))
-    norm = cut_lineage(by(norm, "src"), keep_partitioning=True)
-    nodes = nodes_of(edges)
-    has_out = out_w.select(F.col("src").alias("node"), F.lit(False).alias("_dangling_flag"))
-    nodes = cut_lineage(by(nodes.join(has_out, "node", "left")
-                        .select("node", F.col("_dangling_flag").isNull().alias("dangling")),
-                        "node"), keep_partitioning=True)
-    stats = nodes.agg(F.count(F.lit(1)).alias("n"),
-                      F.count_if("dangling").alias("nd")).first()
+    sources = e.groupBy("src").agg(F.sum("weight").alias("_w"), F.ceil(F.count(F.lit(1)) / HUB_EDGES).cast("int")
+                                   .alias("parts"))
+    norm = e.join(sources, "src").select("src", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part"), "dst",
+                                         (F.col("weight") / F.col("_w")).alias("p"))
+    norm = norm.repartition(partitions, "src", "part") if partitions else norm.repartition("src", "part")
+    norm = cut_lineage(norm, keep_partitioning=True)
+    ends = sources.select(F.col("src").alias("node"), "parts")
+    nodes = cut_lineage(nodes_of(edges).join(ends, "node", "left"))
+    stats = nodes.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("parts").isNull()).alias("nd")).first()
     n = stats["n"]
     if n == 0:
         return nodes.select("node", F.lit(0.0).alias("rank"))
-    ranks = nodes.select("node", "dangling", F.lit(1.0 / n).alias("rank"))
+    ranks = nodes.select("node", "parts", F.lit(1.0 / n).alias("rank"))
     dangling_mass = stats["nd"] / n
-    rounds = fixed_rounds if fixed_rounds is not None else max_iter
-    for i in range(1, rounds + 1):
-        contrib = norm.join(ranks.select(F.col("node").alias("src"), "rank"), "src") \
-                      .groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") * F.col("p"))
-                                                              .alias("_in"))
+    paths = [scratch_path(spark, "pagerank-a"), scratch_path(spark, "pagerank-b")]
+    null = F.lit(None)
+    for i in range(fixed_rounds if fixed_rounds is not None else max_iter):
+        sent = ranks.where(F.col("parts").isNotNull()).select(
+            F.col("node").alias("src"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "rank")
+        contributions = norm.join(sent, ["src", "part"]).select(
+            F.col("dst").alias("node"), (F.col("rank") * F.col("p")).alias("x"), null.cast("int").alias("parts"),
+            null.cast("double").alias("old"))
+        zeros = ranks.select("node", F.lit(0.0).alias("x"), "parts", F.col("rank").alias("old"))
         base = (alpha * dangling_mass + 1.0 - alpha) / n
-        new = nodes.join(contrib, "node", "left").select(
-            "node", "dangling", (F.lit(alpha) * F.coalesce("_in", F.lit(0.0)) + F.lit(base)).alias("rank"))
-        if i % checkpoint_every == 0:
-            new = cut_lineage(new, keep_partitioning=True)
-        else:
-            new = new.persist()
-        if fixed_rounds is None:
-            r = new.join(ranks.select("node", F.col("rank").alias("_old")), "node").agg(
-                F.sum(F.when(F.col("dangling"), F.col("rank")).otherwise(0.0)).alias("dm"),
-                F.sum(F.abs(F.col("rank") - F.col("_old"))).alias("err")).first()
-        else:
-            r = new.agg(F.sum(F.when(F.col("dangling"), F.col("rank")).otherwise(0.0)).alias("dm"),
-                        F.lit(None).alias("err")).first()
-        ranks.unpersist()
-        ranks = new
-        dangling_mass = r["dm"] or 0.0
-        if r["err"] is not None and r["err"] < n * tol:
+        new = contributions.unionByName(zeros).groupBy("node").agg(
+            F.sum("x").alias("x"), F.max("parts").alias("parts"), F.max("old").alias("old"))
+        new = new.select("node", "parts", "old", (F.lit(alpha) * F.col("x") + F.lit(base)).alias("rank"))
+        seen = Observation()
+        ranks = cut_lineage(new.observe(
+            seen, F.sum(F.when(F.col("parts").isNull(), F.col("rank")).otherwise(0.0)).alias("dangling"),
+            F.sum(F.abs(F.col("rank") - F.col("old"))).alias("change")), path=paths[i % 2])
+        dangling_mass = seen.get["dangling"] or 0.0
+        if fixed_rounds is None and seen.get["change"] < n * tol:
             break
     return ranks.select("node", "rank")
 

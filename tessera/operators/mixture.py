@@ -110,7 +110,7 @@ def _log_dens(x: np.ndarray, mix: Mixture) -> np.ndarray:
 
 def _partial_stats(params, dims: int):
     """mapInPandas body: per partition, for every model, the log-likelihood sum
-    and responsibility-weighted counts, sums and second moments (one row out)."""
+    and responsibility-weighted counts, sums and second moments (one row per place)."""
     def run(batches):
         acc = None
         for pdf in batches:
@@ -134,10 +134,21 @@ def _partial_stats(params, dims: int):
             vec = np.concatenate(chunks)
             acc = vec if acc is None else acc + vec
         if acc is not None:
-            yield pd.DataFrame({"stats": [acc.tolist()]})
+            yield pd.DataFrame({"place": np.arange(len(acc)), "value": acc})
     return run
 
 
+def _summed(rows: DataFrame, run) -> np.ndarray | None:
+    """The vectors that ``run`` gives per task, added up by place on the executors: what
+    reaches the driver has the length of one vector, whatever the number of tasks."""
+    sums = rows.mapInPandas(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+    if not sums.num_rows:
+        return None
+    total = np.zeros(sums.num_rows)
+    total[sums["place"].to_numpy()] = sums["value"].to_numpy()
+    return total
+
+
 def _m_step_arrays(chunk: np.ndarray, k: int, d: int, cov: str) -> Mixture:
     nk = np.maximum(chunk[1:1 + k], 1e-12)
     means = chunk[1 + k:1 + k + k * d].reshape(k, d) / nk[:, None]
@@ -166,8 +177,8 @@ def fit_em_many(df: DataFrame, vector: str, key: str, specs: dict, dims: int,
 
     Every EM round of every model is ONE pass over the rows: a mapInPandas
     E-step computes, per partition, the responsibility-weighted sufficient
-    statistics of all models (one small row per partition); the driver adds
-    the partition rows and runs the closed-form M-step. A whole parameter
+    statistics of all models, an aggregate adds them up by place, and the driver
+    runs the closed-form M-step. A whole parameter
     search costs ``max_iter`` scans, and only parameters and statistics
     (models x components x dims^2 numbers) cross the driver.
     Returns name -> (Mixture, mean log-likelihood history).
@@ -211,8 +222,7 @@ def fit_em_many(df: DataFrame, vector: str, key: str, specs: dict, dims: int,
             if not active:
                 break
             params = [(state[n]["g"] if group else 0, state[n]["mix"]) for n in active]
-            parts = rows.mapInPandas(_partial_stats(params, dims), "stats array<double>").collect()
-            total = np.sum([np.asarray(r["stats"]) for r in parts], axis=0) if parts else None
+            total = _summed(rows, _partial_stats(params, dims))
             offset = 0
             for name, (_, mix) in zip(active, params):
                 st = state[name]
@@ -298,10 +308,9 @@ def accuracy_many(test: DataFrame, vector: str, label: str, settings: list[dict]
             vec = np.array([float(len(y))] + hits)
             acc = vec if acc is None else acc + vec
         if acc is not None:
-            yield pd.DataFrame({"stats": [acc.tolist()]})
+            yield pd.DataFrame({"place": np.arange(len(acc)), "value": acc})
 
-    rows = test.select(F.col(label).alias("_y"), *xs).mapInPandas(run, "stats array<double>").collect()
-    if not rows:
+    total = _summed(test.select(F.col(label).alias("_y"), *xs), run)
+    if total is None:
         return [0.0] * len(settings)
-    total = np.sum([np.asarray(r["stats"]) for r in rows], axis=0)
     return [h / total[0] if total[0] else 0.0 for h in total[1:]]

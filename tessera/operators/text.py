@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import tokens as token_array
 from tessera.operators.ranking import counts_with_prefix
+from tessera.session import cut_lineage
 
 
 def term_counts(docs: DataFrame, doc_id: str = "doc_id", text: str | Column = "text",
@@ -53,25 +54,66 @@ def frequent_terms_as_stop_words(tf: DataFrame, max_df_share: float,
     return document_frequency(tf).where(F.col("df") > n_docs * max_df_share).select("term")
 
 
+#: Terms that this share of all (document, term) rows hold are joined apart: at most
+#: its inverse in number, which bounds what is broadcast.
+HOT_SHARE = 1 / 1000
+
+
+def join_terms(tf: DataFrame, terms: DataFrame) -> DataFrame:
+    """Rows of ``tf`` with the values of their term; ``terms`` has one row per term and
+    its document frequency ``df``. Both should be tables, they are read twice.
+
+    The rows of hot terms, most of a corpus, meet a broadcast table of bounded size and
+    are never shuffled; what is left has no key with more than a small share of the rows.
+    """
+    rows = terms.agg(F.sum("df")).first()[0] or 0
+    hot = terms.where(F.col("df") >= HOT_SHARE * rows)
+    rest = terms.where(F.col("df") < HOT_SHARE * rows)
+    cold = tf.join(F.broadcast(hot.select("term")), "term", "left_anti")
+    return tf.join(F.broadcast(hot), "term").unionByName(cold.join(rest, "term"))
+
+
 def tfidf(tf: DataFrame, doc_id: str = "doc_id", normalize: bool = True,
           n_docs: Column | None = None) -> DataFrame:
     """T-11: smooth TF-IDF, ``tf * (ln((1 + n) / (1 + df)) + 1)``, rows L2-normalised.
 
     n is the corpus size (pass the document table's row count, which includes
     documents without any term; default: documents present in ``tf``); df is
-    joined on term; the row norm is a window over the document's distinct terms.
+    joined on term, hot terms apart; the row norm is a window over the document's
+    distinct terms. The counts are written once and read for df and for the join.
     """
+    tf = cut_lineage(tf.select(doc_id, "term", "tf"))
     if n_docs is None:
         n_docs = tf.select(F.count_distinct(doc_id)).scalar()
-    dfs = document_frequency(tf, doc_id)
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
-    w = tf.join(dfs, "term").select(doc_id, "term", "tf", (F.col("tf") * idf).alias("w"))
+    w = join_terms(tf, cut_lineage(document_frequency(tf, doc_id))).select(doc_id, "term", "tf", (F.col("tf") * idf).alias("w"))
     if not normalize:
         return w
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
     return w.select(doc_id, "term", "tf", (F.col("w") / F.nullif(norm, F.lit(0.0))).alias("w"))
 
 
+#: Longest key of a substring match.
+KEY_CHARS = 4
+
+
+def substring_matches(terms: DataFrame, words: DataFrame, term: str = "term", word: str = "word") -> DataFrame:
+    """(term, word): the distinct terms that contain each distinct word.
+
+    A word's key is its first characters, up to ``KEY_CHARS``; a term has the keys that
+    start at each of its characters, in every length. Terms and words meet by an
+    equi-join on the key, and the match is verified. Empty words match nothing.
+    """
+    t = terms.where(F.col(term).isNotNull()).select(F.col(term).alias("term")).distinct()
+    w = words.where(F.length(word) > 0).select(F.col(word).alias("word")).distinct()
+    w = w.select("word", F.substring("word", 1, KEY_CHARS).alias("key"))
+    starts = F.sequence(F.lit(1), F.length("term"))
+    keys = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(KEY_CHARS), F.length("term") - i + 1)), lambda n: F.substring("term", i, n)))))
+    keyed = t.where(F.length("term") > 0).select("term", F.explode(keys).alias("key"))
+    return keyed.join(w, "key").where(F.contains("term", "word")).select("term", "word").distinct()
+
+
 def term_vectors(tf: DataFrame, doc_id: str = "doc_id", weight: str = "tf", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, carry..., vector): the rows of a coordinate table as sparse vectors, structs of
     ascending ``indices`` and ``values``; a term's index is its place in the sorted vocabulary.

@@ -168,6 +168,25 @@ def l15_mixture_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumnRenamed("mean_score", "accuracy")
 
 
+@register("l15_fitted_moments", sql=f"""
+WITH x AS (SELECT CAST(label >= 5 AS INTEGER) AS y, embedding AS e FROM embeddings),
+d(a, b) AS (VALUES (0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2))
+SELECT y, a, b, round(avg(CAST(e[a + 1] AS DOUBLE)), 8) AS mean,
+  round(covar_pop(CAST(e[a + 1] AS DOUBLE), CAST(e[b + 1] AS DOUBLE)) + CASE WHEN a = b THEN {GM.REG_COVAR} ELSE 0 END, 8)
+    AS cov
+FROM x, d GROUP BY y, a, b""")
+def l15_fitted_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The EM fit of a one-component full mixture per class is the class's mean and
+    covariance: the statistics that the search adds up, against an aggregate."""
+    e = Tables(spark, sf_dir).embeddings.select("vec_id", "embedding", (F.col("label") >= 5).cast("int").alias("y"))
+    specs = {c: (c, 1, "full", 3) for c in (0, 1)}
+    fitted = GM.fit_em_many(e, "embedding", "vec_id", specs, 3, group="y")
+    rows = [(c, a, b, float(m.means[0][a]), float(m.covs[0][a][b])) for c, (m, _) in fitted.items()
+            for a in range(3) for b in range(a, 3)]
+    out = spark.createDataFrame(rows, "y int, a int, b int, mean double, cov double")
+    return out.select("y", "a", "b", F.round("mean", 8).alias("mean"), F.round("cov", 8).alias("cov"))
+
+
 @register("l16_grid_search_cv")
 def l16_grid_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k-fold search (fold column from the key hash) with CrossValidator."""
@@ -315,9 +334,55 @@ def t13_vocab_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "c double, vocab_size int, weighted_f1 double")
 
 
+# The reference's regularisation of the factorisation.
+NMF_ALPHA, NMF_L1 = 0.1, 0.5
+
+
+def _topic_matrix(t: Tables) -> DataFrame:
+    """TF-IDF of the texts after cleaner B, without the stop words by rule."""
+    d = t.documents.select("doc_id", X.tokens(X.clean_b("text")).alias("toks"))
+    tf = cut_lineage(T.term_counts(d, toks=F.col("toks")))
+    n_docs = t.documents.select(F.count(F.lit(1))).scalar()
+    kept = T.remove_stop_words(tf, T.frequent_terms_as_stop_words(tf, 0.5, n_docs))
+    return T.tfidf(kept, n_docs=n_docs)
+
+
 def _nmf(spark: SparkSession, sf_dir: str, k: int = 5):
-    tf = T.term_counts(Tables(spark, sf_dir).documents.select("doc_id", "text"))
-    return TP.nmf(T.tfidf(tf), k, rounds=NMF_ROUNDS, track_loss=False, tol=1e-4)
+    return TP.nmf(_topic_matrix(Tables(spark, sf_dir)), k, rounds=NMF_ROUNDS, tol=1e-4, alpha=NMF_ALPHA, l1_ratio=NMF_L1)
+
+
+@register("t14_nmf_facts", sql=r"""
+WITH c AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text),
+         '_', ' ', 'g'), '[^\p{L}\p{N}_\s]', ' ', 'g'), '(http|com|www)', '', 'g'),
+         '(imgur|jpg|png|picture|pic|youtube)', '', 'g') AS cleaned FROM documents),
+tf AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(cleaned, '[\p{L}\p{N}_]{2,}')) AS term FROM c),
+kept AS (SELECT * FROM tf WHERE term NOT IN (
+  SELECT term FROM tf GROUP BY term HAVING count(*) > (SELECT count(*) FROM documents) * 0.5))
+SELECT count(DISTINCT doc_id) AS n_docs, count(DISTINCT term) AS n_terms, TRUE AS never_rises, TRUE AS non_negative,
+       TRUE AS loss_is_that_of_the_factors FROM kept""")
+def t14_nmf_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checked facts of the factorisation: its size, that the objective never rises, that
+    no factor is negative, and that the observed objective is that of the factors."""
+    v = cut_lineage(_topic_matrix(Tables(spark, sf_dir)))
+    w, h, losses = TP.nmf(v, 5, rounds=10, alpha=NMF_ALPHA, l1_ratio=NMF_L1)
+    cols = [(f"w{j}", f"h{j}") for j in range(5)]
+    w, h = cut_lineage(w), cut_lineage(h)
+
+    def side(df, names):
+        total = F.sum(sum((F.col(c) for c in names), F.lit(0.0)))
+        square = F.sum(sum((F.col(c) * F.col(c) for c in names), F.lit(0.0)))
+        gram = [F.sum(F.col(a) * F.col(b)) for a in names for b in names]
+        return df.agg(F.count(F.lit(1)), F.min(F.least(*names)), total, square, *gram).first()
+
+    sw, sh = side(w, [a for a, _ in cols]), side(h, [b for _, b in cols])
+    cross = v.join(w, "doc_id").join(h, "term").agg(F.sum(F.col("w") * sum((F.col(a) * F.col(b) for a, b in cols), F.lit(0.0))),
+                                                    F.sum(F.col("w") * F.col("w"))).first()
+    error = cross[1] - 2 * cross[0] + sum(a * b for a, b in zip(sw[4:], sh[4:]))
+    loss = 0.5 * error + NMF_ALPHA * NMF_L1 * (sw[2] + sh[2]) + 0.5 * NMF_ALPHA * (1 - NMF_L1) * (sw[3] + sh[3])
+    falls = all(b <= a * (1 + 1e-12) for a, b in zip(losses, losses[1:]))
+    row = (sw[0], sh[0], falls, min(sw[1], sh[1]) >= 0, abs(loss - losses[-1]) <= 1e-8 * loss)
+    return spark.createDataFrame([row], "n_docs long, n_terms long, never_rises boolean, non_negative boolean, "
+                                        "loss_is_that_of_the_factors boolean")
 
 
 @register("t14_nmf_top_words")

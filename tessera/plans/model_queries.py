@@ -200,17 +200,12 @@ def l12_cluster_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- multinomial NB on text
 
-def _mnb(t: Tables, alpha: float, train_pred, dev_pred, tf: DataFrame | None = None) -> DataFrame:
-    """Fit on the training documents, score the dev documents. The split
-    predicates are on doc_id, so they reach below the tokeniser: each document
-    is tokenised once, by whichever side it belongs to."""
-    if tf is None:
-        tf = T.term_counts(t.documents.select("doc_id", "text"))
-    labels = t.documents.select("doc_id", F.col("lang").alias("label"))
-    model, sparse = B.fit_multinomial_nb(tf.where(train_pred), labels.where(train_pred), alpha)
-    vocab = sparse.select("term")
-    p = B.predict_multinomial_nb(tf.where(dev_pred), model, sparse, vocab)
-    return p.join(labels, "doc_id")
+def _mnb(t: Tables, fold, alphas, scored=None) -> DataFrame:
+    """Documents of the scored folds, by models of the other folds; one read of the texts."""
+    docs = t.documents.select("doc_id", F.col("lang").alias("label"), fold.alias("fold"), "text")
+    words = docs.select("doc_id", "label", "fold", F.explode(X.tokens("text")).alias("term"))
+    tf = words.groupBy("doc_id", "label", "fold", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return B.multinomial_nb(tf, docs.drop("text"), alphas, scored)
 
 
 def mnb_sql(alpha: float, train_cond: str, dev_cond: str) -> str:
@@ -240,8 +235,8 @@ _TEXT_SPLIT = hash_bucket_sql("doc_id", 100, 0)
 @register("l08_multinomial_nb", sql=f"""
 SELECT doc_id, prediction FROM {mnb_sql(1.0, f'{_TEXT_SPLIT} < 80', f'{_TEXT_SPLIT} >= 80')}""")
 def l08_multinomial_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    side = hash_bucket("doc_id", 100, 0) < 80
-    return _mnb(Tables(spark, sf_dir), 1.0, side, ~side).select("doc_id", "prediction")
+    dev = (hash_bucket("doc_id", 100, 0) >= 80).cast("int")
+    return _mnb(Tables(spark, sf_dir), dev, [1.0], [1]).select("doc_id", "prediction")
 
 
 @register("m07_r_ratio", sql=f"""
@@ -251,8 +246,8 @@ ORDER BY log_r_ratio DESC, doc_id LIMIT 3""")
 def m07_r_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R = max probability / probability of the true class, top 3 (as ln R,
     which stays finite when the true class's probability underflows)."""
-    side = hash_bucket("doc_id", 100, 0) < 80
-    p = _mnb(Tables(spark, sf_dir), 1.0, side, ~side)
+    dev = (hash_bucket("doc_id", 100, 0) >= 80).cast("int")
+    p = _mnb(Tables(spark, sf_dir), dev, [1.0], [1])
     top = F.array_max(F.transform("scores", lambda s: s["jll"]))
     true = F.filter("scores", lambda s: s["label"] == F.col("label"))[0]["jll"]
     r = p.select("doc_id", "prediction", "label", F.round(top - true, 6).alias("log_r_ratio"))
@@ -270,17 +265,10 @@ m AS (SELECT alpha, avg(acc) AS mean_score FROM a GROUP BY alpha)
 SELECT CAST(alpha AS DOUBLE) AS alpha, round(mean_score, 9) AS mean_score,
        CAST(row_number() OVER (ORDER BY mean_score DESC, alpha) = 1 AS INTEGER) AS is_best FROM m""")
 def m09_alpha_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean 2-fold accuracy of multinomial NB per smoothing value, best flagged."""
-    t = Tables(spark, sf_dir)
-    tf = cut_lineage(T.term_counts(t.documents.select("doc_id", "text")))
-    rows = None
-    for a in _ALPHAS:
-        for f in (0, 1):
-            fold = hash_bucket("doc_id", 2, 3)
-            p = _mnb(t, a, fold != f, fold == f, tf)
-            acc = p.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc")) \
-                   .select(F.lit(a).alias("alpha"), F.lit(f).alias("fold"), "acc")
-            rows = acc if rows is None else rows.unionByName(acc)
+    """Mean 2-fold accuracy of multinomial NB per smoothing value, best flagged: all
+    folds and values by one join."""
+    p = _mnb(Tables(spark, sf_dir), hash_bucket("doc_id", 2, 3), _ALPHAS)
+    rows = p.groupBy("alpha", "fold").agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc"))
     m = M.mean_by_param(rows, ["alpha"], "acc")
     return m.select("alpha", F.round("mean_score", 9).alias("mean_score"), "is_best")
 

@@ -12,6 +12,7 @@ from tessera.functions import text as X
 from tessera.operators import text as T
 from tessera.operators.split import hash_bucket, hash_bucket_sql
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
 _TOK_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
@@ -177,9 +178,14 @@ def t12_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("doc_id").agg(F.sum("tf").alias("n_kept"))
 
 
-def _topic_words(t: Tables, k: int = 40) -> DataFrame:
+def _lang_tf(t: Tables) -> DataFrame:
+    """Term counts with the topic of the document."""
+    words = t.documents.select("doc_id", "lang", F.explode(X.tokens("text")).alias("term"))
+    return words.groupBy("doc_id", "lang", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def _topic_words(tf: DataFrame, k: int = 40) -> DataFrame:
     """Top-k terms per topic (lang) by total count, ties by term."""
-    tf = _tf(t).join(t.documents.select("doc_id", "lang"), "doc_id")
     per = tf.groupBy("lang", "term").agg(F.sum("tf").alias("cnt"))
     w = Window.partitionBy("lang").orderBy(F.col("cnt").desc(), "term")
     return per.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -194,7 +200,7 @@ _TOPIC_WORDS_SQL = f"""(SELECT lang, term, cnt, rank FROM (
 @register("o02_topk_per_group", sql=f"""
 SELECT lang, term, CAST(cnt AS BIGINT) AS cnt, rank FROM {_TOPIC_WORDS_SQL} WHERE rank <= 5""")
 def o02_topk_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _topic_words(Tables(spark, sf_dir), 5).select(
+    return _topic_words(_lang_tf(Tables(spark, sf_dir)), 5).select(
         "lang", "term", "cnt", F.col("rank").cast("long").alias("rank"))
 
 
@@ -203,26 +209,13 @@ WITH tw AS (SELECT lang AS topic, term AS word FROM {_TOPIC_WORDS_SQL} WHERE ran
 m AS (SELECT DISTINCT doc_id, term, tf, topic FROM {_TF_SQL} JOIN tw ON contains(term, word))
 SELECT doc_id, topic, CAST(sum(tf) AS BIGINT) AS hits FROM m GROUP BY 1, 2""")
 def t15_topic_word_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens containing any of a topic's top-40 words (substring match).
-
-    The topic-word table is bounded (topics x 40) and is turned into one
-    alternation per topic, so the match is a projection over the term counts
-    rather than a join of every term with every word.
-    """
-    t = Tables(spark, sf_dir)
-    words = _topic_words(t, 40).select("lang", "term")
-    if words.limit(10_001).count() > 10_000:
-        raise ValueError("topic-word table too large to inline")
-    by_topic: dict[str, list[str]] = {}
-    for r in words.collect():
-        by_topic.setdefault(r["lang"], []).append(r["term"])
-    tf = _tf(t)
-    hits = F.array(*[
-        F.struct(F.lit(topic).alias("topic"),
-                 F.col("term").rlike("(" + "|".join(sorted(ws)) + ")").alias("hit"))
-        for topic, ws in sorted(by_topic.items())])
-    x = tf.select("doc_id", "tf", F.inline(hits)).where("hit")
-    return x.groupBy("doc_id", "topic").agg(F.sum("tf").alias("hits"))
+    """Tokens containing any of a topic's top-40 words (substring match): distinct terms
+    and words meet by character keys, so no word leaves the executors and any number of
+    words can be matched. The texts are read once."""
+    tf = cut_lineage(_lang_tf(Tables(spark, sf_dir)))
+    words = cut_lineage(_topic_words(tf, 40).select(F.col("lang").alias("topic"), F.col("term").alias("word")))
+    hits = T.substring_matches(tf, words).join(words, "word").select("term", "topic").distinct()
+    return tf.join(hits, "term").groupBy("doc_id", "topic").agg(F.sum("tf").alias("hits"))
 
 
 # Lexicon is a caller-supplied parameter (term, polarity); this one is small on purpose.

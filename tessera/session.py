@@ -108,7 +108,8 @@ def cut_lineage(df: DataFrame, keep_partitioning: bool = False,
             df.write.mode("errorifexists").parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        # with the schema given, no job reads it from the files
+        return spark.read.schema(df.schema).parquet(path)
     df.persist()
     try:
         return df.checkpoint(eager=True)

@@ -1,5 +1,7 @@
 """Fits are not shortened: the reference's grids, and stops by tolerance."""
 
+import numpy as np
+
 from tessera.operators import topics as TP
 from tessera.plans import ml_queries as Q
 
@@ -15,3 +17,29 @@ def test_nmf_ends_by_tolerance(spark):
     v = spark.createDataFrame([(d, f"t{t}", float(1 + (d * t) % 5)) for d in range(6) for t in range(5)],
                               "doc_id long, term string, w double")
     assert len(TP.nmf(v, 2, rounds=40, tol=0.9)[2]) == 10
+
+
+def test_nmf_equals_a_dense_descent(spark):
+    rng = np.random.default_rng(0)
+    dense = np.where(rng.random((7, 5)) < 0.6, rng.random((7, 5)), 0.0)
+    dense[:, 0] += 0.1
+    dense[0] += 0.1
+    v = spark.createDataFrame([(d, f"t{t}", float(x)) for (d, t), x in np.ndenumerate(dense) if x],
+                              "doc_id long, term string, w double")
+    alpha, ratio = 0.05, 0.4
+    starts = TP.nmf(v, 2, rounds=0)[:2]
+    w = np.array([r[1:] for r in sorted(map(tuple, starts[0].collect()))])
+    h = np.array([r[1:] for r in sorted(map(tuple, starts[1].collect()))]).T
+    for _ in range(3):
+        for j in range(2):
+            rest = w.T @ dense - (w.T @ w) @ h + np.outer((w.T @ w)[:, j], h[j])
+            h[j] = np.maximum(rest[j] - alpha * ratio, 0) / ((w.T @ w)[j, j] + alpha * (1 - ratio))
+        for j in range(2):
+            rest = dense @ h.T - w @ (h @ h.T) + np.outer(w[:, j], (h @ h.T)[:, j])
+            w[:, j] = np.maximum(rest[:, j] - alpha * ratio, 0) / ((h @ h.T)[j, j] + alpha * (1 - ratio))
+    got_w, got_h, losses = TP.nmf(v, 2, rounds=3, alpha=alpha, l1_ratio=ratio)
+    assert np.allclose([r[1:] for r in sorted(map(tuple, got_w.collect()))], w)
+    assert np.allclose(np.array([r[1:] for r in sorted(map(tuple, got_h.collect()))]).T, h)
+    loss = 0.5 * ((dense - w @ h) ** 2).sum() + alpha * ratio * (w.sum() + h.sum()) + alpha * (1 - ratio) / 2 * (
+        (w ** 2).sum() + (h ** 2).sum())
+    assert np.isclose(losses[-1], loss)

@@ -66,7 +66,7 @@ def test_parameter_count_formula():
 def test_nmf_loss_decreases_and_factors_nonnegative(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     v = T.tfidf(T.term_counts(docs))
-    w, h, loss = TP.nmf(v, 3, rounds=6)
+    w, h, loss = TP.nmf(v, 3, rounds=6, alpha=0.1, l1_ratio=0.5)
     assert all(b <= a * (1 + 1e-9) for a, b in zip(loss, loss[1:])), loss
     assert w.where(" OR ".join(f"w{j} < 0" for j in range(3))).count() == 0
     assert h.where(" OR ".join(f"h{j} < 0" for j in range(3))).count() == 0
