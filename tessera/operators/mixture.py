@@ -138,7 +138,7 @@ def _partial_stats(params, dims: int):
     return run
 
 
-def _summed(rows: DataFrame, run) -> np.ndarray | None:
+def summed_by_place(rows: DataFrame, run) -> np.ndarray | None:
     """The vectors that ``run`` gives per task, added up by place on the executors: what
     reaches the driver has the length of one vector, whatever the number of tasks."""
     sums = rows.mapInPandas(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
@@ -222,7 +222,7 @@ def fit_em_many(df: DataFrame, vector: str, key: str, specs: dict, dims: int,
             if not active:
                 break
             params = [(state[n]["g"] if group else 0, state[n]["mix"]) for n in active]
-            total = _summed(rows, _partial_stats(params, dims))
+            total = summed_by_place(rows, _partial_stats(params, dims))
             offset = 0
             for name, (_, mix) in zip(active, params):
                 st = state[name]
@@ -310,7 +310,7 @@ def accuracy_many(test: DataFrame, vector: str, label: str, settings: list[dict]
         if acc is not None:
             yield pd.DataFrame({"place": np.arange(len(acc)), "value": acc})
 
-    total = _summed(test.select(F.col(label).alias("_y"), *xs), run)
+    total = summed_by_place(test.select(F.col(label).alias("_y"), *xs), run)
     if total is None:
         return [0.0] * len(settings)
     return [h / total[0] if total[0] else 0.0 for h in total[1:]]

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
+from tessera.operators import linear as LR
 from tessera.operators import metrics as M
 from tessera.operators import mixture as GM
 from tessera.operators import models as ML
@@ -27,7 +28,7 @@ from tessera.operators import text as T
 from tessera.operators import topics as TP
 from tessera.operators.ranking import lagged, positions
 from tessera.plans.core_queries import clean_events, delay_features
-from tessera.plans.model_queries import image_split
+from tessera.plans.model_queries import _TRAIN_IMG, image_split
 from tessera.plans.order_split_queries import daily_totals
 from tessera.plans.registry import register
 from tessera.session import cut_lineage, scratch_path
@@ -110,6 +111,34 @@ def l02_logistic_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "class int, sum_sq_weights double")
 
 
+# Strengths of the one-vs-rest sweep: the reference's for l2, and three of them for l1.
+OVR_C = {"l2": L1_STRENGTHS, "l1": [0.01, 0.5, 10.0]}
+
+
+def _one_vs_rest(t: Tables) -> list:
+    train, _ = image_split(t)
+    return [p for penalty, cs in OVR_C.items() for p in LR.one_vs_rest(train, "embedding", "label", cs, [penalty])]
+
+
+@register("l02_one_vs_rest")
+def l02_one_vs_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squared weights and non-zero weights per class, penalty and strength."""
+    rows = [(p.penalty, p.c, int(p.label), float((p.w ** 2).sum()), int((p.w != 0).sum()))
+            for p in _one_vs_rest(Tables(spark, sf_dir))]
+    return spark.createDataFrame(rows, "penalty string, c double, class int, sum_sq_weights double, n_weights int")
+
+
+@register("l02_one_vs_rest_optimal", sql=f"""
+SELECT penalty, CAST(c AS DOUBLE) AS c, CAST(label AS INTEGER) AS class, TRUE AS optimal, TRUE AS never_rises
+FROM (SELECT DISTINCT label FROM {_TRAIN_IMG}), (VALUES {', '.join(
+    f"('{k}', {c})" for k, cs in OVR_C.items() for c in cs)}) v(penalty, c)""")
+def l02_one_vs_rest_optimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checked facts: every fit meets the conditions of a minimum, and no round raised its objective."""
+    rows = [(p.penalty, p.c, int(p.label), LR.residual(p) < 1e-4,
+             all(b <= a * (1 + 1e-12) for a, b in zip(p.history, p.history[1:]))) for p in _one_vs_rest(Tables(spark, sf_dir))]
+    return spark.createDataFrame(rows, "penalty string, c double, class int, optimal boolean, never_rises boolean")
+
+
 @register("l11_kmeans_elbow")
 def l11_kmeans_elbow(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Tables(spark, sf_dir).embeddings

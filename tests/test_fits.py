@@ -43,3 +43,25 @@ def test_nmf_equals_a_dense_descent(spark):
     loss = 0.5 * ((dense - w @ h) ** 2).sum() + alpha * ratio * (w.sum() + h.sum()) + alpha * (1 - ratio) / 2 * (
         (w ** 2).sum() + (h ** 2).sum())
     assert np.isclose(losses[-1], loss)
+
+
+def test_one_vs_rest_equals_a_dense_minimum(spark):
+    from tessera.operators import linear as L
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(120, 4))
+    y = np.where(x[:, 0] + 0.5 * rng.normal(size=120) > 0.3, "b", "a")
+    y[:15] = "c"
+    df = spark.createDataFrame([(r.tolist(), str(t)) for r, t in zip(x, y)], "v array<double>, y string").repartition(3)
+    ones = np.column_stack([x, np.ones(120)])
+    for p in L.one_vs_rest(df, "v", "y", [0.05, 2.0]):
+        assert all(b <= a * (1 + 1e-12) for a, b in zip(p.history, p.history[1:]))
+        assert L.residual(p) < 1e-6
+        # plain proximal gradient descent on the dense data
+        t, w = np.where(y == p.label, 1.0, 0.0), np.zeros(5)
+        rate = 1 / (p.c * np.linalg.norm(ones, 2) ** 2 / 4 + (p.penalty == "l2"))
+        for _ in range(60_000 if p.c > 1 else 20_000):
+            g = p.c * ones.T @ (1 / (1 + np.exp(-ones @ w)) - t)
+            w = w - rate * (g + w) if p.penalty == "l2" else np.sign(w - rate * g) * np.maximum(np.abs(w - rate * g) - rate, 0)
+        assert np.allclose(p.w, w, atol=1e-5), (p.penalty, p.c, p.label)
+        assert np.isclose((p.w ** 2).sum(), (w ** 2).sum(), atol=1e-5)
