@@ -96,3 +96,11 @@ def word_ngrams(toks: str | Column, n: int) -> Column:
     grams = F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
                         lambda i: F.array_join(F.slice(t, i, n), " "))
     return F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
+def word_ngram_range(toks: str | Column, least: int, most: int) -> Column:
+    """T-07: the word n-grams of every size from ``least`` to ``most``, as structs (n, gram)."""
+    def sized(n: int) -> Column:
+        return F.transform(word_ngrams(toks, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
+
+    return F.concat(*[sized(n) for n in range(least, most + 1)])

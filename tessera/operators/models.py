@@ -19,6 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.curves import auc
 from tessera.operators.encode import categorical_pipeline
 from tessera.operators.metrics import binary_metrics
 
@@ -88,13 +89,18 @@ def fold_metrics(pipe: Pipeline, folds: DataFrame, fold_col: str = "fold", role_
 def grid_search(pipe_for, grid: Sequence[dict], folds: DataFrame, fold_col: str = "fold",
                 role_col: str = "role", label: str = "label", score: str = "f1") -> DataFrame:
     """L-16 for time folds: every parameter setting x every fold, fitted on train
-    and scored on validation; returns (params..., fold, score)."""
+    and scored on validation by ``score``, a metric of M-01 or the exact ``auc``;
+    returns (params..., fold, score)."""
+    parts = [(f, folds.where(F.col(fold_col) == f)) for (f,) in folds.select(fold_col).distinct().orderBy(fold_col).collect()]
     out = None
     for params in grid:
-        m = fold_metrics(pipe_for(**params), folds, fold_col, role_col, label)
-        m = m.select(*[F.lit(v).alias(k) for k, v in params.items()], fold_col,
-                     F.col(score).alias("score"))
-        out = m if out is None else out.unionByName(m)
+        for f, part in parts:
+            _, pred = fit_and_score(pipe_for(**params), part.where(F.col(role_col) == "train"),
+                                    part.where(F.col(role_col) == "validate"))
+            m = auc(positive_probability(pred), "p1", label) if score == "auc" else binary_metrics(
+                pred.withColumn("prediction", F.col("prediction").cast("int")), label)
+            m = m.select(*[F.lit(v).alias(k) for k, v in params.items()], F.lit(f).alias(fold_col), F.col(score).alias("score"))
+            out = m if out is None else out.unionByName(m)
     return out
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import asof_join
-from tessera.operators.profile import dedup_by_key, flag_sums_by_keys
+from tessera.operators.profile import dedup_by_key, flag_sums_by_keys, row_count_ledger
 from tessera.operators.temporal import previous_leg_flag, trailing_count
 from tessera.plans.registry import register
 from tessera.session import cut_lineage
@@ -167,3 +167,72 @@ FROM e JOIN w2 USING (event_id) JOIN w3 USING (event_id) LEFT JOIN j USING (even
 GROUP BY e.event_type""")
 def flagship_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagship(spark, sf_dir)
+
+
+_MONTH = "month(ts)"
+
+
+@register("a14_pipeline_ledger", sql=f"""
+WITH d AS {_EVENTS_SQL},
+p AS (SELECT {_MONTH} AS part, count(*) AS n FROM d WHERE event_type = 'purchase' GROUP BY 1),
+e AS (SELECT {_MONTH} AS part, count(*) AS n FROM d GROUP BY 1),
+s AS (SELECT 'raw' AS stage, {_MONTH} AS part, count(*) AS n_rows, TRUE AS as_expected FROM events GROUP BY 2
+  UNION ALL SELECT 'dedup', part, n, TRUE FROM e
+  UNION ALL SELECT 'purchases', part, n, TRUE FROM p
+  UNION ALL SELECT 'as_of', part, n, TRUE FROM p
+  UNION ALL SELECT 'features', part, n, TRUE FROM e
+  UNION ALL SELECT 'model_ready', part, n, TRUE FROM e)
+SELECT stage, CAST(part AS BIGINT) AS part, n_rows, as_expected FROM s""")
+def a14_pipeline_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts per month after every stage of the as-of pipeline, and whether each is
+    what it should be: a join that enriches keeps every row, dedup adds none."""
+    t = Tables(spark, sf_dir)
+    raw = t.events.select("event_id", "ts")
+    ev = cut_lineage(clean_events(t))
+    purchases = ev.where(F.col("event_type") == "purchase").select("event_id", "ts")
+    as_of = cut_lineage(enriched_purchases(ev).join(ev.select("event_id", "ts"), "event_id"))
+    features = cut_lineage(delay_features(ev))
+    ready = features.join(as_of.select("event_id", "view_id"), "event_id", "left")
+    stages = {"raw": raw, "dedup": ev, "purchases": purchases, "as_of": as_of, "features": features, "model_ready": ready}
+    kept = {"as_of": "purchases", "features": "dedup", "model_ready": "dedup"}  # stage -> one of equal counts
+    ledger = cut_lineage(row_count_ledger(stages, by=F.month("ts")))
+    other = ledger.select(F.col("stage").alias("_of"), "part", F.col("n_rows").alias("_n"))
+    base = F.create_map(*[F.lit(x) for s in stages for x in (s, kept.get(s, "raw"))])[F.col("stage")]
+    x = ledger.withColumn("_of", base).join(other, ["_of", "part"], "left")
+    equal = F.col("stage").isin(*kept)
+    return x.select("stage", F.col("part").cast("long").alias("part"), "n_rows",
+                    F.when(equal, F.col("n_rows") == F.col("_n")).otherwise(F.col("n_rows") <= F.col("_n")).alias("as_expected"))
+
+
+_READY_SQL = f"""
+WITH d AS {_EVENTS_SQL}, a AS ({_J04_SQL}), l AS ({_W02_SQL}), c AS ({_W03_SQL}),
+x AS (SELECT d.event_id, d.event_type, hour(d.ts) AS hour, l.prev_delayed, coalesce(c.n_prev_delays, 0) AS n_prev_delays,
+        coalesce(a.view_value, 0) AS view_value, CAST(a.view_id IS NOT NULL AS INTEGER) AS has_view,
+        CAST(d.value >= 15 AS INTEGER) AS label
+      FROM d JOIN l USING (event_id) JOIN c USING (event_id) LEFT JOIN a USING (event_id)),
+g AS (SELECT event_type, count(DISTINCT user_id) AS n_users, count(*) AS n_events FROM d GROUP BY 1)
+SELECT x.event_id, x.event_type, hour, prev_delayed, n_prev_delays, has_view, label, n_users, n_events,
+  round((view_value - (SELECT avg(view_value) FROM x)) / (SELECT stddev_samp(view_value) FROM x), 6) AS view_value_scaled,
+  round((n_prev_delays - (SELECT avg(n_prev_delays) FROM x)) / (SELECT stddev_samp(n_prev_delays) FROM x), 6)
+    AS n_prev_delays_scaled
+FROM x JOIN g USING (event_type)"""
+
+
+@register("a14_model_ready", sql=_READY_SQL)
+def a14_model_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One model-ready table: deduplicated events with the as-of view, the delay features, the
+    place's weighted degree in the user-place graph (users and events), and scaled columns."""
+    ev = cut_lineage(clean_events(Tables(spark, sf_dir)))
+    views = enriched_purchases(ev).select("event_id", "view_id", "view_value")
+    place = ev.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"), F.count(F.lit(1)).alias("n_events"))
+    x = delay_features(ev).join(views, "event_id", "left").select(
+        "event_id", "event_type", F.hour("ts").cast("long").alias("hour"), "prev_delayed",
+        F.coalesce("n_prev_delays", F.lit(0)).alias("n_prev_delays"), F.coalesce("view_value", F.lit(0)).alias("view_value"),
+        F.col("view_id").isNotNull().cast("int").alias("has_view"), (F.col("value") >= 15).cast("int").alias("label"))
+    x = cut_lineage(x)
+    scale = x.agg(*[f(c).alias(f"{n}_{c}") for c in ("view_value", "n_prev_delays")
+                    for n, f in (("m", F.avg), ("s", F.stddev_samp))])
+    for c in ("view_value", "n_prev_delays"):
+        z = (F.col(c) - scale.select(f"m_{c}").scalar()) / scale.select(f"s_{c}").scalar()
+        x = x.withColumn(f"{c}_scaled", F.round(z, 6))
+    return x.drop("view_value").join(place, "event_type")

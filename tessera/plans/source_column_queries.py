@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
 from tessera.functions import columns as C
+from tessera.functions import weather as WX
 from tessera.operators.joins import asof_join
 from tessera.operators.ranking import counts_with_prefix
 from tessera.plans.core_queries import ASOF_BUCKET_SECONDS, clean_events, enriched_purchases
@@ -204,6 +205,57 @@ def p07_packed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         packed, ["int", "int", "double", "string"], ["f_line", "f_flag", "f_qty", "f_missing"]))
 
 
+# Packed cells made from lineitem, in SQL that both engines read: numbers padded with zeros,
+# every sentinel and quality code, and parts that are short or no numbers.
+_N = "(l_orderkey * 7 + l_linenumber * 3)"
+
+
+def _part(value: str, width: int, sentinel: int, every: int) -> str:
+    return f"CASE WHEN {_N} % {every} = 0 THEN '{sentinel}' ELSE lpad(CAST({value} AS STRING), {width}, '0') END"
+
+
+_CELLS_SQL = {
+    "WND": f"concat_ws(',', {_part(f'{_N} % 360', 3, 999, 5)}, CAST({_N} % 9 AS STRING), 'N', "
+           f"{_part(f'{_N} % 210', 4, 9999, 7)}, CAST({_N} % 8 AS STRING))",
+    "CIG": f"concat_ws(',', {_part(f'{_N} % 22000', 5, 99999, 6)}, CAST({_N} % 7 AS STRING), 'M', 'N')",
+    "VIS": f"concat_ws(',', {_part(f'{_N} % 16000', 6, 999999, 4)}, CAST({_N} % 8 AS STRING), "
+           f"{_part(f'{_N} % 3', 3, 999, 11)}, CAST({_N} % 5 AS STRING))",
+    "TMP": f"concat_ws(',', CASE WHEN {_N} % 3 = 0 THEN '-' ELSE '+' END || {_part(f'{_N} % 400', 4, 9999, 8)}, "
+           f"CASE WHEN {_N} % 13 = 0 THEN 'A' ELSE CAST({_N} % 8 AS STRING) END)",
+    "DEW": f"concat_ws(',', {_part(f'{_N} % 300', 4, 9999, 9)}, CASE WHEN {_N} % 17 = 0 THEN 'C' ELSE '1' END)",
+    "SLP": f"CASE WHEN {_N} % 10 = 0 THEN 'none' ELSE concat_ws(',', {_part(f'9900 + {_N} % 500', 5, 99999, 12)}, "
+           f"CAST({_N} % 8 AS STRING)) END",
+    "AA1": f"CASE WHEN {_N} % 4 = 1 THEN '06' ELSE concat_ws(',', {_part(f'{_N} % 24', 2, 99, 5)}, "
+           f"{_part(f'{_N} % 90', 4, 9999, 7)}, '9', CAST({_N} % 8 AS STRING)) END",
+}
+_WEATHER_SQL = "(SELECT l_orderkey, l_linenumber, " + ", ".join(f"{sql} AS {cell}" for cell, sql in _CELLS_SQL.items()) + \
+    " FROM lineitem)"
+_PARSED_SQL = "(SELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"string_split({cell}, ',')[{at + 1}] AS {name}" if kind == "string"
+    else f"TRY_CAST(string_split({cell}, ',')[{at + 1}] AS INTEGER) AS {name}"
+    for cell, fields in WX.CELLS.items() for name, at, kind in fields) + f" FROM {_WEATHER_SQL})"
+
+
+def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = [F.expr(sql).alias(cell) for cell, sql in _CELLS_SQL.items()]
+    return Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", *cells)
+
+
+@register("p07_weather_parse", sql=f"SELECT * FROM {_PARSED_SQL}")
+def p07_weather_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """22 typed fields from the seven packed cells of a weather record."""
+    return WX.parse_weather(weather_records(spark, sf_dir))
+
+
+@register("p06_weather_clean", sql="SELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"CASE WHEN CAST({name} AS VARCHAR) = '{dict((v, n) for v, n, _ in WX.RULES)[name]}' OR CAST("
+    f"{dict((v, q) for v, _, q in WX.RULES)[name]} AS VARCHAR) IN ('2', '3', '6', '7') THEN NULL ELSE {name} END AS {name}"
+    if name in {v for v, _, _ in WX.RULES} else name for name in WX.FIELDS) + f" FROM {_PARSED_SQL}")
+def p06_weather_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ten rules that clear sentinels and values of bad quality."""
+    return WX.clean_weather(WX.parse_weather(weather_records(spark, sf_dir)))
+
+
 @register("p07_url_parse", sql="""
 WITH x AS (SELECT page_id, string_split(url, '/') AS parts FROM pages)
 SELECT page_id, parts[1] AS scheme, parts[3] AS host, parts[4] AS lang,

@@ -101,6 +101,31 @@ def t07_word_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.inline(grams)).groupBy("n", "gram").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+# The reference's ranges of n-gram sizes.
+NGRAM_RANGES = [(2, 2), (1, 2), (2, 3), (1, 3)]
+
+
+@register("t07_ngram_ranges", sql=rf"""
+WITH t AS (SELECT doc_id, {_TOK_SQL} AS toks FROM documents),
+g AS (SELECT doc_id, n, unnest(list_transform(range(1, len(toks) - n + 2),
+                       lambda i: array_to_string(toks[i:i + n - 1], ' '))) AS gram
+      FROM t, (VALUES (1), (2), (3)) v(n) WHERE len(toks) >= n),
+c AS (SELECT n, gram, count(*) AS cnt, count(DISTINCT doc_id) AS df FROM g GROUP BY 1, 2)
+SELECT lo, hi, count(*) AS vocab_size, CAST(sum(cnt) AS BIGINT) AS n_grams, count(*) FILTER (WHERE df >= 2) AS vocab_min_df_2,
+  max(cnt) AS top_count
+FROM c, (VALUES {', '.join(f'({a}, {b})' for a, b in NGRAM_RANGES)}) r(lo, hi) WHERE n BETWEEN lo AND hi GROUP BY lo, hi""")
+def t07_ngram_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vocabulary of each n-gram range: every gram is counted once, for all ranges that hold it."""
+    d = Tables(spark, sf_dir).documents.select("doc_id", X.tokens("text").alias("toks"))
+    per_doc = d.select("doc_id", F.inline(X.word_ngram_range("toks", 1, 3))).groupBy("doc_id", "n", "gram").agg(
+        F.count(F.lit(1)).alias("tf"))
+    c = per_doc.groupBy("n", "gram").agg(F.sum("tf").alias("cnt"), F.count(F.lit(1)).alias("df"))
+    ranges = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi")) for a, b in NGRAM_RANGES])
+    x = c.select("n", "cnt", "df", F.inline(F.filter(ranges, lambda r: F.col("n").between(r["lo"], r["hi"]))))
+    return x.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("vocab_size"), F.sum("cnt").alias("n_grams"),
+                                     F.count_if(F.col("df") >= 2).alias("vocab_min_df_2"), F.max("cnt").alias("top_count"))
+
+
 @register("t08_min_df", sql=f"""
 SELECT term, count(*) AS df FROM {_TF_SQL} GROUP BY term HAVING count(*) >= 5""")
 def t08_min_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,6 +203,15 @@ def t12_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("doc_id").agg(F.sum("tf").alias("n_kept"))
 
 
+@register("t12_stop_list", sql=f"""
+SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n_kept FROM {_TF_SQL} WHERE NOT list_contains({_STOPS_SQL}, term)
+GROUP BY doc_id""")
+def t12_stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed stop list of cleaner A, as a table of words."""
+    stop = spark.createDataFrame([(w,) for w in dict.fromkeys(X.STOP_WORDS_A)], "term string")
+    return T.remove_stop_words(_tf(Tables(spark, sf_dir)), stop).groupBy("doc_id").agg(F.sum("tf").alias("n_kept"))
+
+
 def _lang_tf(t: Tables) -> DataFrame:
     """Term counts with the topic of the document."""
     words = t.documents.select("doc_id", "lang", F.explode(X.tokens("text")).alias("term"))
