@@ -55,7 +55,7 @@ BLOCKS_PER_SHINGLE = 0.3
 #: (mean set size / share) shingles are, which bounds what is broadcast.
 FREQUENT_SHARE = 1 / 400
 #: Shingles that are counted together within a task: bounds its memory.
-COUNT_CHUNK = 2_000_000
+COUNT_CHUNK = 1_000_000
 #: Least and most bits of a dense sketch (powers of two). Between them it has a
 #: bit for each shingle; beyond, fewer pairs are told apart before verification.
 SKETCH_BITS = (1 << 10, 1 << 17)
@@ -63,6 +63,8 @@ SKETCH_BITS = (1 << 10, 1 << 17)
 COMPARED = 1 << 18
 #: Holders of a key that are compared together.
 CELL = 4096
+#: Pairs of one node that are verified in one cell.
+PARTNERS = 512
 #: Bits of the map of wanted documents, a filter of fixed size before an exact join.
 WANTED_BITS = 1 << 24
 
@@ -81,7 +83,7 @@ def _mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _word_hashes() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest)
+    return Memo(xxhash.xxh3_64_intdigest, 150_000)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -343,7 +345,8 @@ def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = rows.select((place("doc_id", "th") - 1).alias("at"), "doc_id", "th", "text").mapInArrow(
         run, "doc_id long, th long, text string")
     names = wanted.select("rep", F.col("th").alias("th_"))
-    return rows.join(names, (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    found = rows.join(names, (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    return cut_lineage(found)  # one Python step in a stage: a core never holds two workers
 
 
 def _maybe(pairs: DataFrame) -> DataFrame:
@@ -365,15 +368,45 @@ def _maybe(pairs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that link, verified on their sets."""
+    """The pairs (a, b) of nodes that link, verified on their sets.
+
+    The partners of a node are dealt to chunks of ``PARTNERS`` pairs, and a cell
+    holds one node and one chunk: its set comes once per cell, theirs one by one, so
+    a node with very many partners is neither copied for each nor sent to one task."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = cut_lineage(classes.join(nodes, "node", "left_semi").select("rep", "th").distinct())
     sets = cut_lineage(_sets(_wanted_texts(docs, wanted)))
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * common >= PERCENT * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("chunks")).where("chunks > 1")
+    celled = pairs.distinct().join(many, "a", "left").select(
+        "a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"), F.lit(0)).alias("chunk"))
+    celled = cut_lineage(celled)
+    ask = celled.join(sets.withColumnRenamed("node", "b"), "b").select("a", "chunk", "b", "items")
+    own = celled.select("a", "chunk").distinct().join(sets.withColumnRenamed("node", "a"), "a").select(
+        "a", "chunk", F.lit(None).cast("long").alias("b"), "items")
+
+    def run(batches):
+        cell = mine = None
+        for batch in batches:
+            a, chunk, b = (c.to_pylist() for c in batch.columns[:3])
+            offsets = batch.columns[3].offsets.to_numpy()
+            flat = batch.columns[3].values.to_numpy(zero_copy_only=False).view(np.uint64)
+            hits = []
+            for k in range(batch.num_rows):
+                items = flat[offsets[k]:offsets[k + 1]]
+                if b[k] is None:  # sorted first: the cell's own set
+                    cell, mine = (a[k], chunk[k]), items.copy()
+                    continue
+                if cell != (a[k], chunk[k]):
+                    continue
+                common = len(np.intersect1d(mine, items, assume_unique=True))
+                if 100 * common >= PERCENT * (len(mine) + len(items) - common):
+                    hits.append(k)
+            if hits:
+                yield pa.RecordBatch.from_arrays([batch.columns[0].take(pa.array(hits)), batch.columns[2].take(pa.array(hits))],
+                                                 ["a", "b"])
+
+    rows = own.unionByName(ask).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def _near_in_size(a: str, b: str):
@@ -412,12 +445,22 @@ def join_classes(docs: DataFrame, share: float = FREQUENT_SHARE, all_links: bool
     for nearest in (True, False):
         known = parts.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
         pairs = _across(known, classes, nearest).distinct().join(tried, ["a", "b"], "left_anti")
+        if nearest:  # of a member's pairs with one component, over all its keys, the first to be tried
+            pairs = _one_each(pairs, known)
         pairs = cut_lineage(pairs)
         tried = tried.unionByName(pairs)
         links = links.unionByName(cut_lineage(_verified(pairs, docs, classes)))
     return rows, classes, links
 
 
+def _one_each(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """One pair for each node and component of its partner. The last round looks at all
+    pairs that are left between components, so this changes the work alone."""
+    of = known.groupBy("node").agg(F.min("component").alias("component"))
+    named = pairs.join(of.toDF("a", "ca"), "a").join(of.toDF("b", "cb"), "b")
+    return named.groupBy("b", "ca").agg(F.min("a").alias("a")).select("a", "b")
+
+
 def _across(parts: DataFrame, classes: DataFrame, nearest: bool = False) -> DataFrame:
     """Pairs of nodes of different components that hold a key together and whose
     sizes and sketches allow a link; with ``nearest`` only the nearest earlier
