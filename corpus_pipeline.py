@@ -10,20 +10,26 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, jaccard, line_runs, quality
 from tessera.llm.common import table
 from tessera.session import cut_lineage
 
 
+def _with_words(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents outside the fences of their language and source go."""
     return quality.keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs are cut out of the texts; no row goes."""
-    return line_runs.clean(docs)
+    """Later copies of repeated line runs are cut out of the texts. Documents of which
+    nothing is left held copies alone; they go."""
+    return _with_words(line_runs.clean(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +38,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaked spans are cut out; documents that are mostly leaked go."""
-    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+    """Leaked spans are cut out; documents that are mostly leaked go, and those of which
+    nothing is left."""
+    return _with_words(decontaminate.remove(docs, table(spark, sf_dir, "benchmark")))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

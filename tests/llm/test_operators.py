@@ -636,13 +636,15 @@ def test_pipeline_stages(spark, small):
             assert all(not base_metrics(t)[5] for t in after.values())
         elif name == "line_dedup":
             rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th")).collect()
-            assert after == {d[0]: c[2] for d, c in cleaned([tuple(r) for r in rows]).items()}
+            assert after == {d[0]: c[2] for d, c in cleaned([tuple(r) for r in rows]).items() if SPACES.search(c[2])}
+            assert len(after) < len(before)  # some held copies alone
         elif name == "near_duplicates":
             assert set(after) == {i for i, _, c in near_groups(list(before.items())) if i == c}
         else:
             items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
             clean = {r[0] for r in contamination(list(before.items()), items) if not r[5]}
             assert all(after[i] == before[i] for i in clean)
+        assert all(SPACES.search(t) for t in after.values())
         docs = out
     assert p.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
     assert math.isclose(docs.count(), len(after))
