@@ -53,6 +53,29 @@ def hash_bucket_sql(key: str, modulus: int, seed: int = 0) -> str:
     return f"({hash_value_sql(key, seed)} % {modulus})"
 
 
+def hash_uniform(key: str | Column, seed: int = 0) -> Column:
+    """A number in [0, 1) per key, the same in every engine, run and partitioning."""
+    return hash_value(key, seed).cast("double") / F.lit(float(_P))
+
+
+def hash_uniform_sql(key: str, seed: int = 0) -> str:
+    return f"(CAST({hash_value_sql(key, seed)} AS DOUBLE) / {float(_P)!r})"
+
+
+def hash_rebalance(df: DataFrame, label: str, minority, minority_fraction: float, majority_fraction: float, key: str,
+                   seed: int = 0, copy: str = "copy") -> DataFrame:
+    """U-03 by hashes: a minority row comes floor(fraction) times and once more where its
+    hash lies below the rest of the fraction; a majority row stays where its hash lies
+    below its fraction. ``copy`` numbers the copies from 0. Null labels are majority."""
+    is_minority = F.coalesce(F.col(label) == F.lit(minority), F.lit(False))
+    whole, rest = int(minority_fraction), minority_fraction - int(minority_fraction)
+    h = hash_value(key, seed)
+    copies = F.when(is_minority, F.lit(whole) + (h < below(rest)).cast("int")).otherwise(
+        (h < below(majority_fraction)).cast("int"))
+    return df.withColumn("_copies", copies).where("_copies > 0").withColumn(
+        copy, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies")
+
+
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     """U-02: Spark's seeded Bernoulli sample (stable for a fixed partitioning)."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)

@@ -327,6 +327,20 @@ def s09_model_save(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ML.positive_probability(loaded.transform(test)).select("event_id", "prediction", "p1")
 
 
+@register("s09_model_round_trip", sql=f"""
+SELECT count(*) AS n_rows, TRUE AS equal FROM (SELECT DISTINCT user_id, ts FROM events) WHERE ts >= TIMESTAMP '{CUT}'""")
+def s09_model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checked facts: the loaded pipeline scores every test row as the saved one does."""
+    train, test = _calendar(Tables(spark, sf_dir))
+    model = ML.feature_pipeline(ML.logistic(), CAT, NUM).fit(train)
+    path = scratch_path(spark, "delay-model")
+    S.save_model(model, path)
+    scores = [ML.positive_probability(m.transform(test)).select("event_id", F.col("p1").alias(f"p{i}"))
+              for i, m in enumerate((model, S.load_pipeline_model(path)))]
+    both = scores[0].join(scores[1], "event_id", "full")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.every(F.coalesce(F.col("p0") == F.col("p1"), F.lit(False))).alias("equal"))
+
+
 @register("t13_vocab_reduction")
 def t13_vocab_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 logistic regression per strength C keeps the terms with a non-zero

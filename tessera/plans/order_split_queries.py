@@ -140,6 +140,25 @@ def o05_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumn("perm_key", F.xxhash64("vec_id", F.lit(42)))
 
 
+@register("o05_hash_permutation", sql=f"""
+SELECT vec_id, label, row_number() OVER (ORDER BY {U.hash_value_sql('vec_id', 42)}, vec_id) - 1 AS place FROM embeddings""")
+def o05_hash_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of each row in a permutation by a keyed hash, over key ranges."""
+    e = Tables(spark, sf_dir).embeddings.select("vec_id", "label").withColumn("_h", U.hash_value("vec_id", 42))
+    return positions(e, ["_h", "vec_id"], "place").select("vec_id", "label", F.col("place").cast("long").alias("place"))
+
+
+@register("p25_hash_noise", sql=f"""
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx,
+  round(CAST(embedding[i] AS DOUBLE) + 0.1 * ({U.hash_uniform_sql('(vec_id * 64 + i - 1)', 5)} - 0.5), 7) AS x
+FROM (SELECT *, generate_subscripts(embedding, 1) AS i FROM embeddings)""")
+def p25_hash_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with uniform noise drawn from a hash of the key and the place."""
+    e = Tables(spark, sf_dir).embeddings.select("vec_id", F.posexplode("embedding").alias("idx", "v"))
+    noise = 0.1 * (U.hash_uniform(F.col("vec_id") * 64 + F.col("idx"), 5) - 0.5)
+    return e.select("vec_id", "idx", F.round(F.col("v").cast("double") + noise, 7).alias("x"))
+
+
 # ---------------------------------------------------------------- sets, sampling, splits
 
 
@@ -172,6 +191,25 @@ def u03_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
                        majority_fraction=0.4, seed=3)
 
 
+_REBALANCED_SQL = f"""(SELECT doc_id, quality, unnest(range(CASE
+  WHEN quality = 0 THEN 1 + CAST({U.hash_value_sql('doc_id', 3)} < {U.below(1.4 - 1)} AS INTEGER)
+  ELSE CAST({U.hash_value_sql('doc_id', 3)} < {U.below(0.4)} AS INTEGER) END)) AS copy FROM labels)"""
+
+
+def _hash_rebalanced(t: Tables) -> DataFrame:
+    return U.hash_rebalance(t.labels.select("doc_id", "quality"), "quality", 0, 1.4, 0.4, "doc_id", seed=3)
+
+
+@register("u03_hash_rebalance", sql=f"SELECT doc_id, quality, CAST(copy AS INTEGER) AS copy FROM {_REBALANCED_SQL}")
+def u03_hash_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hash_rebalanced(Tables(spark, sf_dir))
+
+
+@register("a10_hash_rebalanced_counts", sql=f"SELECT quality, count(*) AS n FROM {_REBALANCED_SQL} GROUP BY quality")
+def a10_hash_rebalanced_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hash_rebalanced(Tables(spark, sf_dir)).groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("a10_rebalanced_counts")
 def a10_rebalanced_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = u03_rebalance(spark, sf_dir)

@@ -87,7 +87,7 @@ def test_bernoulli_samples_follow_probabilities(spark):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SMALL).count() >= 0
+    assert QUERIES[name](spark, SMALL).count() > 0
 
 
 def test_accuracy_many_matches_column_classifier(spark):
