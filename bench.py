@@ -32,7 +32,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
 
-    from tessera.session import build_session
+    from tessera.session import build_session, release_scratch
 
     ckpt = os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="tessera-bench-")
     spark = build_session(f"local[{cpus}]", app="tessera-bench", shuffle_partitions=int(cpus) * 2,
@@ -54,6 +54,7 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        release_scratch(spark)
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
     print(json.dumps({"metric": "headline_total_wall", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf else sf_dir}))

@@ -95,6 +95,20 @@ def s05_sparse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.read_sparse_text(spark, path, names).select("label", "idx", "name")
 
 
+@register("s05_line_places", sql="""
+WITH x AS (SELECT label, len(list_filter(embedding, lambda v: v > 0)) AS n FROM embeddings)
+SELECT CAST(label AS VARCHAR) AS label, 2 * count(*) AS n_lines, CAST(2 * sum(n) AS BIGINT) AS n_entries FROM x
+WHERE n > 0 GROUP BY 1""")
+def s05_line_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines keep their identity by place: every row is written twice, and both lines count."""
+    path = scratch_path(spark, "embeddings-twice")
+    emb = Tables(spark, sf_dir).embeddings
+    S.render_sparse_lines(emb.unionByName(emb), "label", "embedding").write.text(path)
+    per_line = S.read_sparse_text(spark, path).groupBy("file", "block", "line", "label").agg(F.count(F.lit(1)).alias("n"))
+    return per_line.groupBy("label").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("n").alias("n_entries"))
+
+
+
 @register("s06_parquet_sink", sql="""
 SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem""")
 def s06_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,10 +81,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+#: Scratch paths handed out in this process and not released yet.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint root for intermediate tables."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}"))
+    return _SCRATCH[-1]
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this process wrote, wherever the checkpoint root
+    lies; the number of tables. Call it when no result built on them is needed any more, at
+    the end of a job or between the queries of a long session."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    released = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        released += bool(path.getFileSystem(conf).delete(path, True))
+    return released
 
 
 def cut_lineage(df: DataFrame, keep_partitioning: bool = False,

@@ -96,18 +96,40 @@ def render_sparse_lines(df: DataFrame, label: str, vector: str, threshold: float
                                               " ")).alias("value"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, line, value): every line of a text source with its place, the block of
+    the file that a task reads and the line's number in it, so equal lines stay apart. The
+    numbers are the same in every evaluation with one ``spark.sql.files.maxPartitionBytes``."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("block"), "value")
+
+    def run(batches):
+        import pyarrow as pa
+
+        seen: dict = {}
+        for batch in batches:
+            numbers = []
+            for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                numbers.append(seen.get(key, 0))
+                seen[key] = numbers[-1] + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(numbers, pa.int64()), batch.column(2)],
+                                             ["file", "block", "line", "value"])
+
+    return lines.mapInArrow(run, "file string, block long, line long, value string")
+
+
 def read_sparse_text(spark: SparkSession, path: str, names: DataFrame | None = None) -> DataFrame:
-    """S-05: ``label idx:val ...`` text to long form (line_hash, label, idx[, name]).
+    """S-05: ``label idx:val ...`` text to long form (file, block, line, label, idx[, name]).
 
     As in the reference the value is ignored (presence = 1) and the index is used
     as given. ``names`` (idx, name) is a dimension joined on the index.
     """
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    lines = numbered_lines(spark, path).where(F.length(F.trim("value")) > 0)
     parts = F.split(F.trim(F.col("value")), r"\s+")
-    x = lines.select(F.xxhash64("value").alias("line_hash"),
+    x = lines.select("file", "block", "line",
                      F.get(parts, 0).alias("label"),
                      F.explode(F.slice(parts, 2, 1 << 30)).alias("_tok"))
-    x = x.select("line_hash", "label",
+    x = x.select("file", "block", "line", "label",
                  F.get(F.split("_tok", ":"), 0).try_cast("int").alias("idx"))
     if names is not None:
         x = x.join(names, "idx", "left")
