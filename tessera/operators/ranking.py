@@ -160,12 +160,17 @@ def order_statistics(df: DataFrame, col: str, places: Sequence, by: Sequence[str
     def sketch(values: Column) -> Column:
         return F.percentile_approx(values, F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)]), SKETCH)
 
-    def with_state(state: DataFrame) -> DataFrame:
-        named = state.select(*[F.col(c).alias(f"_s{c}") for c in g], *[c for c in state.columns if c not in g])
+    def attached(rows: DataFrame, state: DataFrame) -> DataFrame:
+        """Each row with the columns of its group's row of ``state``."""
+        columns = [c for c in state.columns if c not in g]
+        if not by:  # one row: a scalar, no join
+            return rows.withColumn("_row", state.select(F.struct(*columns).alias("r")).scalar()).select(
+                *rows.columns, *[F.col(f"_row.{c}").alias(c) for c in columns])
+        named = state.select(*[F.col(c).alias(f"_s{c}") for c in g], *columns)
         same = F.lit(True)
         for c in g:
             same = same & F.col(c).eqNullSafe(F.col(f"_s{c}"))
-        return x.join(named, same)
+        return rows.join(named, same).drop(*[f"_s{c}" for c in g])
 
     def narrowed(state: DataFrame) -> DataFrame:
         """New intervals from the quantiles ``q{i}`` of the old ones, counted in one pass."""
@@ -176,14 +181,10 @@ def order_statistics(df: DataFrame, col: str, places: Sequence, by: Sequence[str
 
         wide = state.select(*g, "n", *[c for i in spots for c in (
             f"p{i}", f"lo{i}", f"hi{i}", f"below{i}", f"inside{i}", bound(i, -3).alias(f"a{i}"), bound(i, 4).alias(f"b{i}"))])
-        counts = with_state(wide.select(*g, *[f"{c}{i}" for i in spots for c in "ab"])).groupBy(*g).agg(*[
+        counts = attached(x, wide.select(*g, *[f"{c}{i}" for i in spots for c in "ab"])).groupBy(*g).agg(*[
             c for i in spots for c in (F.count_if(F.col("_x") < F.col(f"a{i}")).alias(f"u{i}"),
                                        F.count_if(F.col("_x") <= F.col(f"b{i}")).alias(f"w{i}"))])
-        named = counts.select(*[F.col(c).alias(f"_c{c}") for c in g], *[c for c in counts.columns if c not in g])
-        same = F.lit(True)
-        for c in g:
-            same = same & F.col(c).eqNullSafe(F.col(f"_c{c}"))
-        rows, out = wide.join(named, same), []
+        rows, out = attached(wide, counts), []
         for i in spots:
             hit = (F.col(f"u{i}") <= F.col(f"p{i}")) & (F.col(f"p{i}") < F.col(f"w{i}")) & F.col(
                 f"a{i}").isNotNull() & F.col(f"b{i}").isNotNull()
@@ -207,15 +208,11 @@ def order_statistics(df: DataFrame, col: str, places: Sequence, by: Sequence[str
 
     left = total(state) or 0
     while left:
-        inner = with_state(state.select(*g, *[c for i in spots for c in (
+        inner = attached(x, state.select(*g, *[c for i in spots for c in (
             F.when(is_wide(i), F.col(f"lo{i}")).alias(f"a{i}"), F.col(f"hi{i}").alias(f"b{i}"))]))
         quantiles = inner.groupBy(*g).agg(*[sketch(F.when(F.col("_x").between(F.col(f"a{i}"), F.col(f"b{i}")), F.col("_x")))
                                             .alias(f"q{i}") for i in spots])
-        named = quantiles.select(*[F.col(c).alias(f"_q{c}") for c in g], *[f"q{i}" for i in spots])
-        same = F.lit(True)
-        for c in g:
-            same = same & F.col(c).eqNullSafe(F.col(f"_q{c}"))
-        state = narrowed(cut_lineage(state.join(named, same).select(*state.columns, *[f"q{i}" for i in spots])))
+        state = narrowed(cut_lineage(attached(state, quantiles)))
         before, left = left, total(state) or 0
         if left >= before:  # ties that a sketch cannot part: they are sorted as they are
             break
@@ -225,7 +222,7 @@ def order_statistics(df: DataFrame, col: str, places: Sequence, by: Sequence[str
     near = F.lit(False)
     for i in spots:
         near = near | F.col("_x").between(F.col(f"lo{i}"), F.col(f"hi{i}"))
-    inside = with_state(state).where(near).withColumn("_spans", spans).select(
+    inside = attached(x, state).where(near).withColumn("_spans", spans).select(
         *g, "n", "_x", F.inline(F.filter("_spans", lambda s: F.col("_x").between(s["lo"], s["hi"]))))
     counted = inside.groupBy(*g, "n", "i", "p", "below", "_x").agg(F.count(F.lit(1)).alias("c"))
     upto = F.col("below") + F.sum("c").over(Window.partitionBy(*g, "i").orderBy("_x"))
