@@ -38,7 +38,7 @@ TOP = 2_000
 SCALE = 1_000_000
 #: Words that are counted together within a task, and words that a task remembers.
 CHUNK_WORDS = 2_000_000
-REMEMBERED = 700_000
+REMEMBERED = 350_000
 #: Nodes that this share of the words pass are dealt by their next word too.
 HOT_SHARE = 1 / 1000
 HOT_PARTS = 64
@@ -85,18 +85,21 @@ def _grams(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows of ``size`` numbers starting at each word, zero from the end
     of its piece on, and their counts. ``words`` ends with zeros."""
     starts = np.flatnonzero(words)
-    columns, alive = [], np.ones(len(starts), bool)
     padded = np.concatenate([words, np.zeros(size, np.int64)])
-    for j in range(size):
-        column = np.where(alive, padded[starts + j], 0)
-        alive = column != 0
-        columns.append(column)
     bits = max(1, int(words.max(initial=0)).bit_length())
+    alive = np.ones(len(starts), bool)
+
+    def columns():
+        nonlocal alive
+        for j in range(size):
+            column = np.where(alive, padded[starts + j], 0)
+            alive = column != 0
+            yield column
+
     if bits * size > 63:
-        rows, counts = np.unique(np.stack(columns, 1), axis=0, return_counts=True)
-        return rows, counts
-    packed = columns[0]
-    for column in columns[1:]:
+        return np.unique(np.stack(list(columns()), 1), axis=0, return_counts=True)
+    packed = np.zeros(len(starts), np.int64)
+    for column in columns():
         packed = packed << bits | column
     packed, counts = np.unique(packed, return_counts=True)
     mask = (1 << bits) - 1
