@@ -310,7 +310,8 @@ def _dealt(words: DataFrame) -> DataFrame:
                       F.when(F.col("asks"), F.col("other")).otherwise(F.col("own")).cast("int"))
     dealt = cut_lineage(dealt.select(cell.alias("cell"), "asks", "word", "n"))
     blocks = max(1, -(-dealt.count() // BLOCK_ROWS))
-    return dealt.select(F.pmod("cell", F.lit(blocks)).alias("block"), "asks", "word", "n")
+    # as many partitions as blocks: small rows that mean much work are not put together
+    return dealt.select(F.pmod("cell", F.lit(blocks)).alias("block"), "asks", "word", "n").repartition(blocks, "block")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
