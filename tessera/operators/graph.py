@@ -10,7 +10,7 @@ the ranks are written to the shared checkpoint directory every round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage, scratch_path
@@ -61,7 +61,7 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
     A round is one job: the edges take their source's rank by a join, and one
     aggregate sums these contributions and a row of zero per node, which also
     carries the old rank and keeps nodes that nothing leads to. The dangling mass
-    and the change are observed while the new ranks are written; two tables take
+    and the change are summed over the written ranks; two tables take
     turns, so the scratch space holds two rounds. Edges are dealt by source once
     (to ``partitions`` parts, else as many as shuffle partitions); a source with
     more than ``HUB_EDGES`` edges is dealt by target as well, and its rank is sent
@@ -97,12 +97,11 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
         new = contributions.unionByName(zeros).groupBy("node").agg(
             F.sum("x").alias("x"), F.max("parts").alias("parts"), F.max("old").alias("old"))
         new = new.select("node", "parts", "old", (F.lit(alpha) * F.col("x") + F.lit(base)).alias("rank"))
-        seen = Observation()
-        ranks = cut_lineage(new.observe(
-            seen, F.sum(F.when(F.col("parts").isNull(), F.col("rank")).otherwise(0.0)).alias("dangling"),
-            F.sum(F.abs(F.col("rank") - F.col("old"))).alias("change")), path=paths[i % 2])
-        dangling_mass = seen.get["dangling"] or 0.0
-        if fixed_rounds is None and seen.get["change"] < n * tol:
+        ranks = cut_lineage(new, path=paths[i % 2])
+        seen = ranks.agg(F.sum(F.when(F.col("parts").isNull(), F.col("rank")).otherwise(0.0)).alias("dangling"),
+                         F.sum(F.abs(F.col("rank") - F.col("old"))).alias("change")).first()
+        dangling_mass = seen["dangling"] or 0.0
+        if fixed_rounds is None and seen["change"] < n * tol:
             break
     return ranks.select("node", "rank")
 
