@@ -104,3 +104,13 @@ def word_ngram_range(toks: str | Column, least: int, most: int) -> Column:
         return F.transform(word_ngrams(toks, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
 
     return F.concat(*[sized(n) for n in range(least, most + 1)])
+
+
+def word_ngram_starts(toks: str | Column) -> Column:
+    """T-07: the word n-grams of one to three words, as structs (head, third) per word: the
+    gram of up to two words that starts there, and the word after it, null at the end. Every
+    n-gram of the range is the beginning of one of them."""
+    t = _c(toks)
+    starts = F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.struct(
+        F.array_join(F.slice(t, i, 2), " ").alias("head"), F.get(t, i + 1).alias("third")))
+    return F.when(F.size(t) >= 1, starts)

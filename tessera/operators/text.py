@@ -13,18 +13,55 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokens as token_array
+from tessera.functions.text import word_ngram_starts
 from tessera.operators.ranking import counts_with_prefix
 from tessera.session import cut_lineage
 
 
 def term_counts(docs: DataFrame, doc_id: str = "doc_id", text: str | Column = "text",
                 toks: Column | None = None) -> DataFrame:
-    """T-04: (doc_id, term, tf) from the text's word tokens."""
+    """T-04: (doc_id, term, tf) from the text's word tokens.
+
+    The texts are dealt by document before they are taken apart, so one shuffle of the
+    texts stands for one of all their words, and sums per document need no other."""
     t = toks if toks is not None else token_array(text)
-    return docs.select(doc_id, F.explode(t).alias("term")) \
+    return docs.repartition(doc_id).select(doc_id, F.explode(t).alias("term")) \
                .groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def ngram_sizes(docs: DataFrame, toks: str, doc_id: str = "doc_id") -> DataFrame:
+    """T-07: for n-grams of 1, 2 and 3 words: (n, vocab_size, n_grams, vocab_min_df_2, top_count).
+
+    A row per word, dealt by the two words that start there, is all that is shuffled: the
+    grams of three words lie with their two first, and those of one word are summed from
+    the counts of two. The least and the largest document tell whether a gram is in two
+    (rows without a document's key are one document).
+    """
+    rows = docs.select(doc_id, F.inline(word_ngram_starts(toks))).repartition("head")
+    ends = [F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("none").alias("none")]
+    in_two = (F.col("lo") < F.col("hi")) | (F.col("none") & F.col("lo").isNotNull())
+    facts = ["vocab_size", "n_grams", "vocab_min_df_2", "top_count"]
+
+    def counted(df: DataFrame, n: int, is_gram: Column) -> DataFrame:
+        """With the facts of each row as a gram of ``n`` words; zeros if it is none."""
+        values = [F.lit(1), F.col("cnt"), F.coalesce(in_two, F.lit(False)).cast("int"), F.col("cnt")]
+        return df.withColumns({f"{f}{n}": F.when(is_gram, v.cast("long")).otherwise(0) for f, v in zip(facts, values)})
+
+    def carried(n: int) -> list[Column]:
+        return [(F.max if f == "top_count" else F.sum)(f"{f}{m}").alias(f"{f}{m}") for m in range(n, 4) for f in facts]
+
+    three = rows.groupBy("head", "third").agg(
+        F.count(F.lit(1)).alias("cnt"), F.min(doc_id).alias("lo"), F.max(doc_id).alias("hi"),
+        F.max(F.col(doc_id).isNull()).alias("none"))
+    three = counted(three, 3, F.col("third").isNotNull())
+    two = three.groupBy("head").agg(F.sum("cnt").alias("cnt"), *ends, *carried(3))
+    two = counted(two, 2, F.contains("head", F.lit(" ")))
+    one = two.groupBy(F.substring_index("head", " ", 1).alias("head")).agg(F.sum("cnt").alias("cnt"), *ends, *carried(2))
+    total = counted(one, 1, F.lit(True)).agg(*carried(1))
+    sizes = F.array(*[F.struct(F.lit(n).alias("n"), *[F.col(f"{f}{n}").alias(f) for f in facts]) for n in (1, 2, 3)])
+    return total.select(F.inline(sizes)).where(F.col("vocab_size") > 0)
+
+
 def document_frequency(tf: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """(term, df): number of documents holding the term."""
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -35,14 +72,25 @@ def min_df_vocabulary(tf: DataFrame, min_df: int) -> DataFrame:
     return document_frequency(tf).where(F.col("df") >= min_df)
 
 
+#: Bytes of a list of terms that may be broadcast.
+LIST_BYTES = 16 << 20
+
+
+def _listed(terms: DataFrame) -> DataFrame:
+    """A table of terms, written once; broadcast if it is small, so that the rows it meets stay where they are."""
+    terms = cut_lineage(terms)
+    size = terms.agg(F.sum(F.octet_length("term") + 32)).first()[0] or 0
+    return F.broadcast(terms) if size <= LIST_BYTES else terms
+
+
 def restrict_to_vocabulary(tf: DataFrame, vocab: DataFrame) -> DataFrame:
     """T-05 / T-08: keep only vocabulary terms (semi join, broadcast when small)."""
-    return tf.join(vocab.select("term").distinct(), "term", "left_semi")
+    return tf.join(_listed(vocab.select("term").distinct()), "term", "left_semi")
 
 
 def remove_stop_words(tf: DataFrame, stop: DataFrame) -> DataFrame:
-    """T-12: drop stop words (anti join against a broadcast-checked list)."""
-    return tf.join(stop.select("term").distinct(), "term", "left_anti")
+    """T-12: drop stop words (anti join, broadcast when small)."""
+    return tf.join(_listed(stop.select("term").distinct()), "term", "left_anti")
 
 
 def frequent_terms_as_stop_words(tf: DataFrame, max_df_share: float,
@@ -126,16 +174,17 @@ def term_vectors(tf: DataFrame, doc_id: str = "doc_id", weight: str = "tf", carr
 
 def vocabulary_report(tf: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """T-09: vocabulary size, non-zeros, documents, average non-zeros per
-    document, density in percent, first and last term in sort order."""
-    return tf.agg(
-        F.count_distinct("term").alias("vocab_size"),
-        F.count(F.lit(1)).alias("nnz"),
-        F.count_distinct(doc_id).alias("n_docs"),
-        F.min("term").alias("first_term"),
-        F.max("term").alias("last_term"),
-    ).select("*", (F.col("nnz") / F.nullif(F.col("n_docs"), F.lit(0))).alias("avg_nnz"),
-             (F.col("nnz") * 100.0 / F.nullif(F.col("n_docs") * F.col("vocab_size"), F.lit(0)))
-             .alias("density_pct"))
+    document, density in percent, first and last term in sort order.
+
+    Terms and documents are counted apart, each by one aggregate per key: distinct
+    counts side by side would take every row once per count."""
+    terms = tf.groupBy("term").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.count("term").alias("vocab_size"), F.coalesce(F.sum("n"), F.lit(0)).alias("nnz"),
+        F.min("term").alias("first_term"), F.max("term").alias("last_term"))
+    n_docs = tf.select(doc_id).distinct().agg(F.count(doc_id).alias("n_docs")).select("n_docs").scalar()
+    return terms.select("vocab_size", "nnz", n_docs.alias("n_docs"), "first_term", "last_term").select(
+        "*", (F.col("nnz") / F.nullif(F.col("n_docs"), F.lit(0))).alias("avg_nnz"),
+        (F.col("nnz") * 100.0 / F.nullif(F.col("n_docs") * F.col("vocab_size"), F.lit(0))).alias("density_pct"))
 
 
 def out_of_vocabulary(train_tf: DataFrame, dev_tf: DataFrame) -> DataFrame:
@@ -155,11 +204,11 @@ def out_of_vocabulary(train_tf: DataFrame, dev_tf: DataFrame) -> DataFrame:
 def lexicon_sentiment(tf: DataFrame, lexicon: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """T-16: per document, positive and negative token shares from a
     (term, polarity in {1, -1}) lexicon; flag = positive share > negative."""
-    tot = tf.groupBy(doc_id).agg(F.sum("tf").alias("_n"))
-    hits = tf.join(lexicon, "term").groupBy(doc_id).agg(
-        F.sum(F.when(F.col("polarity") > 0, F.col("tf")).otherwise(0)).alias("_pos"),
-        F.sum(F.when(F.col("polarity") < 0, F.col("tf")).otherwise(0)).alias("_neg"))
-    x = tot.join(hits, doc_id, "left").fillna(0, ["_pos", "_neg"])
+    signs = lexicon.where(F.col("term").isNotNull()).groupBy("term").agg(
+        F.count_if(F.col("polarity") > 0).alias("_p"), F.count_if(F.col("polarity") < 0).alias("_m"))
+    x = tf.join(_listed(signs), "term", "left").groupBy(doc_id).agg(
+        F.sum("tf").alias("_n"), F.coalesce(F.sum(F.col("tf") * F.col("_p")), F.lit(0)).alias("_pos"),
+        F.coalesce(F.sum(F.col("tf") * F.col("_m")), F.lit(0)).alias("_neg"))
     return x.select(doc_id, (F.col("_pos") / F.col("_n")).alias("pos_share"),
                     (F.col("_neg") / F.col("_n")).alias("neg_share"),
                     (F.col("_pos") > F.col("_neg")).cast("int").alias("positive"))

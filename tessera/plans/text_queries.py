@@ -116,14 +116,11 @@ SELECT lo, hi, count(*) AS vocab_size, CAST(sum(cnt) AS BIGINT) AS n_grams, coun
 FROM c, (VALUES {', '.join(f'({a}, {b})' for a, b in NGRAM_RANGES)}) r(lo, hi) WHERE n BETWEEN lo AND hi GROUP BY lo, hi""")
 def t07_ngram_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vocabulary of each n-gram range: every gram is counted once, for all ranges that hold it."""
-    d = Tables(spark, sf_dir).documents.select("doc_id", X.tokens("text").alias("toks"))
-    per_doc = d.select("doc_id", F.inline(X.word_ngram_range("toks", 1, 3))).groupBy("doc_id", "n", "gram").agg(
-        F.count(F.lit(1)).alias("tf"))
-    c = per_doc.groupBy("n", "gram").agg(F.sum("tf").alias("cnt"), F.count(F.lit(1)).alias("df"))
+    sizes = T.ngram_sizes(Tables(spark, sf_dir).documents.select("doc_id", X.tokens("text").alias("toks")), "toks")
     ranges = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi")) for a, b in NGRAM_RANGES])
-    x = c.select("n", "cnt", "df", F.inline(F.filter(ranges, lambda r: F.col("n").between(r["lo"], r["hi"]))))
-    return x.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("vocab_size"), F.sum("cnt").alias("n_grams"),
-                                     F.count_if(F.col("df") >= 2).alias("vocab_min_df_2"), F.max("cnt").alias("top_count"))
+    x = sizes.select("*", F.inline(F.filter(ranges, lambda r: F.col("n").between(r["lo"], r["hi"]))))
+    return x.groupBy("lo", "hi").agg(*[F.sum(c).alias(c) for c in ("vocab_size", "n_grams", "vocab_min_df_2")],
+                                     F.max("top_count").alias("top_count"))
 
 
 @register("t08_min_df", sql=f"""
@@ -197,7 +194,7 @@ def t12_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     with an anti join; the reference's fixed list is a parameter of the same
     operator (``remove_stop_words``)."""
     t = Tables(spark, sf_dir)
-    tf = _tf(t)
+    tf = cut_lineage(_tf(t))  # read for the list and for what it leaves
     n_docs = t.documents.select(F.count(F.lit(1))).scalar()
     kept = T.remove_stop_words(tf, T.frequent_terms_as_stop_words(tf, 0.5, n_docs))
     return kept.groupBy("doc_id").agg(F.sum("tf").alias("n_kept"))
@@ -214,7 +211,7 @@ def t12_stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lang_tf(t: Tables) -> DataFrame:
     """Term counts with the topic of the document."""
-    words = t.documents.select("doc_id", "lang", F.explode(X.tokens("text")).alias("term"))
+    words = t.documents.repartition("doc_id").select("doc_id", "lang", F.explode(X.tokens("text")).alias("term"))
     return words.groupBy("doc_id", "lang", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
