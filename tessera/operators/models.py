@@ -10,6 +10,8 @@ reports (the reference stopped after the first fold and refit on validation).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
@@ -24,6 +26,10 @@ from tessera.operators.encode import categorical_pipeline
 from tessera.operators.metrics import binary_metrics
 
 
+#: Fits of a grid that run at a time.
+FITS = 4
+
+
 def logistic(max_iter: int = 30, reg: float = 0.01, elastic: float = 0.5, **kw) -> LogisticRegression:
     """L-01: elastic-net logistic regression without standardisation."""
     return LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic,
@@ -92,16 +98,18 @@ def grid_search(pipe_for, grid: Sequence[dict], folds: DataFrame, fold_col: str
     and scored on validation by ``score``, a metric of M-01 or the exact ``auc``;
     returns (params..., fold, score)."""
     parts = [(f, folds.where(F.col(fold_col) == f)) for (f,) in folds.select(fold_col).distinct().orderBy(fold_col).collect()]
-    out = None
-    for params in grid:
-        for f, part in parts:
-            _, pred = fit_and_score(pipe_for(**params), part.where(F.col(role_col) == "train"),
-                                    part.where(F.col(role_col) == "validate"))
-            m = auc(positive_probability(pred), "p1", label) if score == "auc" else binary_metrics(
-                pred.withColumn("prediction", F.col("prediction").cast("int")), label)
-            m = m.select(*[F.lit(v).alias(k) for k, v in params.items()], F.lit(f).alias(fold_col), F.col(score).alias("score"))
-            out = m if out is None else out.unionByName(m)
-    return out
+
+    def scored(params: dict, f, part: DataFrame) -> DataFrame:
+        _, pred = fit_and_score(pipe_for(**params), part.where(F.col(role_col) == "train"),
+                                part.where(F.col(role_col) == "validate"))
+        m = auc(positive_probability(pred), "p1", label) if score == "auc" else binary_metrics(
+            pred.withColumn("prediction", F.col("prediction").cast("int")), label)
+        return m.select(*[F.lit(v).alias(k) for k, v in params.items()], F.lit(f).alias(fold_col), F.col(score).alias("score"))
+
+    # The fits are independent: some run at a time, as with CrossValidator's parallelism.
+    with ThreadPoolExecutor(max_workers=FITS) as pool:
+        scores = list(pool.map(lambda s: scored(*s), [(params, f, part) for params in grid for f, part in parts]))
+    return reduce(DataFrame.unionByName, scores) if scores else None
 
 
 def importance_table(model: PipelineModel, pred: DataFrame, features: str = "features",

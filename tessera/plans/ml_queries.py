@@ -31,7 +31,7 @@ from tessera.plans.core_queries import clean_events, delay_features
 from tessera.plans.model_queries import _TRAIN_IMG, image_split
 from tessera.plans.order_split_queries import daily_totals
 from tessera.plans.registry import register
-from tessera.session import cut_lineage, scratch_path
+from tessera.session import cut_lineage, dealt, scratch_path
 from tessera.sources import files as S
 from tessera.sources.tables import Tables
 
@@ -48,6 +48,9 @@ GBT_GRID = [{"depth": d, "bins": 350, "iters": i, "step": s} for d in (7, 11) fo
 # Rounds after which a fit ends that has not met its tolerance: scikit-learn's defaults.
 EM_ROUNDS, LR_ROUNDS, NMF_ROUNDS = 100, 100, 200
 
+#: Rows of a part of a table that models are fitted on.
+FIT_ROWS = 100_000
+
 CAT = ["event_type"]
 NUM = ["hour", "weekday", "prev_delayed", "n_prev_delays"]
 CUT = dt.datetime(2024, 1, 21)
@@ -57,14 +60,15 @@ def delay_table(t: Tables) -> DataFrame:
     """Feature table for the delay models, written once to the shared
     checkpoint root: model fitting reads it many times (indexers, every
     optimiser pass, every fold), and the windowed features behind it take
-    several shuffles to build."""
+    several shuffles to build. A large table is dealt to parts of ``FIT_ROWS``: the
+    files are few and small, and a fit has no more tasks than its input has parts."""
     f = delay_features(clean_events(t))
-    return cut_lineage(f.select("event_id", "ts", "event_type",
+    return dealt(cut_lineage(f.select("event_id", "ts", "event_type",
                     F.hour("ts").cast("double").alias("hour"),
                     (F.dayofweek("ts") - 1).cast("double").alias("weekday"),
                     F.col("prev_delayed").cast("double").alias("prev_delayed"),
                     F.coalesce("n_prev_delays", F.lit(0)).cast("double").alias("n_prev_delays"),
-                    (F.col("value") >= 15).cast("int").alias("label")))
+                    (F.col("value") >= 15).cast("int").alias("label"))), "event_id", FIT_ROWS)
 
 
 def _calendar(t: Tables):
@@ -236,7 +240,7 @@ def l16_grid_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _time_folds(t: Tables, k: int = 3) -> DataFrame:
-    return cut_lineage(U.expanding_folds(delay_table(t), "ts", k))
+    return dealt(cut_lineage(U.expanding_folds(delay_table(t), "ts", k)), "event_id", FIT_ROWS)
 
 
 @register("l16_time_grid")
@@ -389,8 +393,7 @@ NMF_ALPHA, NMF_L1 = 0.1, 0.5
 
 def _topic_matrix(t: Tables) -> DataFrame:
     """TF-IDF of the texts after cleaner B, without the stop words by rule."""
-    d = t.documents.select("doc_id", X.tokens(X.clean_b("text")).alias("toks"))
-    tf = cut_lineage(T.term_counts(d, toks=F.col("toks")))
+    tf = cut_lineage(T.term_counts(t.documents.select("doc_id", "text"), toks=X.tokens(X.clean_b("text"))))
     n_docs = t.documents.select(F.count(F.lit(1))).scalar()
     kept = T.remove_stop_words(tf, T.frequent_terms_as_stop_words(tf, 0.5, n_docs))
     return T.tfidf(kept, n_docs=n_docs)

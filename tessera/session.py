@@ -132,3 +132,10 @@ def cut_lineage(df: DataFrame, keep_partitioning: bool = False,
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+def dealt(df: DataFrame, key: str, part_rows: int) -> DataFrame:
+    """A written table, dealt by ``key`` to parts of about ``part_rows`` rows; as it is if it
+    already is read in that many parts."""
+    parts = -(-df.count() // part_rows)
+    return df.repartition(parts, key) if parts > df.rdd.getNumPartitions() else df
