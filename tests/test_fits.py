@@ -65,3 +65,34 @@ def test_one_vs_rest_equals_a_dense_minimum(spark):
             w = w - rate * (g + w) if p.penalty == "l2" else np.sign(w - rate * g) * np.maximum(np.abs(w - rate * g) - rate, 0)
         assert np.allclose(p.w, w, atol=1e-5), (p.penalty, p.c, p.label)
         assert np.isclose((p.w ** 2).sum(), (w ** 2).sum(), atol=1e-5)
+
+
+def test_kept_rows_of_v_number_the_terms_across_cuts(monkeypatch):
+    """A document part is kept in rows of bounded size; its terms are numbered in order, once."""
+    import pyarrow as pa
+
+    rows = [(0, q, j, i, float(10 * j + i)) for q in range(2) for j in range(3) for i in range(j + 1)]
+    rows += [(1, 0, 0, 0, 5.0)]
+    names, kinds = "pqjiv", [pa.int32()] * 4 + [pa.float64()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[a:a + 2]), kinds)], list(names))
+               for a in range(0, len(rows), 2)]
+    monkeypatch.setattr(TP, "ROW_ENTRIES", 4)
+    kept = [r for b in TP._kept_rows(iter(batches)) for r in b.to_pylist()]
+    assert [(r["p"], r["seq"]) for r in kept] == [(0, 0), (0, 1), (0, 2), (1, 0)]
+    got, terms = [], {}
+    for r in kept:
+        new = zip(np.frombuffer(r["term_part"], np.int32), np.frombuffer(r["term_at"], np.int32))
+        terms.setdefault(r["p"], []).extend(new)
+        d, t, v = (np.frombuffer(r[c], k) for c, k in (("d", np.int32), ("t", np.int32), ("v", np.float64)))
+        got += [(r["p"], *map(int, terms[r["p"]][b]), int(a), float(x)) for a, b, x in zip(d, t, v)]
+    assert got == rows
+    assert terms[0] == [(q, j) for q in range(2) for j in range(3)]
+
+
+def test_nmf_in_rounds_sends_numbers_only(spark):
+    """The kept V and the mail of a round hold no keys: a factor's rows meet them again at the end."""
+    v = spark.createDataFrame([(d, f"t{t}", float(1 + (i * t) % 5)) for i, d in enumerate((1, 2, None)) for t in range(3)],
+                              "doc_id long, term string, w double")
+    w, h, losses = TP.nmf(v, 2, rounds=2)
+    assert sorted(r.doc_id for r in w.collect()) == [1, 2] and h.count() == 3 and losses[1] <= losses[0]
+    assert "string" not in TP._ROW and [f.name for f in TP._MAIL_ARROW if f.type == "string"] == ["kind"]
