@@ -88,6 +88,17 @@ def restrict_to_vocabulary(tf: DataFrame, vocab: DataFrame) -> DataFrame:
     return tf.join(_listed(vocab.select("term").distinct()), "term", "left_semi")
 
 
+def vocabulary_share(docs: DataFrame, vocab: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """T-05: (doc_id, share): share of a document's tokens that ``vocab`` holds; none without tokens.
+
+    The texts are taken apart once where they lie: a small vocabulary is broadcast, and only
+    two sums per document (and place) are shuffled."""
+    known = _listed(vocab.select("term").distinct()).withColumn("_in", F.lit(True))
+    rows = docs.select(doc_id, F.explode(token_array(text)).alias("term")).join(known, "term", "left")
+    sums = rows.groupBy(doc_id).agg(F.count("_in").alias("_h"), F.count(F.lit(1)).alias("_n"))
+    return sums.select(doc_id, (F.col("_h") / F.col("_n")).alias("share"))
+
+
 def remove_stop_words(tf: DataFrame, stop: DataFrame) -> DataFrame:
     """T-12: drop stop words (anti join, broadcast when small)."""
     return tf.join(_listed(stop.select("term").distinct()), "term", "left_anti")

@@ -404,12 +404,8 @@ def m04_most_confused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _vocab_share(t: Tables) -> DataFrame:
     """Text score in [0, 1]: share of a document's tokens found in ``benchmark``."""
-    tf = T.term_counts(t.documents.select("doc_id", "text"))
     vocab = t.benchmark.select(F.explode(X.tokens("text")).alias("term")).distinct()
-    hit = T.restrict_to_vocabulary(tf, vocab).groupBy("doc_id").agg(F.sum("tf").alias("h"))
-    tot = tf.groupBy("doc_id").agg(F.sum("tf").alias("n"))
-    return tot.join(hit, "doc_id", "left").select(
-        "doc_id", (F.coalesce("h", F.lit(0)) / F.col("n")).alias("p_text"))
+    return T.vocabulary_share(t.documents.select("doc_id", "text"), vocab).withColumnRenamed("share", "p_text")
 
 
 @register("l19_or_ensemble", sql=f"""

@@ -82,3 +82,13 @@ def test_grid_fits_run_at_a_time(spark):
     out = ML.grid_search(pipe_for, [{"max_iter": 1}, {"max_iter": 5}], folds, score="auc")
     assert [(r.max_iter, r.fold) for r in out.collect()] == [(1, 1), (1, 2), (5, 1), (5, 2)]
     assert all(r.score == 1.0 for r in out.collect()) and len(threads) > 1
+
+
+def test_vocabulary_share_leaves_the_texts_in_place(spark):
+    docs = cut_lineage(_docs(spark))
+    vocab = spark.createDataFrame([("to",), ("to",), ("zu",), (None,)], "term string")
+    share = T.vocabulary_share(docs, vocab)
+    plan = _plan(share)
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION" not in plan
+    got = {r.doc_id: r.share for r in share.collect()}
+    assert got == {1: 4 / 11, 2: 1 / 3, 3: 0.0, 6: 0.0, None: 1 / 5}
