@@ -17,9 +17,9 @@ with their times and the copy links, and an entry is read off by following the
 links back in time. Entries that texts use are kept in a table.
 
 Encoding: every prefix of an accepted path spells the encoding of a prefix of
-the word, so each position of the word has at most one state; the word is run
-through the table from left to right, and the path to its end is the encoding.
-Decoding emits the labels of the arcs.
+the word, so each position of the word has at most one state; the path through
+the table to the end of the word is searched from left to right, long arcs
+first, and is the encoding. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 START = -1
 BASE = -1
+#: Bytes that tell how long the tokens are that begin with them; lengths of shorter tokens.
+HEAD, SHORT = 3, (2, 1)
 
 
 class MergeAutomaton:
@@ -61,7 +63,12 @@ class MergeAutomaton:
             self.label[w] = self.label[u] + self.label[v]
             self.cut.setdefault((u, v), time)
         self.token = {self.label[t]: t for t in self.live}
-        self.longest = max(map(len, self.token), default=0)
+        # first bytes -> lengths of the tokens that begin so, longest first
+        self.lengths: dict[bytes, tuple[int, ...]] = {}
+        for label in self.token:
+            if len(label) >= HEAD:
+                self.lengths[label[:HEAD]] = (*self.lengths.get(label[:HEAD], ()), len(label))
+        self.lengths = {k: (*sorted(set(v), reverse=True), *SHORT) for k, v in self.lengths.items()}
         self.table = Memo(lambda arc: arc[1] in self.live and self._arc(*arc, len(merges)), 2_000_000)
 
     def _arc(self, state: int, token: int, time: int) -> bool:
@@ -78,26 +85,29 @@ class MergeAutomaton:
                 return True
 
     def encode(self, word: bytes) -> list[int]:
-        n = len(word)
-        states: list[int | None] = [START] + [None] * n
-        starts = [0] * (n + 1)
-        token, table, longest = self.token, self.table, self.longest
-        for end in range(1, n + 1):
-            for begin in range(max(0, end - longest), end):
-                state = states[begin]
-                if state is None:
-                    continue
-                t = token.get(word[begin:end])
-                if t is not None and (state == START or table[state, t]):
-                    states[end], starts[end] = t, begin
+        """The path that spells ``word``. The longest arcs are tried first; a position that
+        nothing leads on from is left and not tried again, as it can have no other state."""
+        token, table, lengths, n = self.token.get, self.table, self.lengths.get, len(word)
+        if (whole := token(word)) is not None:
+            return [whole]
+        ids, ends, dead = [], [0], set()
+        state, begin, below = START, 0, n
+        while begin < n:
+            for size in lengths(word[begin:begin + HEAD], SHORT):
+                end = begin + size
+                if size < below and end <= n and (t := token(word[begin:end])) is not None \
+                        and (state == START or table[state, t]) and end not in dead:
+                    ids.append(t)
+                    ends.append(end)
+                    state, begin, below = t, end, n
                     break
-        if states[n] is None:
-            raise ValueError(f"no path spells {word!r}: a base symbol is missing")
-        ids = []
-        while n:
-            ids.append(states[n])
-            n = starts[n]
-        ids.reverse()
+            else:
+                if not ids:
+                    raise ValueError(f"no path spells {word!r}: a base symbol is missing")
+                dead.add(ends.pop())
+                ids.pop()
+                below = begin - ends[-1]
+                state, begin = ids[-1] if ids else START, ends[-1]
         return ids
 
 

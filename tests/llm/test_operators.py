@@ -3,6 +3,7 @@
 import hashlib
 import html as entities
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -66,6 +67,30 @@ def test_bpe_round_trip_and_equal_merge(documents):
         auto.encode(b"c")
 
 
+def test_bpe_search_is_short_and_turns_back(documents):
+    looked = []
+
+    class Counted(dict):
+        def get(self, *key):
+            looked.append(key)
+            return super().get(*key)
+
+    auto = bpe.load(bpe.read_spec(BYTE)).automaton
+    draw = random.Random(5)
+    words = ["".join(draw.choice("abcdeghinorstu\u00e9") for _ in range(n)) for n in range(1, 61) for _ in range(5)]
+    tokenizer = Tokenizer.from_file(BYTE)
+    auto.token = Counted(auto.token)
+    try:
+        got = [auto.encode(w.encode()) for w in words]
+    finally:
+        auto.token = dict(auto.token)
+    assert got == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert len(looked) < 4 * sum(len(w.encode()) for w in words)  # not a square of the length
+    # the longest arc first is "abb", which the merges don't make here: b+c is merged before it
+    auto = bpe.MergeAutomaton({0: b"a", 1: b"b", 2: b"c"}, [(1, 2, 3), (0, 1, 4), (4, 1, 5)])
+    assert auto.encode(b"abbc") == [4, 3]
+
+
 # -- quality --------------------------------------------------------------------
 
 def base_metrics(text):
