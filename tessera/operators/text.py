@@ -19,14 +19,25 @@ from tessera.session import cut_lineage
 
 
 def term_counts(docs: DataFrame, doc_id: str = "doc_id", text: str | Column = "text",
-                toks: Column | None = None) -> DataFrame:
-    """T-04: (doc_id, term, tf) from the text's word tokens.
+                toks: Column | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """T-04: (doc_id, carry..., term, tf) from the text's word tokens.
 
     The texts are dealt by document before they are taken apart, so one shuffle of the
-    texts stands for one of all their words, and sums per document need no other."""
+    texts stands for one of all their words, and sums per document need no other. A text's
+    words are counted in its own row, by the runs of equal words once they are sorted; only
+    where documents come in several rows are these counts added up by a table of terms."""
+    keys = [doc_id, *carry]
     t = toks if toks is not None else token_array(text)
-    return docs.repartition(doc_id).select(doc_id, F.explode(t).alias("term")) \
-               .groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = docs.repartition(doc_id).select(*keys, F.sort_array(t).alias("_s"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("_s") - 1),
+                      lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    runs = words.select(*keys, "_s", F.when(F.size("_s") > 0, starts).alias("_b"))
+    rows = runs.select(*keys, F.inline(F.transform("_b", lambda b, j: F.struct(
+        F.get("_s", b).alias("term"),
+        (F.coalesce(F.get("_b", j + 1), F.size("_s")) - b).cast("long").alias("tf")))))
+    if docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).isEmpty():
+        return rows
+    return rows.groupBy(*keys, "term").agg(F.sum("tf").alias("tf"))
 
 
 def ngram_sizes(docs: DataFrame, toks: str, doc_id: str = "doc_id") -> DataFrame:
@@ -113,11 +124,26 @@ def frequent_terms_as_stop_words(tf: DataFrame, max_df_share: float,
     return document_frequency(tf).where(F.col("df") > n_docs * max_df_share).select("term")
 
 
-#: Terms that this share of all (document, term) rows hold are joined apart: at most
-#: its inverse in number, which bounds what is broadcast.
+#: Terms that this share of all (document, term) rows hold are joined apart in any case: at
+#: most its inverse in number.
 HOT_SHARE = 1 / 1000
 
 
+def _hot_df(terms: DataFrame) -> float:
+    """The least document frequency of the terms that are joined apart: as many of the most
+    frequent as a broadcast table may hold, by the number of binary digits of ``df``."""
+    size = F.octet_length("term") + 16 * (len(terms.columns) + 2)
+    levels = terms.groupBy(F.length(F.bin("df")).alias("digits")).agg(F.sum("df").alias("rows"), F.sum(size).alias("size"))
+    levels = sorted(levels.collect(), reverse=True)
+    least, held = HOT_SHARE * sum(r["rows"] for r in levels), 0
+    for r in levels:
+        held += r["size"]
+        if held > LIST_BYTES:
+            break
+        least = min(least, 2 ** (r["digits"] - 1))
+    return least
+
+
 def join_terms(tf: DataFrame, terms: DataFrame) -> DataFrame:
     """Rows of ``tf`` with the values of their term; ``terms`` has one row per term and
     its document frequency ``df``. Both should be tables, they are read twice.
@@ -125,9 +151,9 @@ def join_terms(tf: DataFrame, terms: DataFrame) -> DataFrame:
     The rows of hot terms, most of a corpus, meet a broadcast table of bounded size and
     are never shuffled; what is left has no key with more than a small share of the rows.
     """
-    rows = terms.agg(F.sum("df")).first()[0] or 0
-    hot = terms.where(F.col("df") >= HOT_SHARE * rows)
-    rest = terms.where(F.col("df") < HOT_SHARE * rows)
+    least = _hot_df(terms)
+    hot = terms.where(F.col("df") >= least)
+    rest = terms.where(F.col("df") < least)
     cold = tf.join(F.broadcast(hot.select("term")), "term", "left_anti")
     return tf.join(F.broadcast(hot), "term").unionByName(cold.join(rest, "term"))
 

@@ -203,9 +203,7 @@ def l12_cluster_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mnb(t: Tables, fold, alphas, scored=None) -> DataFrame:
     """Documents of the scored folds, by models of the other folds; one read of the texts."""
     docs = t.documents.select("doc_id", F.col("lang").alias("label"), fold.alias("fold"), "text")
-    words = docs.repartition("doc_id").select("doc_id", "label", "fold", F.explode(X.tokens("text")).alias("term"))
-    tf = words.groupBy("doc_id", "label", "fold", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return B.multinomial_nb(tf, docs.drop("text"), alphas, scored)
+    return B.multinomial_nb(T.term_counts(docs, carry=("label", "fold")), docs.drop("text"), alphas, scored)
 
 
 def mnb_sql(alpha: float, train_cond: str, dev_cond: str) -> str:

@@ -211,8 +211,7 @@ def t12_stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lang_tf(t: Tables) -> DataFrame:
     """Term counts with the topic of the document."""
-    words = t.documents.repartition("doc_id").select("doc_id", "lang", F.explode(X.tokens("text")).alias("term"))
-    return words.groupBy("doc_id", "lang", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return T.term_counts(t.documents.select("doc_id", "lang", "text"), carry=("lang",))
 
 
 def _topic_words(tf: DataFrame, k: int = 40) -> DataFrame:

@@ -92,3 +92,28 @@ def test_vocabulary_share_leaves_the_texts_in_place(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION" not in plan
     got = {r.doc_id: r.share for r in share.collect()}
     assert got == {1: 4 / 11, 2: 1 / 3, 3: 0.0, 6: 0.0, None: 1 / 5}
+
+
+def test_words_are_counted_in_their_row(spark):
+    rows = [(1, "en", "to be or not to be"), (2, None, "b a b"), (3, "fr", ""), (4, "fr", None), (None, "en", "be be"),
+            (5, "de", "zz zz zz aa")]
+    docs = cut_lineage(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    toks = F.split("text", " ")
+    wanted = sorted(((i, l, w, n) for i, l, t in rows for w, n in Counter((t or "").split()).items()), key=str)
+    once = T.term_counts(docs.where("text != '' or text is null"), toks=toks, carry=("lang",))
+    assert sorted(map(tuple, once.collect()), key=str) == wanted
+    assert "Aggregate" not in _plan(once)  # no table of all (document, term) rows
+    twice = T.term_counts(docs.where("text != '' or text is null").union(docs.where("doc_id = 1")), toks=toks, carry=("lang",))
+    assert {(r.term, r.tf) for r in twice.where("doc_id = 1").collect()} == {("to", 4), ("be", 4), ("or", 2), ("not", 2)}
+
+
+def test_the_most_frequent_terms_are_not_shuffled(spark, monkeypatch):
+    rows = [(d, f"t{i}") for i in range(2_000) for d in range(1 + i % 8)]  # no term has a thousandth of the rows
+    tf = cut_lineage(spark.createDataFrame(rows, "doc_id long, term string").withColumn("tf", F.lit(1)))
+    terms = cut_lineage(T.document_frequency(tf))
+    assert T._hot_df(terms) == 1
+    wanted = sorted(map(tuple, tf.join(terms, "term").select("doc_id", "term", "df").collect()))
+    for size, least in ((20_000, 8), (100_000, 4), (0, 9)):
+        monkeypatch.setattr(T, "LIST_BYTES", size)
+        assert T._hot_df(terms) == least
+        assert sorted(map(tuple, T.join_terms(tf, terms).select("doc_id", "term", "df").collect())) == wanted
