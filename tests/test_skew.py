@@ -35,6 +35,27 @@ def test_pagerank_of_a_star_with_a_hub(spark, monkeypatch, hub_edges):
     assert G.pagerank(spark.createDataFrame([], "src string, dst string, weight double")).count() == 0
 
 
+def test_pagerank_does_not_shuffle_its_edges_in_a_round(spark, monkeypatch):
+    """Edges stand dealt on disk; of the two inputs of a round only the ranks are dealt."""
+    plans, cut = [], G.cut_lineage
+
+    def seen(df, *args, path=None, **kwargs):
+        if path:
+            plans.append(df._jdf.queryExecution().executedPlan().toString().split("\n"))
+        return cut(df, *args, path=path, **kwargs)
+
+    monkeypatch.setattr(G, "cut_lineage", seen)
+    edges = [(f"n{i}", f"n{(i * 7 + k) % 50}", 1.0) for i in range(50) for k in range(3)]
+    ranks = G.pagerank(spark.createDataFrame(edges, "src string, dst string, weight double"), fixed_rounds=2,
+                       partitions=4).collect()
+    assert len(ranks) == 50 and sum(r["rank"] for r in ranks) == pytest.approx(1)
+    assert len(plans) == 3
+    for plan in plans[1:]:
+        step = next(i for i, line in enumerate(plan) if "FlatMapCoGroupsInArrow" in line)
+        scan = next(i for i, line in enumerate(plan) if "InMemoryTableScan" in line)
+        assert step < scan and not [line for line in plan[step:scan] if "Exchange" in line]
+
+
 def test_hot_terms_are_joined_apart(spark, monkeypatch):
     monkeypatch.setattr(T, "HOT_SHARE", 0.2)
     rows = [(d, "the", 2) for d in range(40)] + [(d, f"t{d % 9}", 1) for d in range(40)]
