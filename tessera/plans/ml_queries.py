@@ -9,6 +9,7 @@ count (W-03), hour, weekday and event type; folds are ordered by ``ts``.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -173,7 +174,9 @@ def l14_gmm_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One full-covariance mixture (4 components, MLlib) per class on 2 PCA
     dimensions; each dev row goes to the class with the larger density."""
     train, dev = _binary_images(Tables(spark, sf_dir), 2)
-    models = {c: GM.mllib_full_mixture(train.where(F.col("y") == c), "pcs", 4) for c in (0, 1)}
+    # The classes are independent fits of up to 100 short rounds: both run at a time.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        models = dict(zip((0, 1), pool.map(lambda c: GM.mllib_full_mixture(train.where(F.col("y") == c), "pcs", 4), (0, 1))))
     return GM.classify_by_density(dev, models, "pcs").select("vec_id", "y", "prediction")
 
 
@@ -379,8 +382,6 @@ def t13_vocab_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # The strengths are independent fits: submit them as concurrent Spark jobs
     # (as CrossValidator's parallelism does) instead of one after another.
-    from concurrent.futures import ThreadPoolExecutor
-
     with ThreadPoolExecutor(max_workers=4) as pool:
         rows = list(pool.map(one_strength, L1_STRENGTHS))
     tr.unpersist()

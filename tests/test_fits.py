@@ -1,5 +1,7 @@
 """Fits are not shortened: the reference's grids, and stops by tolerance."""
 
+import threading
+
 import numpy as np
 
 from tessera.operators import topics as TP
@@ -96,3 +98,19 @@ def test_nmf_in_rounds_sends_numbers_only(spark):
     w, h, losses = TP.nmf(v, 2, rounds=2)
     assert sorted(r.doc_id for r in w.collect()) == [1, 2] and h.count() == 3 and losses[1] <= losses[0]
     assert "string" not in TP._ROW and [f.name for f in TP._MAIL_ARROW if f.type == "string"] == ["kind"]
+
+
+def test_mixtures_of_both_classes_are_fitted_at_a_time(spark, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+
+    def fit(df, vector, k):
+        both.wait()
+        y = df.first()["y"]
+        return Q.GM.Mixture(np.ones(1), np.full((1, 2), 10.0 * y), np.eye(2)[None])
+
+    rows = spark.createDataFrame([(i, i % 2, [10.0 * (i % 2), 9.0 * (i % 2)]) for i in range(8)],
+                                 "vec_id long, y int, pcs array<double>")
+    monkeypatch.setattr(Q, "_binary_images", lambda t, dims: (rows, rows))
+    monkeypatch.setattr(Q.GM, "mllib_full_mixture", fit)
+    got = Q.l14_gmm_classify(spark, "").collect()
+    assert sorted((r["vec_id"], r["prediction"]) for r in got) == [(i, i % 2) for i in range(8)]
