@@ -117,3 +117,24 @@ def test_the_most_frequent_terms_are_not_shuffled(spark, monkeypatch):
         monkeypatch.setattr(T, "LIST_BYTES", size)
         assert T._hot_df(terms) == least
         assert sorted(map(tuple, T.join_terms(tf, terms).select("doc_id", "term", "df").collect())) == wanted
+
+
+def test_boosted_trees_of_a_large_fold_see_equal_rows_once(spark, monkeypatch):
+    rows = [(i, "ab"[i % 5 > 2], float(i % 7), int(i * i % 11 > 4), f, "train" if i % 3 else "validate")
+            for i in range(600) for f in (1, 2)]
+    folds = cut_lineage(spark.createDataFrame(rows, "id int, c string, x double, label int, fold int, role string"))
+    seen, fit = [], ML.GBTClassifier.fit
+    monkeypatch.setattr(ML.GBTClassifier, "fit", lambda self, d: seen.append(d.count()) or fit(self, d))
+
+    def pipe_for(iters, step):
+        return ML.feature_pipeline(ML.gbt(depth=2, iters=iters, step=step), ["c"], ["x"])
+
+    def scores():
+        out = ML.grid_search(pipe_for, [{"iters": 2, "step": s} for s in (0.2, 0.4)], folds, score="auc")
+        return {(r.step, r.fold): r.score for r in out.collect()}
+
+    whole = scores()
+    assert seen == [400] * 4
+    monkeypatch.setattr(ML, "DISTINCT_FROM", 400)
+    assert scores() == whole and len(whole) == 4
+    assert max(seen[4:]) <= 2 * 7 * 2  # two values of c, seven of x, two labels
