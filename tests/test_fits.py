@@ -114,3 +114,27 @@ def test_mixtures_of_both_classes_are_fitted_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(Q.GM, "mllib_full_mixture", fit)
     got = Q.l14_gmm_classify(spark, "").collect()
     assert sorted((r["vec_id"], r["prediction"]) for r in got) == [(i, i % 2) for i in range(8)]
+
+
+def test_nmf_keeps_one_table_per_factor(spark):
+    """A factor's table is deleted once the next one is written, and V's own once it is dealt."""
+    from tessera import session
+
+    v = spark.createDataFrame([(d, f"t{t}", float(1 + (d * t) % 5)) for d in range(6) for t in range(5)],
+                              "doc_id long, term string, w double")
+    tables = []
+    for rounds in (2, 6):
+        before = len(session._SCRATCH)
+        w, h, losses = TP.nmf(v, 2, rounds=rounds)
+        tables.append([p for p in session._SCRATCH[before:] if "nmf-" in p])
+        assert (w.count(), h.count(), len(losses)) == (6, 5, rounds)
+    assert [len(t) for t in tables] == [2, 2]
+
+
+def test_nmf_reads_a_written_matrix_as_it_lies(spark):
+    v = spark.createDataFrame([(d, f"t{t}", float(1 + (i * t) % 5)) for i, d in enumerate((1, 2, 3, None)) for t in range(5)],
+                              "doc_id long, term string, w double")
+    own, given = (TP.nmf(x, 2, rounds=2, written=x is not v) for x in (v, TP.cut_lineage(v)))
+    for a, b in zip(own[:2], given[:2]):
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert np.allclose(own[2], given[2])
